@@ -1,0 +1 @@
+"""Multi-tenant data ingestion on PySpark."""

@@ -1,0 +1,53 @@
+"""Operators over rows: alignment, routing, admission, comparison, changes and tenant tables."""
+
+from .align import align_to_schema, align_with_rejects
+from .changes import apply_changes, latest_changes
+from .compare import diff_tables, tables_equal
+from .quota import (
+    QuotaExceeded,
+    TenantQuota,
+    check_quota,
+    count_by_tenant,
+    planned_records,
+    quota_verdicts,
+    validate_quotas,
+)
+from .routing import route_line, route_records
+from .sinks import (
+    cluster_by_tenant,
+    create_tenant_database,
+    publish_snapshot,
+    read_tenant,
+    read_tenant_table,
+    register_tenant,
+    tenant_table,
+    write_fan_out,
+    write_tenant_table,
+)
+
+__all__ = [
+    "QuotaExceeded",
+    "TenantQuota",
+    "align_to_schema",
+    "align_with_rejects",
+    "apply_changes",
+    "check_quota",
+    "cluster_by_tenant",
+    "count_by_tenant",
+    "create_tenant_database",
+    "diff_tables",
+    "latest_changes",
+    "planned_records",
+    "publish_snapshot",
+    "quota_verdicts",
+    "read_tenant",
+    "read_tenant_table",
+    "register_tenant",
+    "route_line",
+    "route_records",
+    "tables_equal",
+    "tenant_table",
+    "validate_quotas",
+    "write_fan_out",
+    "write_tenant_table",
+]

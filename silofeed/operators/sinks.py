@@ -60,6 +60,18 @@ def create_tenant_database(spark: SparkSession, tenant: str, location: str | Non
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database_for(tenant)}`{place}")
 
 
+def register_tenant(spark: SparkSession, path: str, tenant: str, table: str) -> None:
+    """Make a tenant's part of a fanned-out table known as a table of the tenant's database.
+
+    Only the catalog changes; the rows stay where the fan-out has put them.
+    """
+    name = tenant_table(tenant, table)
+    create_tenant_database(spark, tenant)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}/{TENANT_CATALOG}={catalog_for(tenant)}'")
+    spark.catalog.recoverPartitions(name)
+
+
 def read_tenant_table(spark: SparkSession, tenant: str, table: str) -> DataFrame:
     return spark.table(tenant_table(tenant, table))
 

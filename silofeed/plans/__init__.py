@@ -1,0 +1,30 @@
+"""Jobs that are put together from sources, operators and sinks."""
+
+from .jobs import (
+    IngestRequest,
+    admit,
+    copy_table,
+    ingest_lines,
+    ingest_table,
+    ingest_tenants,
+    require_admitted,
+    tenant_verdicts,
+    validate_jobs,
+)
+from .sync import sync_changes, sync_full, sync_incremental, sync_tenant_incremental
+
+__all__ = [
+    "IngestRequest",
+    "admit",
+    "copy_table",
+    "ingest_lines",
+    "ingest_table",
+    "ingest_tenants",
+    "require_admitted",
+    "sync_changes",
+    "sync_full",
+    "sync_incremental",
+    "sync_tenant_incremental",
+    "tenant_verdicts",
+    "validate_jobs",
+]

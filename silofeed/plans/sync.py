@@ -7,6 +7,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from ..operators.changes import apply_changes
 from ..operators.sinks import publish_snapshot, read_tenant_table, tenant_table, write_tenant_table
@@ -17,17 +18,26 @@ def sync_full(df: DataFrame, tenant: str, table: str) -> None:
     publish_snapshot(df, tenant, table)
 
 
+def _cursor_value(df: DataFrame, cursor: str, value: Any) -> Column:
+    """Literal of the cursor column's own type, so that comparisons with it reach the scan."""
+    kind = df.schema[cursor].dataType
+    if isinstance(kind, TimestampNTZType):
+        # As text: a datetime literal would be moved by the time zones of driver and session.
+        value = value.isoformat(sep=" ")
+    return F.lit(value).cast(kind)
+
+
 def sync_incremental(df: DataFrame, cursor: str, after: Any | None) -> tuple[DataFrame, Any | None]:
     """Rows whose cursor lies behind ``after``, and the cursor to go on from next time.
 
     The upper end is fixed first and bounds the rows, so rows that arrive while they are read wait for
     the next run and are not skipped. Both ends are pushed into the scan.
     """
-    later = df if after is None else df.filter(F.col(cursor) > F.lit(after))
+    later = df if after is None else df.filter(F.col(cursor) > _cursor_value(df, cursor, after))
     until = later.agg(F.max(cursor)).first()[0]
     if until is None:
         return df.filter(F.lit(False)), after
-    return later.filter(F.col(cursor) <= F.lit(until)), until
+    return later.filter(F.col(cursor) <= _cursor_value(df, cursor, until)), until
 
 
 def sync_tenant_incremental(
@@ -56,7 +66,7 @@ def sync_tenant_incremental(
         start = after - overlap
     new, until = sync_incremental(df, cursor, start)
     if start != after:
-        recent = known.filter(F.col(cursor) > F.lit(start)).select(*keys)
+        recent = known.filter(F.col(cursor) > _cursor_value(known, cursor, start)).select(*keys)
         new = new.join(recent, list(keys), "left_anti").select(*df.columns)
     write_tenant_table(new, tenant, table)
     return until
