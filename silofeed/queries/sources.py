@@ -302,4 +302,4 @@ def jdbc_described(spark: SparkSession, sf_dir: str) -> DataFrame:
     append_table(spark, rows, source, ORDERS)
     n = read_table(spark, source, ORDERS, partitions=8).count()
     found = describe_tables(spark, source, "df_acme", ["orders"]).drop("catalog", "schema", "table")
-    return found.withColumn("n", F.lit(n))
+    return found.withColumn("n", F.lit(n).cast("long"))

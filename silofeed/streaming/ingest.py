@@ -14,7 +14,7 @@ from ..plans.jobs import require_admitted, save_verdicts, tenant_verdicts
 
 
 def read_stream(
-    spark: SparkSession, path: str, schema: StructType, max_bytes_per_trigger: str | None = None
+    spark: SparkSession, path: str, schema: StructType, max_bytes_per_trigger: int | None = None
 ) -> DataFrame:
     """Parquet files as a stream. ``max_bytes_per_trigger`` bounds the size of a micro-batch.
 
@@ -53,7 +53,7 @@ def ingest_stream(
     checkpoint: str,
     quotas: DataFrame | None = None,
     parallelism: int | None = None,
-    max_bytes_per_trigger: str | None = None,
+    max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
     """Bounded run over a closed folder of files: admit every tenant, then route the rows as a stream.
 
@@ -80,7 +80,7 @@ def land_changes(
     schema: StructType,
     path: str,
     checkpoint: str,
-    max_bytes_per_trigger: str | None = None,
+    max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
     """Collect a stream of changes in a log, to be applied to a snapshot, and return the log so far.
 

@@ -1,0 +1,239 @@
+"""Tenant tables, ingest jobs and synchronisation."""
+
+import datetime
+import glob
+import os
+
+import pytest
+from conftest import plan, rows
+from pyspark.sql import functions as F
+
+from silofeed.operators import (
+    QuotaExceeded,
+    TenantQuota,
+    cluster_by_tenant,
+    publish_snapshot,
+    read_tenant,
+    read_tenant_table,
+    register_tenant,
+    route_records,
+    tenant_table,
+    write_fan_out,
+    write_tenant_table,
+)
+from silofeed.plans import (
+    IngestRequest,
+    ingest_lines,
+    ingest_table,
+    ingest_tenants,
+    sync_changes,
+    sync_full,
+    sync_incremental,
+    sync_tenant_incremental,
+    validate_jobs,
+)
+from silofeed.workspace import new_folder, remove_folder
+
+LINES = [("1,acme,100",), ("2,acme,250",)]
+MANY = [(1, "acme"), (2, "acme"), (3, "beta"), (4, "tenant-demo"), (5, "acme")]
+QUOTAS = "tenant string, max_records long, max_parallelism int"
+
+
+def lines(spark):
+    return spark.createDataFrame(LINES, "row string")
+
+
+def many(spark):
+    return spark.createDataFrame(MANY, "id long, t string")
+
+
+def test_lines_of_a_tenant_are_routed(spark):
+    routed = ingest_lines(lines(spark), "row", IngestRequest("acme", "orders"), parallelism=1)
+    assert rows(routed) == [("df_acme.orders <= 1,acme,100",), ("df_acme.orders <= 2,acme,250",)]
+
+
+def test_a_job_over_quota_does_not_run(spark, tenant):
+    request = IngestRequest(tenant, "orders", TenantQuota(1, 4))
+    with pytest.raises(QuotaExceeded, match="planned 2 records exceeds quota 1"):
+        ingest_lines(lines(spark), "row", request, parallelism=1)
+    with pytest.raises(QuotaExceeded):
+        ingest_table(lines(spark), request, parallelism=1)
+    assert not spark.catalog.tableExists(tenant_table(tenant, "orders"))
+    with pytest.raises(QuotaExceeded, match="parallelism 4 exceeds quota 3"):  # the session's own parallelism
+        ingest_table(lines(spark), IngestRequest(tenant, "orders", TenantQuota(10, 3)))
+    ingest_table(lines(spark), IngestRequest(tenant, "orders", TenantQuota(2, 4)), parallelism=4)
+    assert rows(read_tenant_table(spark, tenant, "orders")) == sorted(LINES)
+
+
+@pytest.mark.parametrize("arguments", [("A b", "t"), (None, "t"), ("acme", " "), ("acme", None), ("acme", "t", None)])
+def test_requests_are_validated(spark, arguments):
+    with pytest.raises(ValueError):
+        IngestRequest(*arguments)
+    tenant, table, *quota = arguments
+    limit = 1 if not quota else None
+    jobs = spark.createDataFrame(
+        [(tenant, table, limit, limit), ("acme", "t", 1, 1)],
+        "tenant string, source_table string, max_records long, max_parallelism int",
+    )
+    errors = [r["error"] for r in validate_jobs(jobs).collect()]
+    assert errors[0] is not None and errors[1] is None
+
+
+def test_fan_out_keeps_tenants_apart_and_can_be_run_again(spark, tmp_path):
+    path = str(tmp_path / "orders")
+    routed, _ = route_records(many(spark), "t", "orders")
+    write_fan_out(routed.drop("t"), path, "r1")
+    write_fan_out(routed.drop("t"), path, "r1")
+    assert rows(read_tenant(spark, path, "acme")) == [(1,), (2,), (5,)]
+    assert rows(read_tenant(spark, path, "tenant-demo")) == [(4,)]
+    write_fan_out(routed.drop("t").filter("id = 1"), path, "r2")
+    assert rows(read_tenant(spark, path, "acme")) == [(1,), (1,), (2,), (5,)]
+    files = read_tenant(spark, path, "acme").inputFiles()
+    assert files and all("/tenant_catalog=df_acme/" in f for f in files)
+    pruned = plan(spark.read.parquet(path).filter("tenant_catalog = 'df_beta'"))
+    assert "PartitionFilters: [isnotnull(tenant_catalog" in pruned
+
+
+def test_a_large_tenant_is_written_by_several_tasks(spark, tmp_path):
+    # Two thirds of the rows belong to one tenant.
+    df = spark.range(0, 400_000, 1, 8).select(
+        F.when(F.col("id") % 3 > 0, F.lit("df_hot")).otherwise(F.concat(F.lit("df_"), F.col("id") % 50)).alias("tenant_catalog"),
+        F.sha2(F.col("id").cast("string"), 256).alias("text"),
+    )
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(cluster_by_tenant(df))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+    try:
+        write_fan_out(df, str(tmp_path / "t"), "r1")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {d: len(glob.glob(f"{tmp_path}/t/tenant_catalog={d}/*/*.parquet")) for d in ("df_hot", "df_3")}
+    assert files["df_hot"] > 3 and files["df_3"] <= 2
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 400_000
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert "Exchange" not in plan(cluster_by_tenant(df))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_one_refused_tenant_stops_the_run(spark, tmp_path):
+    path = str(tmp_path / "orders")
+    quotas = spark.createDataFrame([("acme", 2, 4)], QUOTAS)
+    with pytest.raises(QuotaExceeded, match="tenant 'acme' planned 3 records exceeds quota 2"):
+        ingest_tenants(many(spark), "t", "orders", path, "r1", quotas, parallelism=1)
+    assert not os.path.exists(path)
+    illegal = many(spark).union(spark.createDataFrame([(9, "a_b")], "id long, t string"))
+    with pytest.raises(QuotaExceeded, match="illegal tenantId: a_b"):
+        ingest_tenants(illegal, "t", "orders", path, "r1", parallelism=1)
+    assert not os.path.exists(path)
+
+
+def test_refused_tenants_can_be_skipped(spark, tmp_path):
+    path = str(tmp_path / "orders")
+    quotas = spark.createDataFrame([("acme", 2, 4), ("beta", 1, 1)], QUOTAS)
+    more = many(spark).union(spark.createDataFrame([(9, "a_b"), (10, None)], "id long, t string"))
+    verdicts = ingest_tenants(more, "t", "orders", path, "r1", quotas, parallelism=1, skip_refused=True)
+    assert rows(spark.read.parquet(path), "id") == [(3,), (4,)]
+    assert rows(verdicts, "tenant", "planned", "admitted") == [
+        ("a_b", 1, False),
+        ("acme", 3, False),
+        ("beta", 1, True),
+        ("tenant-demo", 1, True),
+        (None, 1, False),
+    ]
+
+
+def test_a_fanned_out_table_is_registered_per_tenant(spark, tmp_path, tenant):
+    path = str(tmp_path / "orders")
+    df = spark.createDataFrame([(1, tenant), (2, "someone-else")], "id long, t string")
+    ingest_tenants(df, "t", "orders", path, "r1", parallelism=1)
+    for _ in range(2):
+        register_tenant(spark, path, tenant, "orders")
+    assert rows(read_tenant_table(spark, tenant, "orders"), "id", "t") == [(1, tenant)]
+
+
+def test_appends_to_a_tenant_table_are_aligned(spark, tenant):
+    write_tenant_table(spark.sql("SELECT 1L AS id, 'a' AS name"), tenant, "t")
+    write_tenant_table(spark.sql("SELECT 'b' AS name, 'x' AS extra, 2 AS id"), tenant, "t")
+    write_tenant_table(spark.sql("SELECT 3 AS id, 'c' AS NAME"), tenant, "t")
+    assert rows(read_tenant_table(spark, tenant, "t")) == [(1, "a"), (2, "b"), (3, None)]
+    for name in ("a.b", "x; DROP TABLE t", ""):
+        with pytest.raises(ValueError, match="illegal table name"):
+            write_tenant_table(spark.range(1), tenant, name)
+
+
+def test_a_snapshot_is_replaced_as_a_whole(spark, tenant):
+    publish_snapshot(spark.range(5), tenant, "t")
+    before = read_tenant_table(spark, tenant, "t")
+    publish_snapshot(read_tenant_table(spark, tenant, "t").filter("id > 2"), tenant, "t")
+    assert rows(read_tenant_table(spark, tenant, "t")) == [(3,), (4,)]
+    assert before.count() == 5
+    failing = spark.range(3).select(F.raise_error(F.lit("broken")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        publish_snapshot(failing, tenant, "t")
+    assert rows(read_tenant_table(spark, tenant, "t")) == [(3,), (4,)]
+
+
+def test_arrays_pass_through_a_tenant_table(spark, sf_dir, tenant):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    sync_full(vectors, tenant, "embeddings")
+    copied = read_tenant_table(spark, tenant, "embeddings")
+    assert copied.schema["embedding"].dataType == vectors.schema["embedding"].dataType
+    assert rows(copied) == rows(vectors)
+
+
+def events(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
+
+
+def test_incremental_rows_have_two_ends_that_reach_the_scan(spark, sf_dir):
+    after = datetime.datetime(2024, 1, 15)
+    new, until = sync_incremental(events(spark, sf_dir), "ts", after)
+    assert until == events(spark, sf_dir).agg(F.max("ts")).first()[0]
+    assert rows(new, "event_id") == rows(events(spark, sf_dir).filter("ts > timestamp_ntz'2024-01-15'"), "event_id")
+    assert "GreaterThan(ts,2024-01-15T00:00)" in plan(new) and "LessThanOrEqual(ts," in plan(new)
+    nothing, same = sync_incremental(events(spark, sf_dir), "ts", until)
+    assert nothing.isEmpty() and same == until
+    whole, _ = sync_incremental(events(spark, sf_dir), "event_id", None)
+    assert whole.count() == events(spark, sf_dir).count()
+
+
+def test_the_cursor_does_not_depend_on_the_time_zone(spark, sf_dir):
+    after = datetime.datetime(2024, 1, 15)
+    expected = rows(sync_incremental(events(spark, sf_dir), "ts", after)[0], "event_id")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        assert rows(sync_incremental(events(spark, sf_dir), "ts", after)[0], "event_id") == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_incremental_runs_add_up_to_the_source(spark, sf_dir, tenant):
+    source, late = events(spark, sf_dir), F.col("event_id") % 10 == 3
+    for end in ("2024-01-05", "2024-01-12", "2024-01-12", "2024-03-01"):
+        arrived = source.filter(F.col("ts") <= F.lit(end).cast("timestamp_ntz")).filter(~late)
+        sync_tenant_incremental(arrived, tenant, "events", "ts")
+    assert rows(read_tenant_table(spark, tenant, "events")) == rows(source.filter(~late))
+    # Rows with old cursors arrive later; looking back finds them, and nothing is added twice.
+    month = datetime.timedelta(days=60)
+    sync_tenant_incremental(source, tenant, "events", "ts", keys=["event_id"], overlap=month)
+    assert rows(read_tenant_table(spark, tenant, "events")) == rows(source)
+    with pytest.raises(ValueError, match="overlap needs keys"):
+        sync_tenant_incremental(source, tenant, "events", "ts", overlap=month)
+
+
+def test_changes_are_applied_to_a_tenant_table(spark, tenant):
+    sync_full(spark.createDataFrame([(1, "a"), (2, "b")], "id long, name string"), tenant, "t")
+    log = spark.createDataFrame([(1, 1, "d", None), (3, 2, "u", "c"), (2, 3, "u", "z")], "id long, s int, op string, name string")
+    for _ in range(2):
+        sync_changes(log, tenant, "t", ["id"], ["s"], F.col("op") == "d")
+        assert rows(read_tenant_table(spark, tenant, "t")) == [(2, "z"), (3, "c")]
+
+
+def test_folders_are_new_and_lie_in_the_shared_folder(spark):
+    first, second = new_folder(spark, "x"), new_folder(spark, "x")
+    assert first != second and first.startswith(spark.conf.get("spark.checkpoint.dir"))
+    spark.range(1).write.parquet(first)
+    remove_folder(spark, first)
+    assert not os.path.exists(first)

@@ -1,0 +1,83 @@
+"""Alignment, routing and comparison."""
+
+from decimal import Decimal
+
+import pytest
+from conftest import plan, rows
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from silofeed.operators import align_to_schema, align_with_rejects, diff_tables, route_line, route_records, tables_equal
+
+TARGET = StructType().add("id", "long").add("tenant", "string").add("amount", "decimal(12,2)")
+
+
+def test_columns_are_matched_by_exact_name(spark):
+    df = spark.sql("SELECT 375.0D AS amount, 'x' AS extra, 'acme' AS TENANT, 3 AS id")
+    aligned = align_to_schema(df, TARGET)
+    assert aligned.schema.names == TARGET.names
+    assert [f.dataType for f in aligned.schema] == [f.dataType for f in TARGET]
+    assert rows(aligned) == [(3, None, Decimal("375.00"))]
+
+
+def test_names_that_differ_in_case_only(spark):
+    df = spark.sql("SELECT 1 AS id, 2 AS a").toDF("tenant", "TENANT")
+    assert rows(align_to_schema(df, StructType().add("TENANT", "integer"))) == [(2,)]
+
+
+def test_a_value_that_does_not_fit_fails_or_is_set_apart(spark):
+    df = spark.createDataFrame([("1", "a"), ("x", "b"), (None, "c")], "id string, tenant string")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        align_to_schema(df, TARGET).collect()
+    fitting, rejected = align_with_rejects(df, TARGET)
+    assert rows(fitting, "id", "tenant") == [(1, "a"), (None, "c")]
+    assert rows(rejected) == [("x", "b")]
+
+
+def test_alignment_does_not_shuffle(spark, sf_dir):
+    aligned = align_to_schema(spark.read.parquet(f"{sf_dir}/orders.parquet"), StructType().add("o_orderkey", "integer"))
+    assert "Exchange" not in plan(aligned)
+    assert "ReadSchema: struct<o_orderkey:bigint>" in plan(aligned)
+
+
+def test_routed_lines(spark):
+    df = spark.createDataFrame([("1,acme,100",), ("2,acme,250",), (None,)], "row string")
+    lines = df.select(route_line("row", F.lit("df_acme"), F.lit("orders")).alias("line"))
+    assert rows(lines) == [("df_acme.orders <= 1,acme,100",), ("df_acme.orders <= 2,acme,250",), (None,)]
+
+
+def test_rows_without_a_legal_tenant_are_set_apart(spark):
+    df = spark.createDataFrame([(1, "acme"), (2, "a_b"), (3, None), (4, "tenant-demo")], "id int, t string")
+    routed, rejected = route_records(df, "t", "orders")
+    assert rows(routed) == [
+        (1, "acme", "df_acme", "orders"),
+        (4, "tenant-demo", "df_tenant-demo", "orders"),
+    ]
+    assert rows(rejected) == [(2, "a_b", "illegal tenantId: a_b"), (3, None, "illegal tenantId: null")]
+    by_column, _ = route_records(df, F.col("t"), F.concat(F.lit("o"), "id"))
+    assert rows(by_column, "id", "target_table") == [(1, "o1"), (4, "o4")]
+
+
+def test_differences_count_copies(spark):
+    left = spark.createDataFrame([(1, "a"), (1, "a"), (1, "a"), (2, None), (3, "c")], "x int, y string")
+    right = spark.createDataFrame([("a", 1), (None, 2), ("d", 4), ("d", 4)], "y string, x int")
+    assert rows(diff_tables(left, right)) == [
+        (1, "a", "left", 2),
+        (3, "c", "left", 1),
+        (4, "d", "right", 2),
+    ]
+    assert tables_equal(left, left.select("y", "x"))
+    assert not tables_equal(left, right)
+    with pytest.raises(ValueError, match="columns differ"):
+        diff_tables(left, right.select("x"))
+
+
+def test_differences_equal_both_ways_of_except_all(spark, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_suppkey", "l_returnflag", "l_linestatus")
+    left, right = lines.filter("l_linestatus = 'O'"), lines.filter("l_linestatus <> 'O'").withColumn(
+        "l_linestatus", F.lit("O")
+    )
+    found = diff_tables(left, right)
+    each = found.selectExpr("l_suppkey", "l_returnflag", "l_linestatus", "side", "explode(sequence(1, copies)) AS i")
+    for side, expected in (("left", left.exceptAll(right)), ("right", right.exceptAll(left))):
+        assert rows(each.filter(F.col("side") == side).drop("side", "i")) == rows(expected)
