@@ -44,16 +44,15 @@ def record_set(record: Column | str, column: str, value: Column) -> Column:
     """Record with a column set. A column that is there keeps its place; a new one goes to the end."""
     if column is None:
         raise ValueError("column name must not be null")
-    record = as_column(record)
-    value = value.cast("string")
-    replaced = F.transform_values(record, lambda k, v: F.when(k == column, value).otherwise(v))
-    # Either branch may be evaluated ahead of the test, so the added key is dropped from the map first.
-    others = F.map_filter(record, lambda k, v: k != column)
-    added = F.map_concat(others, F.map_from_arrays(F.array(F.lit(column)), F.array(value)))
-    return F.when(record_has(record, column), replaced).otherwise(added)
+    record, value = as_column(record), value.cast("string")
+    keys, values = F.map_keys(record), F.map_values(record)
+    keys = F.array_union(keys, F.array(F.lit(column)))
+    place = F.array_position(keys, F.lit(column)).cast("int")
+    before, after = F.slice(values, 1, place - 1), F.slice(values, place + 1, F.size(values))
+    return F.map_from_arrays(keys, F.concat(before, F.array(value), after))
 
 
 def records_equal(left: Column | str, right: Column | str) -> Column:
     """Equality of content; the order of the columns does not matter."""
     left, right = as_column(left), as_column(right)
-    return F.array_sort(F.map_entries(left)).eqNullSafe(F.array_sort(F.map_entries(right)))
+    return F.sort_array(F.map_entries(left)).eqNullSafe(F.sort_array(F.map_entries(right)))

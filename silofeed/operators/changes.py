@@ -37,8 +37,9 @@ def apply_changes(
     ``deleted`` is a condition over the changes that marks removals. The snapshot is only read through an
     anti join on the changed keys: it is not shuffled while those are small enough to broadcast.
     """
-    latest = latest_changes(changes, keys, order_by)
+    removed = F.lit(False) if deleted is None else F.coalesce(deleted, F.lit(False))
+    # Only what the snapshot takes over goes through the shuffle.
+    taken = [c for c in changes.columns if c in (*keys, *order_by, *snapshot.columns)]
+    latest = latest_changes(changes.select(*taken, removed.alias("_removed")), keys, order_by)
     kept = snapshot.join(latest.select(*keys), list(keys), "left_anti").select(*snapshot.columns)
-    if deleted is not None:
-        latest = latest.filter(~F.coalesce(deleted, F.lit(False)))
-    return kept.unionByName(align_to_schema(latest, snapshot.schema))
+    return kept.unionByName(align_to_schema(latest.filter("NOT _removed"), snapshot.schema))

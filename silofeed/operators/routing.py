@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.tenancy import as_column, illegal_tenant_message, is_valid_tenant, tenant_catalog_or_null
+from ..functions.tenancy import TENANT_PREFIX, as_column, illegal_tenant_message, is_valid_tenant
 
 TENANT_CATALOG = "tenant_catalog"
 TARGET_TABLE = "target_table"
@@ -27,8 +27,9 @@ def route_records(df: DataFrame, tenant: Column | str, table: Column | str) -> t
     """
     tenant = as_column(tenant)
     target = F.lit(table) if isinstance(table, str) else table
+    catalog = F.concat(F.lit(TENANT_PREFIX), tenant)
     routed = df.filter(is_valid_tenant(tenant)).select(
-        "*", tenant_catalog_or_null(tenant).alias(TENANT_CATALOG), target.alias(TARGET_TABLE)
+        "*", catalog.alias(TENANT_CATALOG), target.alias(TARGET_TABLE)
     )
     rejected = df.filter(~is_valid_tenant(tenant)).withColumn(REJECT_REASON, illegal_tenant_message(tenant))
     return routed, rejected

@@ -14,6 +14,7 @@ from silofeed.sources import (
     SourceConfig,
     TableRef,
     append_table,
+    count_table,
     declare_key,
     describe_table,
     list_schemas,
@@ -64,13 +65,13 @@ def test_schema_and_table_are_listed(spark, source):
 def test_columns_and_key_are_described(spark, source):
     config, ref = source
     columns = describe_table(spark, config, ref)
-    assert [c["column"] for c in columns] == NAMES
-    assert [c["ordinal"] for c in columns] == [1, 2, 3]
-    assert [c["nullable"] for c in columns] == [False, False, True]
-    assert [c["primary_key"] for c in columns] == [True, False, False]
-    assert columns[0]["jdbc_type"] == -5 and columns[1]["jdbc_type"] == 12
-    assert columns[2]["jdbc_type"] in (2, 3)
-    assert columns[2]["type_name"].lower() in ("numeric(12,2)", "decimal(12,2)")
+    assert [c.column for c in columns] == NAMES
+    assert [c.ordinal for c in columns] == [1, 2, 3]
+    assert [c.nullable for c in columns] == [False, False, True]
+    assert [c.primary_key for c in columns] == [True, False, False]
+    assert columns[0].jdbc_type == -5 and columns[1].jdbc_type == 12
+    assert columns[2].jdbc_type in (2, 3)
+    assert columns[2].type_name.lower() in ("numeric(12,2)", "decimal(12,2)")
     keys = primary_key_columns(describe_tables(spark, config, ref.schema))
     assert rows(keys) == [(None, ref.schema, "orders", ["id"])]
 
@@ -85,14 +86,15 @@ def test_rows_are_read_in_declared_order_of_columns(spark, source):
 def test_a_row_is_written_and_read_back(spark, source):
     row = spark.sql("SELECT 375.0D AS amount, 'x' AS extra, 'acme' AS tenant, 3 AS id")
     append_table(spark, row, *source)
+    assert count_table(spark, *source) == 3
     assert rows(read_table(spark, *source)) == [*SEED, (3, "acme", Decimal("375.00"))]
-    assert [c["primary_key"] for c in describe_table(spark, *source)] == [True, False, False]
+    assert [c.primary_key for c in describe_table(spark, *source)] == [True, False, False]
 
 
 def test_a_missing_table_is_an_error(spark, source):
     config, ref = source
     missing = TableRef("does_not_exist_demo", ref.schema)
-    for use in (describe_table, read_table):
+    for use in (describe_table, read_table, count_table):
         with pytest.raises(ValueError, match=f"table not found: {ref.schema}.does_not_exist_demo"):
             use(spark, config, missing)
     with pytest.raises(ValueError, match="table not found"):
