@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.tenancy import catalog_for, database_for
+from ..workspace import folder_exists
 from .align import align_to_schema
 from .routing import TARGET_TABLE, TENANT_CATALOG
 
@@ -42,8 +43,13 @@ def write_fan_out(routed: DataFrame, path: str, run_id: str) -> None:
 
 
 def read_tenant(spark: SparkSession, path: str, tenant: str) -> DataFrame:
-    """Rows of one tenant; neither files nor names of other tenants are listed."""
-    rows = spark.read.parquet(f"{path}/{TENANT_CATALOG}={catalog_for(tenant)}")
+    """Rows of one tenant; the files of other tenants are not looked at."""
+    catalog = catalog_for(tenant)
+    if folder_exists(spark, f"{path}/_spark_metadata"):
+        # Written by a stream, whose log tells which files are finished.
+        rows = spark.read.parquet(path).filter(F.col(TENANT_CATALOG) == catalog).drop(TENANT_CATALOG)
+    else:
+        rows = spark.read.parquet(f"{path}/{TENANT_CATALOG}={catalog}")
     return rows.drop(RUN_ID)
 
 

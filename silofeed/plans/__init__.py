@@ -5,21 +5,24 @@ from .jobs import (
     admit,
     copy_table,
     ingest_lines,
+    ingest_source,
     ingest_table,
     ingest_tenants,
     require_admitted,
     tenant_verdicts,
     validate_jobs,
 )
-from .sync import sync_changes, sync_full, sync_incremental, sync_tenant_incremental
+from .sync import read_increment, sync_changes, sync_full, sync_incremental, sync_tenant_incremental
 
 __all__ = [
     "IngestRequest",
     "admit",
     "copy_table",
     "ingest_lines",
+    "ingest_source",
     "ingest_table",
     "ingest_tenants",
+    "read_increment",
     "require_admitted",
     "sync_changes",
     "sync_full",

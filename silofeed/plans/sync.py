@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import datetime
+import decimal
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
 from ..operators.changes import apply_changes
 from ..operators.sinks import publish_snapshot, read_tenant_table, tenant_table, write_tenant_table
+from ..sources.config import JDBC, SourceConfig, TableRef
+from ..sources.jdbc import CONNECTIONS, between, largest_value, read_jdbc
+from ..sources.tables import describe_table, read_table
+
+CURSOR_PROPERTY = "cursor."
 
 
 def sync_full(df: DataFrame, tenant: str, table: str) -> None:
@@ -40,6 +47,52 @@ def sync_incremental(df: DataFrame, cursor: str, after: Any | None) -> tuple[Dat
     return later.filter(F.col(cursor) <= _cursor_value(df, cursor, until)), until
 
 
+def read_increment(
+    spark: SparkSession,
+    source: SourceConfig,
+    ref: TableRef,
+    cursor: str,
+    after: Any | None,
+    partitions: int | None = None,
+) -> tuple[DataFrame, Any | None]:
+    """Like :func:`sync_incremental`, from a table of a source.
+
+    A database finds both ends by its index on the cursor, and the new rows alone are split into parts of
+    equal size, along the cursor and then the primary key.
+    """
+    if source.type != JDBC:
+        return sync_incremental(read_table(spark, source, ref), cursor, after)
+    columns = describe_table(spark, source, ref)
+    until = largest_value(spark, source, ref, cursor)
+    if until is None or (after is not None and until <= after):
+        return read_jdbc(spark, source, ref, where="1 = 0"), after
+    order = [cursor, *[c.column for c in columns if c.primary_key and c.column != cursor]]
+    partitions = partitions or min(spark.sparkContext.defaultParallelism, CONNECTIONS)
+    where = between(source, cursor, after, until)
+    return read_jdbc(spark, source, ref, order, partitions, where=where), until
+
+
+def _reached(known: DataFrame, name: str, cursor: str) -> Any | None:
+    """Largest cursor of a tenant's table.
+
+    The cursor that the last run has left as a property of the table only narrows the search, so that the
+    scan skips older files. Whatever it says, the answer comes from the rows.
+    """
+    key = CURSOR_PROPERTY + cursor
+    noted = known.sparkSession.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key") == key).first()
+    if noted is not None:
+        recent = known.filter(F.col(cursor) >= F.lit(noted["value"]).try_cast(known.schema[cursor].dataType))
+        found = recent.agg(F.max(cursor)).first()[0]
+        if found is not None:
+            return found
+    return known.agg(F.max(cursor)).first()[0]
+
+
+def _note_reached(spark: SparkSession, name: str, cursor: str, until: Any | None) -> None:
+    if isinstance(until, (int, decimal.Decimal, datetime.date)):
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{CURSOR_PROPERTY}{cursor}' = '{until}')")
+
+
 def sync_tenant_incremental(
     df: DataFrame,
     tenant: str,
@@ -54,21 +107,20 @@ def sync_tenant_incremental(
     apart. Rows that arrive late with an old cursor are found again with an ``overlap`` to look back
     over; ``keys`` then tell which rows are there already.
     """
-    spark = df.sparkSession
-    after, known = None, None
-    if spark.catalog.tableExists(tenant_table(tenant, table)):
-        known = read_tenant_table(spark, tenant, table)
-        after = known.agg(F.max(cursor)).first()[0]
-    start = after
-    if after is not None and overlap is not None:
-        if not keys:
-            raise ValueError("an overlap needs keys to tell which rows are there already")
+    spark, name = df.sparkSession, tenant_table(tenant, table)
+    if overlap is not None and not keys:
+        raise ValueError("an overlap needs keys to tell which rows are there already")
+    known = read_tenant_table(spark, tenant, table) if spark.catalog.tableExists(name) else None
+    after = None if known is None else _reached(known, name, cursor)
+    if after is None or overlap is None:
+        new, until = sync_incremental(df, cursor, after)
+    else:
         start = after - overlap
-    new, until = sync_incremental(df, cursor, start)
-    if start != after:
+        new, until = sync_incremental(df, cursor, start)
         recent = known.filter(F.col(cursor) > _cursor_value(known, cursor, start)).select(*keys)
         new = new.join(recent, list(keys), "left_anti").select(*df.columns)
     write_tenant_table(new, tenant, table)
+    _note_reached(spark, name, cursor, until)
     return until
 
 

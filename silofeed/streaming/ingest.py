@@ -12,17 +12,18 @@ from ..operators.routing import TENANT_CATALOG
 from ..operators.sinks import cluster_by_tenant
 from ..plans.jobs import require_admitted, save_verdicts, tenant_verdicts
 
+# Size of a micro-batch, and so of the work that is done again after a failure.
+MICRO_BATCH_BYTES = 2**40
+
 
 def read_stream(
-    spark: SparkSession, path: str, schema: StructType, max_bytes_per_trigger: int | None = None
+    spark: SparkSession, path: str, schema: StructType, max_bytes_per_trigger: int = MICRO_BATCH_BYTES
 ) -> DataFrame:
     """Parquet files as a stream. ``max_bytes_per_trigger`` bounds the size of a micro-batch.
 
     ``path`` is a folder, or a pattern that matches folders or files.
     """
-    reader = spark.readStream.schema(schema)
-    if max_bytes_per_trigger is not None:
-        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    reader = spark.readStream.schema(schema).option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.parquet(path)
 
 
@@ -53,7 +54,7 @@ def ingest_stream(
     checkpoint: str,
     quotas: DataFrame | None = None,
     parallelism: int | None = None,
-    max_bytes_per_trigger: int | None = None,
+    max_bytes_per_trigger: int = MICRO_BATCH_BYTES,
 ) -> DataFrame:
     """Bounded run over a closed folder of files: admit every tenant, then route the rows as a stream.
 
@@ -80,7 +81,7 @@ def land_changes(
     schema: StructType,
     path: str,
     checkpoint: str,
-    max_bytes_per_trigger: int | None = None,
+    max_bytes_per_trigger: int = MICRO_BATCH_BYTES,
 ) -> DataFrame:
     """Collect a stream of changes in a log, to be applied to a snapshot, and return the log so far.
 

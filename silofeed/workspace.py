@@ -21,7 +21,24 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    files, path = _file_system(spark, folder)
+    return files.exists(path)
+
+
 def remove_folder(spark: SparkSession, folder: str) -> None:
     """Delete a folder that :func:`new_folder` named."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    files, path = _file_system(spark, folder)
+    files.delete(path, True)
+
+
+def match_paths(spark: SparkSession, pattern: str) -> list[tuple[str, str]]:
+    """Parent name and name of the folders and files that match a pattern; nothing is opened."""
+    files, path = _file_system(spark, pattern)
+    paths = [status.getPath() for status in files.globStatus(path) or []]
+    return [(p.getParent().getName(), p.getName()) for p in paths]

@@ -24,14 +24,17 @@ from silofeed.operators import (
 from silofeed.plans import (
     IngestRequest,
     ingest_lines,
+    ingest_source,
     ingest_table,
     ingest_tenants,
+    read_increment,
     sync_changes,
     sync_full,
     sync_incremental,
     sync_tenant_incremental,
     validate_jobs,
 )
+from silofeed.sources import PARQUET, SourceConfig, TableRef, append_table
 from silofeed.workspace import new_folder, remove_folder
 
 LINES = [("1,acme,100",), ("2,acme,250",)]
@@ -216,6 +219,8 @@ def test_incremental_runs_add_up_to_the_source(spark, sf_dir, tenant):
         sync_tenant_incremental(arrived, tenant, "events", "ts")
     assert rows(read_tenant_table(spark, tenant, "events")) == rows(source.filter(~late))
     # Rows with old cursors arrive later; looking back finds them, and nothing is added twice.
+    noted = spark.sql(f"SHOW TBLPROPERTIES {tenant_table(tenant, 'events')}").filter("key = 'cursor.ts'").first()
+    assert noted["value"].startswith("2024-01-")
     month = datetime.timedelta(days=60)
     sync_tenant_incremental(source, tenant, "events", "ts", keys=["event_id"], overlap=month)
     assert rows(read_tenant_table(spark, tenant, "events")) == rows(source)
@@ -223,6 +228,45 @@ def test_incremental_runs_add_up_to_the_source(spark, sf_dir, tenant):
         sync_tenant_incremental(source, tenant, "events", "ts", overlap=month)
 
 
+@pytest.mark.parametrize("note", ["0", "7", "999", "text"])
+def test_a_noted_cursor_only_narrows_the_search(spark, tenant, note):
+    sync_tenant_incremental(spark.range(10), tenant, "t", "id")
+    spark.sql(f"ALTER TABLE {tenant_table(tenant, 't')} SET TBLPROPERTIES ('cursor.id' = '{note}')")
+    assert sync_tenant_incremental(spark.range(20), tenant, "t", "id") == 19
+    assert rows(read_tenant_table(spark, tenant, "t")) == rows(spark.range(20))
+
+
+def test_increments_of_a_database_table(spark, database):
+    t = TableRef("t", "s")
+    source = database(
+        'CREATE SCHEMA "s"',
+        'CREATE TABLE "s"."t" ("id" BIGINT NOT NULL PRIMARY KEY, "day" DATE, "n" BIGINT)',
+    )
+    assert read_increment(spark, source, t, "n", None)[0].isEmpty()
+    # Half of the new rows have the same cursor.
+    df = spark.range(400).selectExpr("id", "date_add(DATE'2024-01-01', CAST(id / 4 AS INT)) AS day", "greatest(id, 200) AS n")
+    append_table(spark, df, source, t)
+    new, until = read_increment(spark, source, t, "n", 99, partitions=4)
+    assert until == 399 and rows(new) == rows(df.filter("n > 99"))
+    sizes = [r["count"] for r in new.groupBy(F.spark_partition_id()).count().collect()]
+    assert sorted(sizes) == [100] * 4
+    new, until = read_increment(spark, source, t, "day", datetime.date(2024, 3, 1), partitions=4)
+    assert until == datetime.date(2024, 4, 9) and rows(new) == rows(df.filter("day > DATE'2024-03-01'"))
+    again, same = read_increment(spark, source, t, "day", until)
+    assert again.isEmpty() and same == until
+
+
+def test_a_source_table_is_ingested_within_its_quota(spark, sf_dir, tenant, database):
+    given = SourceConfig(PARQUET, sf_dir, options={"suffix": ".parquet"})
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    n = customer.count()
+    tight = IngestRequest(tenant, "customer", TenantQuota(n - 1, 4))
+    with pytest.raises(QuotaExceeded, match=f"planned {n} records exceeds quota {n - 1}"):
+        ingest_source(spark, given, TableRef("customer"), tight, parallelism=1)
+    ingest_source(spark, given, TableRef("customer"), IngestRequest(tenant, "customer", TenantQuota(n, 4)), 4)
+    assert rows(read_tenant_table(spark, tenant, "customer")) == rows(customer)
+
+
 def test_changes_are_applied_to_a_tenant_table(spark, tenant):
     sync_full(spark.createDataFrame([(1, "a"), (2, "b")], "id long, name string"), tenant, "t")
     log = spark.createDataFrame([(1, 1, "d", None), (3, 2, "u", "c"), (2, 3, "u", "z")], "id long, s int, op string, name string")

@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from silofeed.operators import QuotaExceeded, apply_changes, latest_changes
+from silofeed.operators import QuotaExceeded, apply_changes, latest_changes, read_tenant
 from silofeed.streaming import ingest_stream, land_changes
 
 QUOTAS = "tenant string, max_records long, max_parallelism int"
@@ -64,3 +64,13 @@ def test_changes_are_collected_over_several_runs(spark, sf_dir, folders):
     expected = latest_changes(events, ["user_id"], order).filter(~deleted)
     state = apply_changes(empty, log, ["user_id"], order, deleted)
     assert rows(state) == rows(expected, *state.columns)
+
+
+def test_a_tenant_of_a_stream_is_read_from_finished_files(spark, folders):
+    source, out, checkpoint = folders
+    df = spark.createDataFrame([(1, "acme"), (2, "acme"), (3, "beta")], SCHEMA)
+    df.write.parquet(source)
+    ingest_stream(spark, source, df.schema, "t", out, checkpoint, parallelism=1)
+    # What a failed task may leave behind.
+    df.limit(1).coalesce(1).write.mode("append").parquet(f"{out}/tenant_catalog=df_acme")
+    assert rows(read_tenant(spark, out, "acme")) == [(1, "acme"), (2, "acme")]
