@@ -6,10 +6,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from .align import align_to_schema
 
 
+def _orderable(kind: DataType) -> bool:
+    if isinstance(kind, ArrayType):
+        return _orderable(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(_orderable(field.dataType) for field in kind)
+    return not isinstance(kind, (MapType, VariantType))
+
+
 def latest_changes(changes: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """Last change of every key.
 
@@ -17,12 +26,17 @@ def latest_changes(changes: DataFrame, keys: Sequence[str], order_by: Sequence[s
     task keeps one row per key before the shuffle; a key with very many changes therefore stays cheap.
     A null key fails the query, as it would in a primary key.
     """
-    keys = list(keys)
+    keys, order_by = list(keys), list(order_by)
     no_key = F.raise_error(F.lit(f"key columns must not be null: {', '.join(keys)}"))
     guarded = changes.withColumns({k: F.when(F.col(k).isNotNull(), F.col(k)).otherwise(no_key) for k in keys})
-    payload = F.struct(*[c for c in changes.columns if c not in keys])
-    newest = guarded.groupBy(*keys).agg(F.max_by(payload, F.struct(*order_by)).alias("_row"))
-    return newest.select(*keys, "_row.*").select(*changes.columns)
+    others = [c for c in changes.columns if c not in (*keys, *order_by)]
+    row = F.struct(*[c for c in order_by if c not in keys], *others)
+    if all(_orderable(changes.schema[c].dataType) for c in others):
+        # The order columns come first in the row, so its maximum is the last change.
+        newest = F.max(row)
+    else:
+        newest = F.max_by(row, F.struct(*order_by))
+    return guarded.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*").select(*changes.columns)
 
 
 def apply_changes(
@@ -30,14 +44,15 @@ def apply_changes(
     changes: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str],
-    deleted: Column | None = None,
+    deleted: Column | str | None = None,
 ) -> DataFrame:
     """Snapshot after the changes: the last change of a key replaces its row, or removes it.
 
-    ``deleted`` is a condition over the changes that marks removals. The snapshot is only read through an
+    ``deleted`` is a condition over the changes, as a column or in SQL, that marks removals. The snapshot is only read through an
     anti join on the changed keys: it is not shuffled while those are small enough to broadcast.
     """
-    removed = F.lit(False) if deleted is None else F.coalesce(deleted, F.lit(False))
+    condition = F.expr(deleted) if isinstance(deleted, str) else deleted
+    removed = F.lit(False) if condition is None else F.coalesce(condition, F.lit(False))
     # Only what the snapshot takes over goes through the shuffle.
     taken = [c for c in changes.columns if c in (*keys, *order_by, *snapshot.columns)]
     latest = latest_changes(changes.select(*taken, removed.alias("_removed")), keys, order_by)

@@ -130,7 +130,7 @@ def sync_changes(
     table: str,
     keys: Sequence[str],
     order_by: Sequence[str],
-    deleted: Column | None = None,
+    deleted: Column | str | None = None,
 ) -> None:
     """Apply a change log to a tenant's table."""
     snapshot = read_tenant_table(changes.sparkSession, tenant, table)

@@ -7,12 +7,18 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import apply_changes, read_tenant, read_tenant_table, route_records, write_fan_out
-from ..operators.sinks import create_tenant_database
+from ..operators import (
+    apply_changes,
+    create_tenant_database,
+    read_tenant,
+    read_tenant_table,
+    route_records,
+    write_fan_out,
+)
 from ..plans import ingest_tenants, sync_changes, sync_full, sync_incremental, sync_tenant_incremental
 from ..streaming import ingest_stream, land_changes
 from ..workspace import new_folder
-from .records import NEWEST_SQL
+from .records import STATE_SQL, USER_GONE, USER_KEY, USER_ORDER, state_and_log
 from .registry import query, table
 from .tenants import QUOTAS_SQL, orders_with_tenant, tenant_quotas
 
@@ -94,14 +100,13 @@ def incremental_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tenant_table(spark, tenant, "events")
 
 
-@query(NEWEST_SQL.format(columns="user_id, event_id, event_type, value", condition="AND event_type <> 'error'"))
+@query(STATE_SQL)
 def synced_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An empty tenant table to which the whole log is applied."""
-    events, tenant = table(spark, sf_dir, "events"), "sync-changes"
+    """State of every user in a tenant's table, brought up to date by the later half of the log."""
+    tenant, (snapshot, later) = "sync-changes", state_and_log(spark, sf_dir)
     tenant_database(spark, tenant)
-    sync_full(events.select("user_id", "event_id", "event_type", "value").limit(0), tenant, "users")
-    deleted = F.col("event_type") == "error"
-    sync_changes(events, tenant, "users", ["user_id"], ["ts", "event_id"], deleted)
+    sync_full(snapshot, tenant, "users")
+    sync_changes(later, tenant, "users", USER_KEY, USER_ORDER, USER_GONE)
     return read_tenant_table(spark, tenant, "users")
 
 
@@ -118,11 +123,11 @@ def streamed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-@query(NEWEST_SQL.format(columns="user_id, event_id, event_type, value", condition="AND event_type <> 'error'"))
+@query(STATE_SQL)
 def streamed_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A change log that arrives as a stream, applied to an empty snapshot."""
+    """The whole log arrives as a stream; what the snapshot knows already does no harm."""
     events = table(spark, sf_dir, "events")
     path, checkpoint = new_folder(spark, "changes"), new_folder(spark, "stream")
     log = land_changes(spark, event_files(sf_dir), events.schema, path, checkpoint)
-    snapshot = events.select("user_id", "event_id", "event_type", "value").limit(0)
-    return apply_changes(snapshot, log, ["user_id"], ["ts", "event_id"], F.col("event_type") == "error")
+    snapshot, _ = state_and_log(spark, sf_dir)
+    return apply_changes(snapshot, log, USER_KEY, USER_ORDER, USER_GONE)

@@ -155,14 +155,21 @@ def newest_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 MIDDLE = "timestamp_ntz'2024-01-15 00:00:00'"
+USER_KEY, USER_ORDER, USER_GONE = ["user_id"], ["ts", "event_id"], "event_type = 'error'"
+STATE_SQL = NEWEST_SQL.format(
+    columns="user_id, event_id, event_type, value", condition="AND event_type <> 'error'"
+)
 
 
-@query(NEWEST_SQL.format(columns="user_id, event_id, event_type, value", condition="AND event_type <> 'error'"))
-def applied_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """State of every user in the middle of the month, brought up to date by the later half of the log."""
+def state_and_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """State of every user in the middle of the month, and the log from then on."""
     events = table(spark, sf_dir, "events")
-    key, order = ["user_id"], ["ts", "event_id"]
-    before = latest_changes(events.filter(f"ts <= {MIDDLE}"), key, order)
-    snapshot = before.filter("event_type <> 'error'").select("user_id", "event_id", "event_type", "value")
-    later = events.filter(f"ts > {MIDDLE}")
-    return apply_changes(snapshot, later, key, order, F.col("event_type") == "error")
+    before = latest_changes(events.filter(f"ts <= {MIDDLE}"), USER_KEY, USER_ORDER)
+    snapshot = before.filter(f"NOT ({USER_GONE})").select("user_id", "event_id", "event_type", "value")
+    return snapshot, events.filter(f"ts > {MIDDLE}")
+
+
+@query(STATE_SQL)
+def applied_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    snapshot, later = state_and_log(spark, sf_dir)
+    return apply_changes(snapshot, later, USER_KEY, USER_ORDER, USER_GONE)

@@ -15,8 +15,8 @@ from ..functions import (
     source_supported,
     validate_sources,
 )
+from ..operators import create_tenant_database, register_tenant
 from ..plans import copy_table, ingest_tenants
-from ..operators import register_tenant
 from ..sources import (
     JDBC,
     PARQUET,
@@ -215,6 +215,7 @@ def tenant_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "customer"), tenant, "customer", path, "first", quotas, parallelism=4
     )
     for row in verdicts.select("tenant").toLocalIterator():
+        create_tenant_database(spark, row["tenant"], new_folder(spark, row["tenant"]))
         register_tenant(spark, path, row["tenant"], "customer")
     lake = SourceConfig(TABLE, "spark_catalog")
     schemas = [r["schema"] for r in list_schemas(spark, lake).filter("schema LIKE 'df\\_cust\\_%'").collect()]
@@ -230,16 +231,6 @@ def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, given_tables(sf_dir), TableRef("lineitem"))
 
 
-@query("""
-    SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem
-    WHERE l_shipdate >= TIMESTAMP '1998-01-01 00:00:00' AND l_quantity > 40""")
-def pushed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Filters and columns chosen behind a scan reach the files."""
-    lines = read_table(spark, given_tables(sf_dir), TableRef("lineitem"))
-    wanted = (F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz")) & (F.col("l_quantity") > 40)
-    return lines.filter(wanted).select("l_orderkey", "l_linenumber", "l_shipdate")
-
-
 # The embedded database lives in the driver's process, which in a local session also runs the tasks.
 ORDERS = TableRef("orders", "df_acme")
 ORDERS_DDL = """CREATE TABLE "df_acme"."orders" (

@@ -171,7 +171,7 @@ JOBS = {
 
 @query(
     VERDICTS_SQL.format(
-        limited=f"""SELECT j.*, 1000000 AS max_records, 4 AS max_parallelism
+        limited=f"""SELECT j.*, CAST(1000000 AS BIGINT) AS max_records, 4 AS max_parallelism
         FROM ({derived_sql(JOBS, "orders")}) j"""
     )
 )

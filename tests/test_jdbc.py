@@ -166,7 +166,10 @@ def test_a_staged_append_drops_rows_that_arrive_twice_but_keeps_equal_rows(spark
     numbered = spark.createDataFrame([(7, 0), (7, 1), (8, 2)], f"v long, {ROW_ID} long")
     append_jdbc(spark, numbered, source, stage)
     append_jdbc(spark, numbered.limit(2), source, stage)
-    publish_stage(spark, source, stage, T, ["v"])
+    with pytest.raises(RuntimeError, match="4 rows to append, 3 found"):
+        publish_stage(spark, source, stage, T, ["v"], 4)
+    assert read_jdbc(spark, source, T).count() == 3
+    publish_stage(spark, source, stage, T, ["v"], 3)
     assert rows(read_jdbc(spark, source, T)) == [(1,), (1,), (2,), (7,), (7,), (8,)]
 
 

@@ -40,6 +40,14 @@ def test_alignment_does_not_shuffle(spark, sf_dir):
     assert "ReadSchema: struct<o_orderkey:bigint>" in plan(aligned)
 
 
+def test_filters_and_columns_behind_an_alignment_reach_the_files(spark, sf_dir):
+    schema = StructType().add("o_orderkey", "long").add("o_custkey", "long").add("o_totalprice", "double")
+    aligned = align_to_schema(spark.read.parquet(f"{sf_dir}/orders.parquet"), schema)
+    text = plan(aligned.filter("o_totalprice > 100").select("o_orderkey"))
+    assert "GreaterThan(o_totalprice,100.0)" in text
+    assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in text
+
+
 def test_routed_lines(spark):
     df = spark.createDataFrame([("1,acme,100",), ("2,acme,250",), (None,)], "row string")
     lines = df.select(route_line("row", F.lit("df_acme"), F.lit("orders")).alias("line"))
