@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,8 +28,9 @@ def latest_changes(changes: DataFrame, keys: Sequence[str], order_by: Sequence[s
     A null key fails the query, as it would in a primary key.
     """
     keys, order_by = list(keys), list(order_by)
-    no_key = F.raise_error(F.lit(f"key columns must not be null: {', '.join(keys)}"))
-    guarded = changes.withColumns({k: F.when(F.col(k).isNotNull(), F.col(k)).otherwise(no_key) for k in keys})
+    complete = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    no_key = F.raise_error(F.lit(f"key columns must not be null: {', '.join(keys)}")).cast("boolean")
+    guarded = changes.filter(F.when(complete, F.lit(True)).otherwise(no_key))
     others = [c for c in changes.columns if c not in (*keys, *order_by)]
     row = F.struct(*[c for c in order_by if c not in keys], *others)
     if all(_orderable(changes.schema[c].dataType) for c in others):

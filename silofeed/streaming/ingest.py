@@ -11,6 +11,7 @@ from ..operators.quota import QuotaExceeded
 from ..operators.routing import TENANT_CATALOG
 from ..operators.sinks import cluster_by_tenant
 from ..plans.jobs import require_admitted, save_verdicts, tenant_verdicts
+from ..workspace import folder_exists
 
 # Size of a micro-batch, and so of the work that is done again after a failure.
 MICRO_BATCH_BYTES = 2**40
@@ -45,6 +46,13 @@ def write_stream(df: DataFrame, path: str, checkpoint: str, *partition_by: str)
     return query
 
 
+def read_landed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """What streams have written to a folder, also when nothing has arrived yet."""
+    if not folder_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def ingest_stream(
     spark: SparkSession,
     source_path: str,
@@ -69,7 +77,7 @@ def ingest_stream(
     routed = rows.withColumn(TENANT_CATALOG, tenant_catalog_or_null(tenant))
     write_stream(cluster_by_tenant(routed), path, checkpoint, TENANT_CATALOG)
     admitted = verdicts.groupBy().sum("planned").first()[0] or 0
-    moved = spark.read.schema(schema).parquet(path).count()
+    moved = read_landed(spark, path, schema).count()
     if moved > admitted:
         raise QuotaExceeded(f"{source_path} grew during the run: admitted {admitted} records, moved {moved}")
     return verdicts
@@ -89,4 +97,4 @@ def land_changes(
     """
     rows = read_stream(spark, source_path, schema, max_bytes_per_trigger)
     write_stream(rows, path, checkpoint)
-    return spark.read.schema(schema).parquet(path)
+    return read_landed(spark, path, schema)

@@ -55,8 +55,10 @@ def test_rows_with_maps_and_orders_with_nulls(spark):
 
 def test_a_null_key_fails(spark):
     log = spark.createDataFrame([(None, 1, "u", "a")], LOG)
-    with pytest.raises(Exception, match="key columns must not be null: id"):
-        latest_changes(log, ["id"], ["seq"]).collect()
+    base = spark.createDataFrame([(1, "a")], "id long, name string")
+    for df in (latest_changes(log, ["id"], ["seq"]), apply_changes(base, log, ["id"], ["seq"])):
+        with pytest.raises(Exception, match="key columns must not be null: id"):
+            df.collect()
 
 
 def test_snapshot_plus_changes_is_the_latest_of_the_whole_log(spark, sf_dir):

@@ -17,6 +17,7 @@ from silofeed.operators import (
     read_tenant_table,
     register_tenant,
     route_records,
+    tables_equal,
     tenant_table,
     write_fan_out,
     write_tenant_table,
@@ -186,6 +187,14 @@ def test_arrays_pass_through_a_tenant_table(spark, sf_dir, tenant):
     assert rows(copied) == rows(vectors)
 
 
+def test_a_copy_does_not_differ(spark, sf_dir, tenant):
+    for name in ("lineitem", "documents", "conversations"):
+        source = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        sync_full(source, tenant, name)
+        assert tables_equal(read_tenant_table(spark, tenant, name), source)
+    assert not tables_equal(read_tenant_table(spark, tenant, name), source.union(source.limit(1)))
+
+
 def events(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 

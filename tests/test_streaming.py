@@ -74,3 +74,11 @@ def test_a_tenant_of_a_stream_is_read_from_finished_files(spark, folders):
     # What a failed task may leave behind.
     df.limit(1).coalesce(1).write.mode("append").parquet(f"{out}/tenant_catalog=df_acme")
     assert rows(read_tenant(spark, out, "acme")) == [(1, "acme"), (2, "acme")]
+
+
+def test_nothing_has_arrived_yet(spark, folders):
+    source, out, checkpoint = folders
+    schema = spark.createDataFrame([], SCHEMA).schema
+    os.makedirs(source)
+    assert land_changes(spark, source, schema, out, checkpoint).isEmpty()
+    assert ingest_stream(spark, source, schema, "t", out + "2", checkpoint + "2", parallelism=1).isEmpty()
