@@ -50,8 +50,9 @@ def apply_changes(
 ) -> DataFrame:
     """Snapshot after the changes: the last change of a key replaces its row, or removes it.
 
-    ``deleted`` is a condition over the changes, as a column or in SQL, that marks removals. The snapshot is only read through an
-    anti join on the changed keys: it is not shuffled while those are small enough to broadcast.
+    ``deleted`` is a condition over the changes, as a column or in SQL, that marks removals. The snapshot is
+    only read through an anti join on the changed keys: it is not shuffled while those are small enough to
+    broadcast.
     """
     condition = F.expr(deleted) if isinstance(deleted, str) else deleted
     removed = F.lit(False) if condition is None else F.coalesce(condition, F.lit(False))

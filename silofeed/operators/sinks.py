@@ -60,21 +60,32 @@ def tenant_table(tenant: str, table: str) -> str:
     return f"`{database_for(tenant)}`.`{table}`"
 
 
+def _text(value: str) -> str:
+    """Text literal of Spark SQL."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def create_tenant_database(spark: SparkSession, tenant: str, location: str | None = None) -> None:
     """Database of a tenant, in the warehouse or in a folder of its own."""
-    place = "" if location is None else f" LOCATION '{location}'"
+    place = "" if location is None else f" LOCATION {_text(location)}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database_for(tenant)}`{place}")
 
 
 def register_tenant(spark: SparkSession, path: str, tenant: str, table: str) -> None:
     """Make a tenant's part of a fanned-out table known as a table of the tenant's database.
 
-    Only the catalog changes; the rows stay where the fan-out has put them.
+    Only the catalog changes; the rows stay where the fan-out has put them. A table that holds rows of its
+    own is not given up for it.
     """
     name = tenant_table(tenant, table)
     create_tenant_database(spark, tenant)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}/{TENANT_CATALOG}={catalog_for(tenant)}'")
+    if spark.catalog.tableExists(name):
+        if spark.catalog.getTable(name).tableType == "MANAGED":
+            raise ValueError(f"{name} is a table with rows of its own")
+        spark.sql(f"DROP TABLE {name}")
+    place = _text(f"{path}/{TENANT_CATALOG}={catalog_for(tenant)}")
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION {place}")
     spark.catalog.recoverPartitions(name)
 
 
@@ -105,7 +116,7 @@ def publish_snapshot(df: DataFrame, tenant: str, table: str) -> None:
     if spark.catalog.tableExists(name):
         df = align_to_schema(df, spark.table(name).schema)
         df.write.parquet(folder)
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {_text(folder)}")
         spark.catalog.refreshTable(name)
     else:
         df.write.parquet(folder)

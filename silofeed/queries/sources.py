@@ -289,7 +289,8 @@ def jdbc_append_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 def jdbc_described(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metadata of a database table next to the number of rows that it was filled with."""
     source = embedded_database(spark, CONTRACT_DDL)
-    rows = table(spark, sf_dir, "orders").selectExpr("'acme' AS tenant", "o_totalprice AS amount", "o_orderkey AS id")
+    orders = table(spark, sf_dir, "orders")
+    rows = orders.selectExpr("'acme' AS tenant", "o_totalprice AS amount", "o_orderkey AS id")
     append_table(spark, rows, source, ORDERS)
     n = read_table(spark, source, ORDERS, partitions=8).count()
     found = describe_tables(spark, source, "df_acme", ["orders"]).drop("catalog", "schema", "table")

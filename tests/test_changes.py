@@ -38,7 +38,9 @@ def test_without_a_mark_nothing_is_removed(spark):
 
 
 def test_keys_of_more_than_one_column_and_null_values(spark):
-    log = spark.createDataFrame([(1, "x", 1, "a"), (1, "y", 2, "b"), (1, "x", 3, None)], "a int, b string, s int, v string")
+    log = spark.createDataFrame(
+        [(1, "x", 1, "a"), (1, "y", 2, "b"), (1, "x", 3, None)], "a int, b string, s int, v string"
+    )
     assert rows(latest_changes(log, ["a", "b"], ["s"])) == [(1, "x", 3, None), (1, "y", 2, "b")]
 
 
@@ -73,7 +75,8 @@ def test_snapshot_plus_changes_is_the_latest_of_the_whole_log(spark, sf_dir):
 
 def test_one_row_per_key_is_shuffled_and_the_snapshot_is_not(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr("o_orderkey AS user_id", "o_custkey AS value")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = orders.selectExpr("o_orderkey AS user_id", "o_custkey AS value")
     text = plan(apply_changes(orders, events, ["user_id"], ["ts", "event_id"]))
     assert "partial_max(struct" in text and "Window" not in text
     assert "BroadcastHashJoin" in text and "LeftAnti" in text

@@ -110,3 +110,20 @@ def test_a_source_of_unknown_kind_is_refused(spark):
         read_table(spark, SourceConfig("queue", "x"), TableRef("orders"))
     with pytest.raises(ValueError, match="no connector"):
         read_table(spark, SourceConfig("jdbc", f"http://{uuid.uuid4().hex}"), TableRef("orders"))
+
+
+@pytest.mark.parametrize("name", ["..", "*", "o?ders", "[a-z]*", "{orders,x}", "../df_other/orders", "a\\*"])
+def test_a_name_does_not_lead_out_of_a_tenants_folder(spark, tmp_path, name):
+    seed(spark).write.parquet(f"{tmp_path}/df_acme/orders")
+    seed(spark).write.parquet(f"{tmp_path}/df_other/orders")
+    config = SourceConfig(PARQUET, str(tmp_path))
+    for ref in (TableRef(name, "df_acme"), TableRef("orders", name)):
+        with pytest.raises(ValueError, match="illegal name"):
+            read_table(spark, config, ref)
+    with pytest.raises(ValueError, match="illegal name"):
+        list_tables(spark, config, name)
+
+
+def test_names_in_the_spark_catalog_are_quoted(spark):
+    with pytest.raises(ValueError, match="table not found"):
+        read_table(spark, SourceConfig(TABLE, "spark_catalog"), TableRef("x` UNION SELECT `y"))

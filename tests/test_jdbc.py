@@ -47,7 +47,7 @@ def partition_sizes(df):
 
 def test_clustered_keys_give_equal_partitions(spark, database):
     # Most keys lie close together, a few are far away.
-    df = spark.range(1000).select(F.when(F.col("id") < 950, F.col("id")).otherwise(F.col("id") * 10**12).alias("id"))
+    df = spark.range(1000).selectExpr("CASE WHEN id < 950 THEN id ELSE id * 1000000000000 END AS id")
     source = filled(spark, database, '"id" BIGINT NOT NULL PRIMARY KEY', df)
     scan = read_table(spark, source, T, partitions=8)
     assert rows(scan) == rows(df)

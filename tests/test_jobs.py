@@ -12,6 +12,7 @@ from silofeed.operators import (
     QuotaExceeded,
     TenantQuota,
     cluster_by_tenant,
+    create_tenant_database,
     publish_snapshot,
     read_tenant,
     read_tenant_table,
@@ -35,6 +36,7 @@ from silofeed.plans import (
     sync_tenant_incremental,
     validate_jobs,
 )
+from silofeed.queries.tenants import orders_with_tenant
 from silofeed.sources import PARQUET, SourceConfig, TableRef, append_table
 from silofeed.workspace import new_folder, remove_folder
 
@@ -69,7 +71,9 @@ def test_a_job_over_quota_does_not_run(spark, tenant):
     assert rows(read_tenant_table(spark, tenant, "orders")) == sorted(LINES)
 
 
-@pytest.mark.parametrize("arguments", [("A b", "t"), (None, "t"), ("acme", " "), ("acme", None), ("acme", "t", None)])
+@pytest.mark.parametrize(
+    "arguments", [("A b", "t"), (None, "t"), ("acme", " "), ("acme", None), ("acme", "t", None)]
+)
 def test_requests_are_validated(spark, arguments):
     with pytest.raises(ValueError):
         IngestRequest(*arguments)
@@ -100,9 +104,9 @@ def test_fan_out_keeps_tenants_apart_and_can_be_run_again(spark, tmp_path):
 
 def test_a_large_tenant_is_written_by_several_tasks(spark, tmp_path):
     # Two thirds of the rows belong to one tenant.
-    df = spark.range(0, 400_000, 1, 8).select(
-        F.when(F.col("id") % 3 > 0, F.lit("df_hot")).otherwise(F.concat(F.lit("df_"), F.col("id") % 50)).alias("tenant_catalog"),
-        F.sha2(F.col("id").cast("string"), 256).alias("text"),
+    df = spark.range(0, 400_000, 1, 8).selectExpr(
+        "CASE WHEN id % 3 > 0 THEN 'df_hot' ELSE concat('df_', id % 50) END AS tenant_catalog",
+        "sha2(CAST(id AS STRING), 256) AS text",
     )
     assert "REBALANCE_PARTITIONS_BY_COL" in plan(cluster_by_tenant(df))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
@@ -157,6 +161,56 @@ def test_a_fanned_out_table_is_registered_per_tenant(spark, tmp_path, tenant):
     assert rows(read_tenant_table(spark, tenant, "orders"), "id", "t") == [(1, tenant)]
 
 
+def test_a_table_with_rows_of_its_own_is_not_replaced_by_a_registration(spark, tmp_path, tenant):
+    write_tenant_table(spark.range(3), tenant, "t")
+    with pytest.raises(ValueError, match="rows of its own"):
+        register_tenant(spark, str(tmp_path), tenant, "t")
+    assert rows(read_tenant_table(spark, tenant, "t")) == [(0,), (1,), (2,)]
+    publish_snapshot(spark.range(7, 9), tenant, "t")
+    write_tenant_table(spark.range(1), tenant, "t")
+    assert rows(read_tenant_table(spark, tenant, "t")) == [(0,), (7,), (8,)]
+
+
+def test_folders_with_quotes_in_their_names(spark, tmp_path, tenant):
+    create_tenant_database(spark, tenant, f"{tmp_path}/it's")
+    for n in (1, 2):
+        publish_snapshot(spark.range(n), tenant, "t")
+    assert read_tenant_table(spark, tenant, "t").count() == 2
+
+
+def test_orders_of_a_customer_who_has_a_third_of_them_are_split(spark, tmp_path):
+    # Both sides are shuffled, and the hot key is larger than a partition should be.
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    orders = spark.range(0, 120_000, 1, 6).selectExpr(
+        "id AS o_orderkey",
+        "CASE WHEN id % 3 = 0 THEN 7 ELSE id % 1000 END AS o_custkey",
+        "sha2(CAST(id AS STRING), 256) AS note",
+    )
+    customer = spark.range(1000).selectExpr("id AS c_custkey", "concat('t-', id % 10) AS c_mktsegment")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    customer.write.parquet(f"{tmp_path}/customer.parquet")
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = orders_with_tenant(spark, str(tmp_path))
+        routed, _ = route_records(joined, "tenant", "orders")
+        counted = routed.groupBy("tenant_catalog").agg(F.count("note").alias("count"), F.max("note"))
+        found = {r["tenant_catalog"]: r["count"] for r in counted.collect()}
+        text = plan(counted)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert "skew=true" in text and "SortMergeJoin" in text
+    assert sum(found.values()) == 120_000 and found["df_t-7"] > 40_000
+
+
 def test_appends_to_a_tenant_table_are_aligned(spark, tenant):
     write_tenant_table(spark.sql("SELECT 1L AS id, 'a' AS name"), tenant, "t")
     write_tenant_table(spark.sql("SELECT 'b' AS name, 'x' AS extra, 2 AS id"), tenant, "t")
@@ -253,7 +307,9 @@ def test_increments_of_a_database_table(spark, database):
     )
     assert read_increment(spark, source, t, "n", None)[0].isEmpty()
     # Half of the new rows have the same cursor.
-    df = spark.range(400).selectExpr("id", "date_add(DATE'2024-01-01', CAST(id / 4 AS INT)) AS day", "greatest(id, 200) AS n")
+    df = spark.range(400).selectExpr(
+        "id", "date_add(DATE'2024-01-01', CAST(id / 4 AS INT)) AS day", "greatest(id, 200) AS n"
+    )
     append_table(spark, df, source, t)
     new, until = read_increment(spark, source, t, "n", 99, partitions=4)
     assert until == 399 and rows(new) == rows(df.filter("n > 99"))
@@ -278,7 +334,9 @@ def test_a_source_table_is_ingested_within_its_quota(spark, sf_dir, tenant, data
 
 def test_changes_are_applied_to_a_tenant_table(spark, tenant):
     sync_full(spark.createDataFrame([(1, "a"), (2, "b")], "id long, name string"), tenant, "t")
-    log = spark.createDataFrame([(1, 1, "d", None), (3, 2, "u", "c"), (2, 3, "u", "z")], "id long, s int, op string, name string")
+    log = spark.createDataFrame(
+        [(1, 1, "d", None), (3, 2, "u", "c"), (2, 3, "u", "z")], "id long, s int, op string, name string"
+    )
     for _ in range(2):
         sync_changes(log, tenant, "t", ["id"], ["s"], F.col("op") == "d")
         assert rows(read_tenant_table(spark, tenant, "t")) == [(2, "z"), (3, "c")]

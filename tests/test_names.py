@@ -2,7 +2,14 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from silofeed.functions import dialect_for_url, dialect_name, not_blank, qualified_name, quote_identifier, quote_name
+from silofeed.functions import (
+    dialect_for_url,
+    dialect_name,
+    not_blank,
+    qualified_name,
+    quote_identifier,
+    quote_name,
+)
 from silofeed.sources import TableRef
 
 URLS = {

@@ -61,6 +61,7 @@ def test_setting_a_column(orders):
 def test_equality_ignores_order_and_heeds_nulls(spark):
     df = spark.sql("""
         SELECT map('a', '1', 'b', NULL) AS m, map('b', NULL, 'a', '1') AS same,
-               map('a', '1') AS fewer, map('a', '1', 'b', 'x') AS other, CAST(NULL AS MAP<STRING, STRING>) AS nothing""")
+               map('a', '1') AS fewer, map('a', '1', 'b', 'x') AS other,
+               CAST(NULL AS MAP<STRING, STRING>) AS nothing""")
     row = df.select(*[records_equal("m", c) for c in ("m", "same", "fewer", "other", "nothing")]).first()
     assert tuple(row) == (True, True, False, False, False)

@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from silofeed.operators import QuotaExceeded, apply_changes, latest_changes, read_tenant
-from silofeed.streaming import ingest_stream, land_changes
+from silofeed.streaming import ingest_stream, land_changes, read_landed, read_stream, write_stream
 
 QUOTAS = "tenant string, max_records long, max_parallelism int"
 SCHEMA = "id long, t string"
@@ -82,3 +82,24 @@ def test_nothing_has_arrived_yet(spark, folders):
     os.makedirs(source)
     assert land_changes(spark, source, schema, out, checkpoint).isEmpty()
     assert ingest_stream(spark, source, schema, "t", out + "2", checkpoint + "2", parallelism=1).isEmpty()
+
+
+def test_a_stream_that_failed_goes_on_and_writes_each_row_once(spark, folders):
+    source, out, checkpoint = folders
+    df = spark.range(40).selectExpr("id", "'acme' AS tenant_catalog")
+    df.filter("id < 20").coalesce(1).write.parquet(source)
+    broken = f"{source}/part-broken.parquet"
+    with open(broken, "w") as file:
+        file.write("this is not parquet")
+
+    def run():
+        rows_in = read_stream(spark, source, df.schema, max_bytes_per_trigger=1)
+        return write_stream(rows_in, out, checkpoint, "tenant_catalog")
+
+    with pytest.raises(Exception, match="STREAM_FAILED|FAILED_READ_FILE"):
+        run()
+    assert rows(read_landed(spark, out, df.schema)) == rows(df.filter("id < 20"))
+    df.filter("id >= 20").toPandas().to_parquet(broken)
+    run()
+    run()
+    assert rows(read_landed(spark, out, df.schema)) == rows(df)
