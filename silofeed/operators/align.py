@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
 
 def _by_position(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
@@ -19,6 +19,15 @@ def _by_position(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     return df.toDF(*generated), dict(zip(df.columns, generated))
 
 
+def _cast(df: DataFrame, value: Column, kind: DataType) -> Column:
+    """Cast that fails for a value that does not fit, also in sessions where a plain cast gives null."""
+    if df.sparkSession.conf.get("spark.sql.ansi.enabled") == "true":
+        return value.cast(kind)
+    fitting = value.try_cast(kind)
+    failed = F.raise_error(F.concat(F.lit(f"not a {kind.simpleString()}: "), value.cast("string")))
+    return F.when(value.isNull() | fitting.isNotNull(), fitting).otherwise(failed)
+
+
 def align_to_schema(df: DataFrame, schema: StructType) -> DataFrame:
     """Columns of ``schema`` in its order and types.
 
@@ -28,8 +37,11 @@ def align_to_schema(df: DataFrame, schema: StructType) -> DataFrame:
     rows, source = _by_position(df)
     columns = []
     for field in schema:
-        value = F.col(source[field.name]) if field.name in source else F.lit(None)
-        columns.append(value.cast(field.dataType).alias(field.name, metadata=field.metadata))
+        if field.name in source:
+            value = _cast(df, F.col(source[field.name]), field.dataType)
+        else:
+            value = F.lit(None).cast(field.dataType)
+        columns.append(value.alias(field.name, metadata=field.metadata))
     return rows.select(*columns)
 
 

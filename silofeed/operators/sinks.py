@@ -28,14 +28,18 @@ def cluster_by_tenant(df: DataFrame) -> DataFrame:
     return df
 
 
-def write_fan_out(routed: DataFrame, path: str, run_id: str) -> None:
+def write_fan_out(routed: DataFrame, path: str, run_id: str, cluster: bool = True) -> None:
     """Write routed rows of many tenants to one table, partitioned by tenant and run.
 
-    A run replaces its own partitions only, so running it again leaves the same rows.
+    A run replaces its own partitions only, so running it again leaves the same rows. ``cluster=False``
+    saves the shuffle where rows lie by tenant already, or where there are few tenants.
     """
-    rows = cluster_by_tenant(routed.drop(TARGET_TABLE)).withColumn(RUN_ID, F.lit(run_id))
+    rows = routed.drop(TARGET_TABLE)
+    if cluster:
+        rows = cluster_by_tenant(rows)
     (
-        rows.write.mode("overwrite")
+        rows.withColumn(RUN_ID, F.lit(run_id))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(TENANT_CATALOG, RUN_ID)
         .parquet(path)

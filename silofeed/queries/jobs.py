@@ -35,13 +35,13 @@ def fanned_out(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-@query(TENANT_ORDERS_SQL)
+@query("fan_out", TENANT_ORDERS_SQL)
 def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders of all tenants written in one job, and read back."""
     return spark.read.parquet(fanned_out(spark, sf_dir)).drop("run_id")
 
 
-@query(f"""
+@query("tenant_table", f"""
     SELECT o_orderkey, o_custkey, o_totalprice FROM ({TENANT_ORDERS_SQL}) o
     WHERE tenant_catalog = 'df_furniture'""")
 def one_tenant(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +49,7 @@ def one_tenant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tenant(spark, fanned_out(spark, sf_dir), "furniture")
 
 
-@query(f"""
+@query("ingest_tenants", f"""
     WITH o AS ({TENANT_ORDERS_SQL}),
     refused AS (
         SELECT 'df_' || p.tenant AS tenant_catalog
@@ -76,20 +76,20 @@ def tenant_database(spark: SparkSession, tenant: str) -> None:
     create_tenant_database(spark, tenant, new_folder(spark, tenant))
 
 
-@query("SELECT * FROM embeddings")
+@query("sync_full", "SELECT * FROM embeddings")
 def full_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     tenant_database(spark, "sync-full")
     sync_full(table(spark, sf_dir, "embeddings"), "sync-full", "embeddings")
     return read_tenant_table(spark, "sync-full", "embeddings")
 
 
-@query("SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-15 00:00:00'")
+@query("sync_incremental", "SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-15 00:00:00'")
 def incremental_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = sync_incremental(table(spark, sf_dir, "events"), "ts", datetime.datetime(2024, 1, 15))
     return rows
 
 
-@query("SELECT * FROM events")
+@query("sync_tenant_incremental", "SELECT * FROM events")
 def incremental_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log as it was in the middle of the month, and then the whole log from a day before."""
     events, tenant = table(spark, sf_dir, "events"), "sync-incremental"
@@ -100,7 +100,7 @@ def incremental_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tenant_table(spark, tenant, "events")
 
 
-@query(STATE_SQL)
+@query("sync_changes", STATE_SQL)
 def synced_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State of every user in a tenant's table, brought up to date by the later half of the log."""
     tenant, (snapshot, later) = "sync-changes", state_and_log(spark, sf_dir)
@@ -110,7 +110,7 @@ def synced_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tenant_table(spark, tenant, "users")
 
 
-@query("""
+@query("ingest_stream", """
     SELECT event_id, ts, user_id, event_type, value, props, 'df_' || event_type AS tenant_catalog FROM events""")
 def streamed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
@@ -123,7 +123,7 @@ def streamed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-@query(STATE_SQL)
+@query("stream_changes", STATE_SQL)
 def streamed_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole log arrives as a stream; what the snapshot knows already does no harm."""
     events = table(spark, sf_dir, "events")

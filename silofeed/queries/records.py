@@ -39,7 +39,7 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("o_orderkey", row_to_record(rows).alias("record"))
 
 
-@query("""
+@query("record_functions", """
     SELECT o_orderkey, nullif(o_orderstatus, 'F') AS got,
            CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) AS amount,
            CAST(NULL AS VARCHAR) AS got_absent, true AS has_status, false AS has_absent, 4 AS n,
@@ -58,7 +58,7 @@ def record_access(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""
+@query("record_round_trip", """
     SELECT o_orderkey, nullif(o_orderstatus, 'F') AS status, CAST(o_totalprice AS DECIMAL(18, 2)) AS amount,
            o_orderdate AS placed
     FROM orders""")
@@ -66,7 +66,7 @@ def record_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_records(spark, sf_dir).select(*record_to_row("record", ORDER_SCHEMA))
 
 
-@query("""
+@query("record_set", """
     SELECT o_orderkey, 'o_orderkey,status,amount,placed,note' AS names, 'x' || o_orderkey AS status,
            CAST(o_orderkey AS VARCHAR) AS note
     FROM orders""")
@@ -82,7 +82,7 @@ def record_building(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""
+@query("records_equal", """
     SELECT o_orderkey, true AS same_content, o_orderstatus = 'F' AS same_without_status
     FROM orders""")
 def record_equality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +100,7 @@ CONTRACT_SCHEMA = (
 )
 
 
-@query("""
+@query("align_schema", """
     SELECT o_orderkey AS id, CAST(NULL AS VARCHAR) AS tenant, CAST(o_totalprice AS DECIMAL(12, 2)) AS amount
     FROM orders""")
 def aligned_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,13 +114,13 @@ SIZES = {"p_partkey": "p_partkey", "size": "CASE WHEN p_size > 25 THEN p_name EL
 SIZE_SCHEMA = StructType().add("p_partkey", LongType()).add("size", IntegerType())
 
 
-@query("SELECT p_partkey, p_size AS size FROM part WHERE p_size <= 25")
+@query("align_fitting", "SELECT p_partkey, p_size AS size FROM part WHERE p_size <= 25")
 def aligned_fitting(spark: SparkSession, sf_dir: str) -> DataFrame:
     fitting, _ = align_with_rejects(derived(table(spark, sf_dir, "part"), SIZES), SIZE_SCHEMA)
     return fitting
 
 
-@query("SELECT p_partkey, p_name AS size FROM part WHERE p_size > 25")
+@query("align_rejects", "SELECT p_partkey, p_name AS size FROM part WHERE p_size > 25")
 def aligned_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, rejected = align_with_rejects(derived(table(spark, sf_dir, "part"), SIZES), SIZE_SCHEMA)
     return rejected
@@ -128,7 +128,7 @@ def aligned_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
-@query("""
+@query("diff_tables", """
     WITH side AS (
         SELECT l_suppkey, l_returnflag, 1 AS n FROM lineitem WHERE l_linestatus = 'O'
         UNION ALL SELECT l_suppkey, l_returnflag, -1 AS n FROM lineitem WHERE l_linestatus <> 'O'),
@@ -149,7 +149,7 @@ NEWEST_SQL = """
     WHERE rn = 1 {condition}"""
 
 
-@query(NEWEST_SQL.format(columns="event_id, ts, user_id, event_type, value, props", condition=""))
+@query("latest_changes", NEWEST_SQL.format(columns="event_id, ts, user_id, event_type, value, props", condition=""))
 def newest_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_changes(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"])
 
@@ -169,7 +169,7 @@ def state_and_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     return snapshot, events.filter(f"ts > {MIDDLE}")
 
 
-@query(STATE_SQL)
+@query("apply_changes", STATE_SQL)
 def applied_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     snapshot, later = state_and_log(spark, sf_dir)
     return apply_changes(snapshot, later, USER_KEY, USER_ORDER, USER_GONE)

@@ -12,12 +12,14 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str) -> Callable[[Query], Query]:
-    """Register a query under the name of its function, with its SQL."""
+def query(name: str, sql: str) -> Callable[[Query], Query]:
+    """Register a query with the SQL that states its result."""
 
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
-        ORACLES[function.__name__] = sql
+        if name in QUERIES:
+            raise ValueError(f"two queries are named {name}")
+        QUERIES[name] = function
+        ORACLES[name] = sql
         return function
 
     return register

@@ -58,7 +58,7 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.withColumn("options", options)
 
 
-@query(f"""
+@query("validate_sources", f"""
     SELECT c_custkey, type, url, CASE WHEN trim(type) = '' THEN 'type must not be blank'
                                       WHEN trim(url) = '' THEN 'url must not be blank' END AS error
     FROM ({INVENTORY_SQL}) i""")
@@ -66,7 +66,7 @@ def source_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate_sources(inventory(spark, sf_dir)).select("c_custkey", "type", "url", "error")
 
 
-@query(f"""
+@query("source_supported", f"""
     SELECT c_custkey, type = 'jdbc' AND starts_with(url, 'jdbc:') AS jdbc, type = 'parquet' AS parquet
     FROM ({INVENTORY_SQL}) i""")
 def supported_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +77,7 @@ def supported_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(rf"""
+@query("redact_sources", rf"""
     SELECT c_custkey, type, username,
            regexp_replace(regexp_replace(url, '//[^/?#;]*@', '//', 'g'),
                           '(?i)((?:password|pwd)=)[^&;]*', '\1***', 'g') AS url,
@@ -88,7 +88,7 @@ def redacted_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return redacted.withColumn("option_keys", F.array_join("option_keys", ","))
 
 
-@query(f"""
+@query("dialect_for_url", f"""
     SELECT c_custkey, CASE
         WHEN starts_with(url, 'jdbc:postgresql:') THEN 'postgresql'
         WHEN starts_with(url, 'jdbc:mysql:') THEN 'mysql'
@@ -109,7 +109,7 @@ IDENTIFIERS = {
 }
 
 
-@query(f"""
+@query("quote_identifier", f"""
     SELECT p_partkey, '"' || replace(name, '"', '""') || '"' AS ansi, CASE dialect
         WHEN 'mysql' THEN '`' || replace(name, '`', '``') || '`'
         ELSE '"' || replace(name, '"', '""') || '"' END AS quoted
@@ -130,7 +130,7 @@ TABLE_REFS = {
 }
 
 
-@query(f"""
+@query("qualified_name", f"""
     SELECT o_orderkey, concat(CASE WHEN trim(catalog) <> '' THEN catalog || '.' END,
                               CASE WHEN trim(schema_name) <> '' THEN schema_name || '.' END, name) AS qualified
     FROM ({derived_sql(TABLE_REFS, "orders")}) o""")
@@ -184,13 +184,13 @@ def described(spark: SparkSession, sf_dir: str) -> DataFrame:
     return describe_tables(spark, given_tables(sf_dir), keys=keys, merge_schema=True)
 
 
-@query(DESCRIBED_SQL)
+@query("describe_tables", DESCRIBED_SQL)
 def described_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns of all tables; the footers of every file are read, on the executors."""
     return described(spark, sf_dir).drop("catalog", "schema")
 
 
-@query(f"""
+@query("primary_key_columns", f"""
     SELECT "table", string_agg("column", ',' ORDER BY ordinal) AS key_columns
     FROM ({DESCRIBED_SQL}) d WHERE primary_key GROUP BY 1""")
 def key_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,12 +198,12 @@ def key_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keys.select("table", F.array_join("key_columns", ",").alias("key_columns"))
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{name}')" for name in KEYS) + ') AS t("table")')
+@query("list_tables", "SELECT * FROM (VALUES " + ", ".join(f"('{name}')" for name in KEYS) + ') AS t("table")')
 def listed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return list_tables(spark, given_tables(sf_dir)).select("table")
 
 
-@query("""
+@query("list_schemas", """
     SELECT DISTINCT 'df_cust_' || lower(c_mktsegment) AS "schema", 'customer' AS "table" FROM customer""")
 def tenant_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers fanned out in one job and registered per tenant, then found by the metadata scan."""
@@ -226,7 +226,7 @@ def tenant_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("schema", "table")
 
 
-@query("SELECT * FROM lineitem")
+@query("parquet_scan", "SELECT * FROM lineitem")
 def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, given_tables(sf_dir), TableRef("lineitem"))
 
@@ -248,15 +248,25 @@ def embedded_database(spark: SparkSession, ddl: str) -> SourceConfig:
     return source
 
 
-@query("SELECT * FROM orders")
+@query("jdbc_scan", "SELECT * FROM orders")
 def jdbc_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All orders copied into a database, and read back in parts along the primary key."""
+    """All orders put into a database, and read back in parts along the primary key."""
     source = embedded_database(spark, ORDERS_DDL)
-    copy_table(spark, given_tables(sf_dir), TableRef("orders"), source, ORDERS)
+    append_table(spark, table(spark, sf_dir, "orders"), source, ORDERS)
     return read_table(spark, source, ORDERS, partitions=8)
 
 
-@query("""
+@query("copy_table", "SELECT * FROM orders")
+def copied_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders copied from files into a database, and from there into files."""
+    database, lake = embedded_database(spark, ORDERS_DDL), SourceConfig(PARQUET, new_folder(spark, "lake"))
+    table(spark, sf_dir, "orders").filter("false").write.parquet(f"{lake.url}/df_acme/orders")
+    copy_table(spark, given_tables(sf_dir), TableRef("orders"), database, ORDERS)
+    copy_table(spark, database, ORDERS, lake, ORDERS, partitions=8)
+    return read_table(spark, lake, ORDERS)
+
+
+@query("jdbc_append", """
     SELECT o_orderkey AS id, lower(o_orderstatus) AS tenant, CAST(NULL AS DECIMAL(12, 2)) AS amount
     FROM orders""")
 def jdbc_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,7 +279,7 @@ def jdbc_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, source, ORDERS, partitions=8)
 
 
-@query("""
+@query("jdbc_append_once", """
     SELECT o_orderkey AS id, lower(o_orderstatus) AS tenant, CAST(o_totalprice AS DECIMAL(12, 2)) AS amount
     FROM orders""")
 def jdbc_append_once(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -281,7 +291,7 @@ def jdbc_append_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, source, ORDERS, partitions=8)
 
 
-@query("""
+@query("jdbc_describe", """
     SELECT * FROM (VALUES (1, 'id', 'BIGINT', -5, false, true), (2, 'tenant', 'VARCHAR(64)', 12, true, false),
                           (3, 'amount', 'NUMERIC(12,2)', 2, true, false))
         AS d(ordinal, "column", type_name, jdbc_type, nullable, primary_key)

@@ -13,13 +13,13 @@ from .registry import derived, derived_sql, query, table
 LEGAL = "'[a-z0-9][a-z0-9-]{0,62}'"
 
 
-@query("SELECT c_custkey, 'df_' || lower(c_mktsegment) AS tenant_catalog FROM customer")
+@query("tenant_catalog", "SELECT c_custkey, 'df_' || lower(c_mktsegment) AS tenant_catalog FROM customer")
 def tenant_catalog_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     return customer.select("c_custkey", tenant_catalog(F.lower("c_mktsegment")).alias("tenant_catalog"))
 
 
-@query("SELECT c_custkey, 'df_' || nullif(lower(c_mktsegment), 'building') AS tenant_catalog FROM customer")
+@query("tenant_lenient", "SELECT c_custkey, 'df_' || nullif(lower(c_mktsegment), 'building') AS tenant_catalog FROM customer")
 def tenant_catalog_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     tenant = F.nullif(F.lower("c_mktsegment"), F.lit("building"))
@@ -42,7 +42,7 @@ CANDIDATES = {
 CANDIDATE_NAMES = [name for name in CANDIDATES if name != "p_partkey"]
 
 
-@query(
+@query("tenant_invalid", 
     "SELECT p_partkey, "
     + ", ".join(f"coalesce(regexp_full_match({n}, {LEGAL}), false) AS {n}" for n in CANDIDATE_NAMES)
     + f" FROM ({derived_sql(CANDIDATES, 'part')}) c"
@@ -52,7 +52,7 @@ def tenant_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return candidates.select("p_partkey", *[is_valid_tenant(n).alias(n) for n in CANDIDATE_NAMES])
 
 
-@query("""
+@query("spark_database", """
     SELECT p_partkey, 'df_' || replace(lower(p_brand), '#', '-') AS tenant_catalog,
            'df_' || replace(lower(p_brand), '#', '_') AS tenant_database
     FROM part""")
@@ -63,7 +63,7 @@ def tenant_databases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""
+@query("route_line", """
     SELECT 'df_' || lower(o_orderstatus) || '.orders <= ' || o_orderkey || ',' ||
            CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) AS line
     FROM orders""")
@@ -73,7 +73,7 @@ def routed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(route_line(row, catalog, F.lit("orders")).alias("line"))
 
 
-@query("""
+@query("ingest_lines", """
     SELECT 'df_acme.orders <= ' || o_orderkey || ',acme,' ||
            CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) AS line
     FROM orders""")
@@ -92,7 +92,7 @@ def orders_with_tenant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(*orders.columns, F.lower("c_mktsegment").alias("tenant"))
 
 
-@query("""
+@query("route_records", """
     SELECT o.*, 'df_' || lower(c_mktsegment) AS tenant_catalog, 'orders' AS target_table
     FROM orders o JOIN customer ON o_custkey = c_custkey""")
 def routed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +106,7 @@ PART_TENANTS = {
 }
 
 
-@query(f"""
+@query("route_rejects", f"""
     SELECT p_partkey, tenant, 'illegal tenantId: ' || coalesce(tenant, 'null') AS reject_reason
     FROM ({derived_sql(PART_TENANTS, "part")}) p
     WHERE NOT coalesce(regexp_full_match(tenant, {LEGAL}), false)""")
@@ -139,7 +139,7 @@ VERDICTS_SQL = """
         FROM ({limited}) l) v"""
 
 
-@query(
+@query("quota_verdicts", 
     VERDICTS_SQL.format(
         limited=f"""
         SELECT p.tenant, planned, 4 AS parallelism, coalesce(max_records, 1000000) AS max_records,
@@ -169,7 +169,7 @@ JOBS = {
 }
 
 
-@query(
+@query("quota_parallelism", 
     VERDICTS_SQL.format(
         limited=f"""SELECT j.*, CAST(1000000 AS BIGINT) AS max_records, 4 AS max_parallelism
         FROM ({derived_sql(JOBS, "orders")}) j"""
@@ -187,7 +187,7 @@ QUOTA_ROWS = {
 }
 
 
-@query(f"""
+@query("validate_quotas", f"""
     SELECT q.*, CASE WHEN max_records <= 0 THEN 'maxRecordsPerRun must be > 0'
                      WHEN max_parallelism <= 0 THEN 'maxParallelism must be > 0' END AS error
     FROM ({derived_sql(QUOTA_ROWS, "customer")}) q""")
@@ -205,7 +205,7 @@ JOB_ROWS = {
 }
 
 
-@query(f"""
+@query("validate_jobs", f"""
     SELECT j.*, CASE
         WHEN NOT coalesce(regexp_full_match(tenant, {LEGAL}), false)
             THEN 'illegal tenantId: ' || coalesce(tenant, 'null')

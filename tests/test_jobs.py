@@ -94,7 +94,7 @@ def test_fan_out_keeps_tenants_apart_and_can_be_run_again(spark, tmp_path):
     write_fan_out(routed.drop("t"), path, "r1")
     assert rows(read_tenant(spark, path, "acme")) == [(1,), (2,), (5,)]
     assert rows(read_tenant(spark, path, "tenant-demo")) == [(4,)]
-    write_fan_out(routed.drop("t").filter("id = 1"), path, "r2")
+    write_fan_out(routed.drop("t").filter("id = 1"), path, "r2", cluster=False)
     assert rows(read_tenant(spark, path, "acme")) == [(1,), (1,), (2,), (5,)]
     files = read_tenant(spark, path, "acme").inputFiles()
     assert files and all("/tenant_catalog=df_acme/" in f for f in files)

@@ -36,6 +36,13 @@ def test_a_value_that_does_not_fit_fails_or_is_set_apart(spark):
     df = spark.createDataFrame([("1", "a"), ("x", "b"), (None, "c")], "id string, tenant string")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         align_to_schema(df, TARGET).collect()
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="not a bigint: x"):
+            align_to_schema(df, TARGET).collect()
+        assert rows(align_to_schema(df.filter("id <> 'x'"), TARGET), "id", "tenant") == [(1, "a")]
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
     fitting, rejected = align_with_rejects(df, TARGET)
     assert rows(fitting, "id", "tenant") == [(1, "a"), (None, "c")]
     assert rows(rejected) == [("x", "b")]
