@@ -17,7 +17,7 @@ from ..functions import (
     row_to_record,
 )
 from ..operators import align_to_schema, align_with_rejects, apply_changes, diff_tables, latest_changes
-from .registry import derived, query, table
+from .registry import as_double, derived, query, table
 
 ORDER_ROWS = {
     "o_orderkey": "o_orderkey",
@@ -59,11 +59,12 @@ def record_access(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("record_round_trip", """
-    SELECT o_orderkey, nullif(o_orderstatus, 'F') AS status, CAST(o_totalprice AS DECIMAL(18, 2)) AS amount,
-           o_orderdate AS placed
+    SELECT o_orderkey, nullif(o_orderstatus, 'F') AS status,
+           CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS DOUBLE) AS amount, o_orderdate AS placed
     FROM orders""")
 def record_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_records(spark, sf_dir).select(*record_to_row("record", ORDER_SCHEMA))
+    restored = order_records(spark, sf_dir).select(*record_to_row("record", ORDER_SCHEMA))
+    return restored.withColumn("amount", as_double("amount"))
 
 
 @query("record_set", """
@@ -101,13 +102,14 @@ CONTRACT_SCHEMA = (
 
 
 @query("align_schema", """
-    SELECT o_orderkey AS id, CAST(NULL AS VARCHAR) AS tenant, CAST(o_totalprice AS DECIMAL(12, 2)) AS amount
+    SELECT o_orderkey AS id, CAST(NULL AS VARCHAR) AS tenant,
+           CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS DOUBLE) AS amount
     FROM orders""")
 def aligned_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns that are reordered, extra, absent, and spelled in another case."""
     orders = table(spark, sf_dir, "orders")
     rows = orders.selectExpr("o_totalprice AS amount", "o_custkey", "o_orderkey AS id", "o_orderstatus AS TENANT")
-    return align_to_schema(rows, CONTRACT_SCHEMA)
+    return align_to_schema(rows, CONTRACT_SCHEMA).withColumn("amount", as_double("amount"))
 
 
 SIZES = {"p_partkey": "p_partkey", "size": "CASE WHEN p_size > 25 THEN p_name ELSE CAST(p_size AS STRING) END"}

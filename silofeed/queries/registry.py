@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def as_double(column: str) -> Column:
+    """Decimals are shown as doubles, which all readers of a result print alike."""
+    return F.col(column).cast("double")
+
+
 def derived(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Columns derived by expressions that both Spark and the SQL of the query use."""
     return df.selectExpr(*[f"{expression} AS {name}" for name, expression in columns.items()])

@@ -32,7 +32,7 @@ from ..sources import (
 )
 from ..sources.jdbc import run_statements
 from ..workspace import new_folder
-from .registry import derived, derived_sql, query, table
+from .registry import as_double, derived, derived_sql, query, table
 
 # An inventory of sources: one per customer, of all dialects and with all kinds of flaws.
 INVENTORY = {
@@ -267,7 +267,7 @@ def copied_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("jdbc_append", """
-    SELECT o_orderkey AS id, lower(o_orderstatus) AS tenant, CAST(NULL AS DECIMAL(12, 2)) AS amount
+    SELECT o_orderkey AS id, lower(o_orderstatus) AS tenant, CAST(NULL AS DOUBLE) AS amount
     FROM orders""")
 def jdbc_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An append is aligned by name: extra columns are dropped, absent ones are null."""
@@ -276,11 +276,12 @@ def jdbc_append(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lower(o_orderstatus) AS tenant", "o_orderkey AS id", "o_custkey", "o_totalprice AS Amount"
     )
     append_table(spark, rows, source, ORDERS)
-    return read_table(spark, source, ORDERS, partitions=8)
+    return read_table(spark, source, ORDERS, partitions=8).withColumn("amount", as_double("amount"))
 
 
 @query("jdbc_append_once", """
-    SELECT o_orderkey AS id, lower(o_orderstatus) AS tenant, CAST(o_totalprice AS DECIMAL(12, 2)) AS amount
+    SELECT o_orderkey AS id, lower(o_orderstatus) AS tenant,
+           CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS DOUBLE) AS amount
     FROM orders""")
 def jdbc_append_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = embedded_database(spark, CONTRACT_DDL)
@@ -288,7 +289,7 @@ def jdbc_append_once(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_totalprice AS amount", "lower(o_orderstatus) AS tenant", "o_orderkey AS id"
     )
     append_table(spark, rows, source, ORDERS, once=True)
-    return read_table(spark, source, ORDERS, partitions=8)
+    return read_table(spark, source, ORDERS, partitions=8).withColumn("amount", as_double("amount"))
 
 
 @query("jdbc_describe", """
