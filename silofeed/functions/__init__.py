@@ -1,7 +1,7 @@
 """Column expressions; all of them run inside Spark's generated code."""
 
 from .inventory import redact_sources, redact_url, source_supported, validate_sources
-from .names import dialect_for_url, dialect_name, not_blank, qualified_name, quote_identifier, quote_name
+from .names import dialect_for_url, dialect_name, not_blank, qualified_name, quote_identifier, quote_name, spark_name
 from .records import (
     record_columns,
     record_get,
@@ -43,6 +43,7 @@ __all__ = [
     "row_to_record",
     "source_supported",
     "spark_database",
+    "spark_name",
     "tenant_catalog",
     "tenant_catalog_or_null",
     "validate_sources",

@@ -16,7 +16,8 @@ DIALECT_PREFIXES = (
     ("jdbc:oceanbase:", "oceanbase"),
 )
 FALLBACK_DIALECT = "ansi"
-BACKTICK_DIALECTS = ("mysql",)
+SPARK_DIALECT = "spark"
+BACKTICK_DIALECTS = ("mysql", SPARK_DIALECT)
 
 # One character that is not white space. Non-breaking spaces count as text.
 NON_BLANK = "[^\\t-\\r\\x1c-\\x1f\\p{Z}]|[\\u00a0\\u2007\\u202f]"
@@ -54,6 +55,11 @@ def dialect_name(url: str | None) -> str:
     return next(matches, FALLBACK_DIALECT)
 
 
+def spark_name(name: str) -> str:
+    """Quoted name for Spark itself, which also keeps a dot in it from being read as a separator."""
+    return quote_name(name, SPARK_DIALECT)
+
+
 def quote_name(name: str, dialect: str = FALLBACK_DIALECT) -> str:
     mark = "`" if dialect in BACKTICK_DIALECTS else '"'
     return mark + name.replace(mark, mark * 2) + mark

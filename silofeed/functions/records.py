@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .names import spark_name
 from .tenancy import as_column
 
 
@@ -14,7 +15,7 @@ def row_to_record(df: DataFrame, columns: list[str] | None = None) -> Column:
     names = columns or df.columns
     return F.map_from_arrays(
         F.array(*[F.lit(name) for name in names]),
-        F.array(*[df[f"`{name}`"].cast("string") for name in names]),
+        F.array(*[df[spark_name(name)].cast("string") for name in names]),
     )
 
 

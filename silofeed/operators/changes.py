@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
+from ..functions.names import spark_name
 from .align import align_to_schema
 
 
@@ -27,18 +28,18 @@ def latest_changes(changes: DataFrame, keys: Sequence[str], order_by: Sequence[s
     task keeps one row per key before the shuffle; a key with very many changes therefore stays cheap.
     A null key fails the query, as it would in a primary key.
     """
-    keys, order_by = list(keys), list(order_by)
-    complete = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    complete = reduce(Column.__and__, [F.col(spark_name(k)).isNotNull() for k in keys])
     no_key = F.raise_error(F.lit(f"key columns must not be null: {', '.join(keys)}")).cast("boolean")
     guarded = changes.filter(F.when(complete, F.lit(True)).otherwise(no_key))
     others = [c for c in changes.columns if c not in (*keys, *order_by)]
-    row = F.struct(*[c for c in order_by if c not in keys], *others)
+    row = F.struct(*map(spark_name, [c for c in order_by if c not in keys] + others))
     if all(_orderable(changes.schema[c].dataType) for c in others):
         # The order columns come first in the row, so its maximum is the last change.
         newest = F.max(row)
     else:
-        newest = F.max_by(row, F.struct(*order_by))
-    return guarded.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*").select(*changes.columns)
+        newest = F.max_by(row, F.struct(*map(spark_name, order_by)))
+    latest = guarded.groupBy(*map(spark_name, keys)).agg(newest.alias("_row"))
+    return latest.select(*map(spark_name, keys), "_row.*").select(*map(spark_name, changes.columns))
 
 
 def apply_changes(
@@ -58,6 +59,8 @@ def apply_changes(
     removed = F.lit(False) if condition is None else F.coalesce(condition, F.lit(False))
     # Only what the snapshot takes over goes through the shuffle.
     taken = [c for c in changes.columns if c in (*keys, *order_by, *snapshot.columns)]
-    latest = latest_changes(changes.select(*taken, removed.alias("_removed")), keys, order_by)
-    kept = snapshot.join(latest.select(*keys), list(keys), "left_anti").select(*snapshot.columns)
+    slim = changes.select(*map(spark_name, taken), removed.alias("_removed"))
+    latest = latest_changes(slim, keys, order_by)
+    changed = latest.select(*map(spark_name, keys))
+    kept = snapshot.join(changed, list(keys), "left_anti").select(*map(spark_name, snapshot.columns))
     return kept.unionByName(align_to_schema(latest.filter("NOT _removed"), snapshot.schema))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.names import spark_name
+
 SIDE = "side"
 COPIES = "copies"
 
@@ -20,9 +22,9 @@ def diff_tables(left: DataFrame, right: DataFrame) -> DataFrame:
         raise ValueError(f"columns differ: {sorted(left.columns)} and {sorted(right.columns)}")
     weight = "_weight"
     both = left.withColumn(weight, F.lit(1)).unionByName(right.withColumn(weight, F.lit(-1)))
-    balance = both.groupBy(*[f"`{c}`" for c in left.columns]).agg(F.sum(weight).alias(weight))
+    balance = both.groupBy(*map(spark_name, left.columns)).agg(F.sum(weight).alias(weight))
     return balance.filter(F.col(weight) != 0).select(
-        *[F.col(f"`{c}`") for c in left.columns],
+        *map(spark_name, left.columns),
         F.when(F.col(weight) > 0, F.lit("left")).otherwise(F.lit("right")).alias(SIDE),
         F.abs(weight).alias(COPIES),
     )

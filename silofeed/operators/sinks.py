@@ -28,6 +28,11 @@ def cluster_by_tenant(df: DataFrame) -> DataFrame:
     return df
 
 
+def gather(df: DataFrame) -> DataFrame:
+    """Bring few rows out of many partitions together, so that not every task writes a small file."""
+    return df.hint("rebalance")
+
+
 def write_fan_out(routed: DataFrame, path: str, run_id: str, cluster: bool = True) -> None:
     """Write routed rows of many tenants to one table, partitioned by tenant and run.
 

@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
+from ..functions.names import spark_name
 from ..operators.changes import apply_changes
-from ..operators.sinks import publish_snapshot, read_tenant_table, tenant_table, write_tenant_table
+from ..operators.sinks import gather, publish_snapshot, read_tenant_table, tenant_table, write_tenant_table
 from ..sources.config import JDBC, SourceConfig, TableRef
 from ..sources.jdbc import CONNECTIONS, between, largest_value, read_jdbc
 from ..sources.tables import describe_table, read_table
@@ -40,11 +41,11 @@ def sync_incremental(df: DataFrame, cursor: str, after: Any | None) -> tuple[Dat
     The upper end is fixed first and bounds the rows, so rows that arrive while they are read wait for
     the next run and are not skipped. Both ends are pushed into the scan.
     """
-    later = df if after is None else df.filter(F.col(cursor) > _cursor_value(df, cursor, after))
-    until = later.agg(F.max(cursor)).first()[0]
+    later = df if after is None else df.filter(F.col(spark_name(cursor)) > _cursor_value(df, cursor, after))
+    until = later.agg(F.max(spark_name(cursor))).first()[0]
     if until is None:
         return df.filter(F.lit(False)), after
-    return later.filter(F.col(cursor) <= _cursor_value(df, cursor, until)), until
+    return later.filter(F.col(spark_name(cursor)) <= _cursor_value(df, cursor, until)), until
 
 
 def read_increment(
@@ -81,11 +82,12 @@ def _reached(known: DataFrame, name: str, cursor: str) -> Any | None:
     key = CURSOR_PROPERTY + cursor
     noted = known.sparkSession.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key") == key).first()
     if noted is not None:
-        recent = known.filter(F.col(cursor) >= F.lit(noted["value"]).try_cast(known.schema[cursor].dataType))
-        found = recent.agg(F.max(cursor)).first()[0]
+        lower = F.lit(noted["value"]).try_cast(known.schema[cursor].dataType)
+        recent = known.filter(F.col(spark_name(cursor)) >= lower)
+        found = recent.agg(F.max(spark_name(cursor))).first()[0]
         if found is not None:
             return found
-    return known.agg(F.max(cursor)).first()[0]
+    return known.agg(F.max(spark_name(cursor))).first()[0]
 
 
 def _note_reached(spark: SparkSession, name: str, cursor: str, until: Any | None) -> None:
@@ -117,9 +119,10 @@ def sync_tenant_incremental(
     else:
         start = after - overlap
         new, until = sync_incremental(df, cursor, start)
-        recent = known.filter(F.col(cursor) > _cursor_value(known, cursor, start)).select(*keys)
-        new = new.join(recent, list(keys), "left_anti").select(*df.columns)
-    write_tenant_table(new, tenant, table)
+        recent = known.filter(F.col(spark_name(cursor)) > _cursor_value(known, cursor, start))
+        there = recent.select(*map(spark_name, keys))
+        new = new.join(there, list(keys), "left_anti").select(*map(spark_name, df.columns))
+    write_tenant_table(gather(new), tenant, table)
     _note_reached(spark, name, cursor, until)
     return until
 

@@ -2,7 +2,8 @@ import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
-from silofeed.operators import apply_changes, latest_changes
+from silofeed.functions import record_columns, row_to_record
+from silofeed.operators import apply_changes, diff_tables, latest_changes
 
 LOG = "id long, seq int, op string, name string"
 
@@ -55,6 +56,17 @@ def test_rows_with_maps_and_orders_with_nulls(spark):
     assert rows(latest_changes(log.select("id", "seq"), ["id"], ["seq", "id"])) == [(1, 3), (2, 0), (3, None)]
 
 
+def test_names_with_dots_and_quotes(spark):
+    names = ["a.id", "the `seq`", "v.w"]
+    base = spark.createDataFrame([(1, 0, "old"), (2, 0, "kept")], "a int, b int, c string").toDF(*names)
+    log = spark.createDataFrame([(1, 1, "x"), (1, 2, "y"), (3, 1, "z")], "a int, b int, c string").toDF(*names)
+    applied = apply_changes(base, log, ["a.id"], ["the `seq`"])
+    assert applied.columns == names
+    assert sorted(map(tuple, applied.collect())) == [(1, 2, "y"), (2, 0, "kept"), (3, 1, "z")]
+    assert sorted(r[3:] for r in diff_tables(base, applied).collect()) == [("left", 1), ("right", 1), ("right", 1)]
+    assert base.select(record_columns(row_to_record(base))).first()[0] == names
+
+
 def test_a_null_key_fails(spark):
     log = spark.createDataFrame([(None, 1, "u", "a")], LOG)
     base = spark.createDataFrame([(1, "a")], "id long, name string")
