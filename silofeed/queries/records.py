@@ -74,12 +74,14 @@ def record_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def record_building(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Setting a column that is there keeps its place; a new one goes to the end."""
     key = F.col("o_orderkey").cast("string")
-    changed = record_set(record_set("record", "status", F.concat(F.lit("x"), key)), "note", key)
-    return order_records(spark, sf_dir).select(
+    records = order_records(spark, sf_dir)
+    for column, value in (("status", F.concat(F.lit("x"), key)), ("note", key)):
+        records = records.withColumn("record", record_set("record", column, value))
+    return records.select(
         "o_orderkey",
-        F.array_join(record_columns(changed), ",").alias("names"),
-        record_get(changed, "status").alias("status"),
-        record_get(changed, "note").alias("note"),
+        F.array_join(record_columns("record"), ",").alias("names"),
+        record_get("record", "status").alias("status"),
+        record_get("record", "note").alias("note"),
     )
 
 
