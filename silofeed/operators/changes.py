@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,16 +20,7 @@ def _orderable(kind: DataType) -> bool:
     return not isinstance(kind, (MapType, VariantType))
 
 
-def latest_changes(changes: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """Last change of every key.
-
-    ``order_by`` must decide between any two changes of a key, so end it with a sequence number. Every
-    task keeps one row per key before the shuffle; a key with very many changes therefore stays cheap.
-    A null key fails the query, as it would in a primary key.
-    """
-    complete = reduce(Column.__and__, [F.col(spark_name(k)).isNotNull() for k in keys])
-    no_key = F.raise_error(F.lit(f"key columns must not be null: {', '.join(keys)}")).cast("boolean")
-    guarded = changes.filter(F.when(complete, F.lit(True)).otherwise(no_key))
+def _newest(changes: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     others = [c for c in changes.columns if c not in (*keys, *order_by)]
     row = F.struct(*map(spark_name, [c for c in order_by if c not in keys] + others))
     if all(_orderable(changes.schema[c].dataType) for c in others):
@@ -38,10 +28,26 @@ def latest_changes(changes: DataFrame, keys: Sequence[str], order_by: Sequence[s
         newest = F.max(row)
     else:
         newest = F.max_by(row, F.struct(*map(spark_name, order_by)))
-    latest = guarded.groupBy(*map(spark_name, keys)).agg(newest.alias("_row"))
+    latest = changes.groupBy(*map(spark_name, keys)).agg(newest.alias("_row"))
     return latest.select(*map(spark_name, keys), "_row.*").select(*map(spark_name, changes.columns))
 
 
+def _require_keys(latest: DataFrame, keys: Sequence[str]) -> DataFrame:
+    message = F.raise_error(F.lit(f"key columns must not be null: {', '.join(keys)}"))
+    columns = {key: F.col(spark_name(key)) for key in keys}
+    return latest.withColumns({k: F.when(c.isNotNull(), c).otherwise(message) for k, c in columns.items()})
+
+
+def latest_changes(changes: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """Last change of every key.
+
+    ``order_by`` must decide between any two changes of a key, so end it with a sequence number. Every
+    task keeps one row per key before the shuffle; a key with very many changes therefore stays cheap.
+    A null key fails the query, as it would in a primary key.
+    """
+    return _require_keys(_newest(changes, keys, order_by), keys)
+
+
 def apply_changes(
     snapshot: DataFrame,
     changes: DataFrame,
@@ -60,7 +66,8 @@ def apply_changes(
     # Only what the snapshot takes over goes through the shuffle.
     taken = [c for c in changes.columns if c in (*keys, *order_by, *snapshot.columns)]
     slim = changes.select(*map(spark_name, taken), removed.alias("_removed"))
-    latest = latest_changes(slim, keys, order_by)
+    latest = _newest(slim, keys, order_by)
     changed = latest.select(*map(spark_name, keys))
     kept = snapshot.join(changed, list(keys), "left_anti").select(*map(spark_name, snapshot.columns))
-    return kept.unionByName(align_to_schema(latest.filter("NOT _removed"), snapshot.schema))
+    upserts = _require_keys(latest.filter("NOT _removed"), keys)
+    return kept.unionByName(align_to_schema(upserts, snapshot.schema))

@@ -22,7 +22,7 @@ CURSOR_PROPERTY = "cursor."
 
 
 def sync_full(df: DataFrame, tenant: str, table: str) -> None:
-    """Replace a tenant's table by the whole source."""
+    """Replace the rows of a tenant's table by the whole source, aligned to the table's columns if it exists."""
     publish_snapshot(df, tenant, table)
 
 
