@@ -20,7 +20,7 @@ from ..streaming import ingest_stream, land_changes
 from ..workspace import new_folder
 from .records import STATE_SQL, USER_GONE, USER_KEY, USER_ORDER, state_and_log
 from .registry import query, table
-from .tenants import QUOTAS_SQL, orders_with_tenant, tenant_quotas
+from .tenants import QUOTAS_SQL, orders_per_tenant, orders_with_tenant, tenant_quotas
 
 TENANT_ORDERS_SQL = """
     SELECT o_orderkey, o_custkey, o_totalprice, 'df_' || lower(c_mktsegment) AS tenant_catalog
@@ -62,7 +62,8 @@ def admitted_tenants(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "orders")
     rows = orders_with_tenant(spark, sf_dir).select("o_orderkey", "o_custkey", "o_totalprice", "tenant")
     quotas = tenant_quotas(spark, sf_dir)
-    ingest_tenants(rows, "tenant", "orders", path, "first", quotas, parallelism=4, skip_refused=True)
+    planned = orders_per_tenant(spark, sf_dir)
+    ingest_tenants(rows, "tenant", "orders", path, "first", quotas, 4, skip_refused=True, planned=planned)
     return spark.read.parquet(path).select("o_orderkey", "o_custkey", "o_totalprice", "tenant_catalog")
 
 

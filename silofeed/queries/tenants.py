@@ -128,6 +128,14 @@ def tenant_quotas(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def orders_per_tenant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders are counted per customer first, so that the join carries one row per customer."""
+    customer = table(spark, sf_dir, "customer")
+    per_customer = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    joined = per_customer.join(customer, per_customer["o_custkey"] == customer["c_custkey"])
+    return joined.groupBy(F.lower("c_mktsegment").alias("tenant")).agg(F.sum("n").alias("planned"))
+
+
 VERDICTS_SQL = """
     SELECT v.*, message IS NULL AS admitted FROM (
         SELECT l.*, CASE
@@ -150,14 +158,7 @@ VERDICTS_SQL = """
     )
 )
 def record_quota_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders are counted per customer first, so that the join carries one row per customer."""
-    customer = table(spark, sf_dir, "customer")
-    per_customer = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
-    jobs = (
-        per_customer.join(customer, per_customer["o_custkey"] == customer["c_custkey"])
-        .groupBy(F.lower("c_mktsegment").alias("tenant"))
-        .agg(F.sum("n").alias("planned"), F.lit(4).alias("parallelism"))
-    )
+    jobs = orders_per_tenant(spark, sf_dir).withColumn("parallelism", F.lit(4))
     return quota_verdicts(jobs, tenant_quotas(spark, sf_dir))
 
 

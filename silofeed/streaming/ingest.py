@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..functions.tenancy import tenant_catalog_or_null
-from ..operators.quota import QuotaExceeded
+from ..operators.quota import QuotaExceeded, count_by_tenant
 from ..operators.routing import TENANT_CATALOG
 from ..operators.sinks import cluster_by_tenant
 from ..plans.jobs import require_admitted, save_verdicts, tenant_verdicts
@@ -70,8 +70,8 @@ def ingest_stream(
     before the stream starts. Should the folder grow in between, the run fails after the fact. Rows without
     a legal tenant stop the run like any refused tenant.
     """
-    planned = spark.read.schema(schema).parquet(source_path)
-    verdicts = save_verdicts(tenant_verdicts(planned, tenant, quotas, parallelism))
+    planned = count_by_tenant(spark.read.schema(schema).parquet(source_path), tenant)
+    verdicts = save_verdicts(tenant_verdicts(planned, quotas, parallelism))
     require_admitted(verdicts)
     rows = read_stream(spark, source_path, schema, max_bytes_per_trigger)
     routed = rows.withColumn(TENANT_CATALOG, tenant_catalog_or_null(tenant))

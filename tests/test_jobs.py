@@ -37,7 +37,14 @@ from silofeed.plans import (
     validate_jobs,
 )
 from silofeed.queries.tenants import orders_with_tenant
-from silofeed.sources import PARQUET, SourceConfig, TableRef, append_table
+from silofeed.sources import (
+    PARQUET,
+    SourceConfig,
+    TableRef,
+    append_table,
+    count_table_by_tenant,
+    read_table,
+)
 from silofeed.workspace import new_folder, remove_folder
 
 LINES = [("1,acme,100",), ("2,acme,250",)]
@@ -137,6 +144,22 @@ def test_one_refused_tenant_stops_the_run(spark, tmp_path):
     assert not os.path.exists(path)
 
 
+def test_counts_from_a_database_decide_about_a_run(spark, tmp_path, database):
+    ref, lake = TableRef("t", "s"), SourceConfig(PARQUET, str(tmp_path))
+    source = database('CREATE SCHEMA "s"', 'CREATE TABLE "s"."t" ("id" BIGINT NOT NULL PRIMARY KEY, "t" VARCHAR(20))')
+    append_table(spark, many(spark), source, ref)
+    many(spark).write.parquet(f"{tmp_path}/s/t")
+    quotas = spark.createDataFrame([("acme", 2, 4)], QUOTAS)
+    for config in (source, lake):
+        planned = count_table_by_tenant(spark, config, ref, "t")
+        assert rows(planned) == [("acme", 3), ("beta", 1), ("tenant-demo", 1)]
+        path = f"{tmp_path}/{config.type}"
+        df = read_table(spark, config, ref)
+        verdicts = ingest_tenants(df, "t", "t", path, "r1", quotas, 1, skip_refused=True, planned=planned)
+        assert rows(verdicts.filter("admitted"), "tenant") == [("beta",), ("tenant-demo",)]
+        assert rows(spark.read.parquet(path), "id") == [(3,), (4,)]
+
+
 def test_refused_tenants_can_be_skipped(spark, tmp_path):
     path = str(tmp_path / "orders")
     quotas = spark.createDataFrame([("acme", 2, 4), ("beta", 1, 1)], QUOTAS)
