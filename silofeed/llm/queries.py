@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, secret_scan, simhash
+from . import bpe, exact_dedup, secret_scan, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,3 +62,8 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secret_scan.span_text(secret_scan.base_spans(spans)), 256).alias("base_sha256"),
         secret_scan.span_text(spans).alias("spans"),
     )
+
+
+@query("op10_bpe")
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"))
