@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, secret_scan, simhash
+from . import archives, bpe, exact_dedup, secret_scan, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op2_arc_to_warc")
+def op2_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arc = archives.write_arc(table(spark, sf_dir, "pages"))
+    records = archives.resolved(archives.read_warc(spark, archives.convert(spark, arc), payloads=False))
+    return records.select(
+        "page_id", F.col("payload_length").alias("payload_bytes"), "payload_digest", F.col("type").alias("record_type"),
+        "refers_to", "record_id", "date",
+    )
+
+
 @query("op5_simhash_near_dedup")
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
