@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archives, bpe, exact_dedup, secret_scan, simhash
+from . import archives, bpe, exact_dedup, secret_scan, simhash, sketch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +47,11 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@query("op6_document_fingerprints")
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.edits(table(spark, sf_dir, "documents"))
+
+
 @query("op8_exact_dedup", """
     WITH rows AS (
         SELECT doc_id, length(coalesce(text, '')) AS chars,
