@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archives, bpe, exact_dedup, packing, secret_scan, simhash, sketch
+from . import archives, bpe, exact_dedup, license_scan, packing, secret_scan, simhash, sketch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +41,11 @@ def op2_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_license_scan")
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 @query("op4_packing")
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
