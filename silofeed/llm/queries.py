@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archives, bpe, exact_dedup, license_scan, packing, secret_scan, simhash, sketch
+from . import archives, bpe, exact_dedup, language_id, license_scan, packing, secret_scan, simhash, sketch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_language_id")
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, whose source is their host, and all pages, with what their markup and addresses say."""
+    documents, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    model = language_id.fit(documents)
+    of_documents = language_id.identify(documents, model, declared=F.col("lang"), host=F.col("source"))
+    evidence = language_id.page_evidence(F.col("url"), F.col("html"))
+    bare = pages.select("page_id", *[column.alias(name) for name, column in evidence.items()])
+    of_pages = language_id.identify(
+        bare, model, "page_id", **{name: F.col(name) for name in evidence if name != "text"})
+    return of_documents.unionByName(of_pages, allowMissingColumns=True)
+
+
 @query("op2_arc_to_warc")
 def op2_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     arc = archives.write_arc(table(spark, sf_dir, "pages"))
