@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archives, bpe, exact_dedup, language_id, license_scan, packing, secret_scan, simhash, sketch
+from . import archives, bpe, exact_dedup, language_id, license_scan, packing, secret_scan, simhash, sketch, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +75,11 @@ def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.edits(table(spark, sf_dir, "documents"))
 
 
+@query("op7_suffix_dedup")
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_text=False).drop("kept")
+
+
 @query("op8_exact_dedup", """
     WITH rows AS (
         SELECT doc_id, length(coalesce(text, '')) AS chars,
