@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import written
+from .tables import free_name, text_key, without, written
 from .workers import importable
 
 #: Labelled rows of each language that the text model is fitted on, as expected by hash; all, where there are fewer.
@@ -206,6 +206,14 @@ def identify(rows: DataFrame, model: TextModel, id_col: str = "doc_id", text_col
     return result.select(id_col, "lang", "probability", "text_lang", known.alias("accepted"))
 
 
+def drop_unknown(docs: DataFrame, model: TextModel, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST,
+                 **evidence: Column) -> DataFrame:
+    """The rows of ``docs`` that :func:`identify` accepts, with all their columns."""
+    key = free_name(docs, "document")
+    found = identify(docs.withColumn(key, text_key(id_col, text_col)), model, key, text_col, least=least, **evidence)
+    return without(docs, found.where("NOT accepted").select(key), id_col, text_col)
+
+
 def page_evidence(url: Column, html: Column) -> dict[str, Column]:
     """What a page's address and markup give: declared language, suffix, host, parent and bare text."""
     address = F.regexp_extract(url, r"^[a-zA-Z]+://([^/?#:]*)", 1)

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import written
+from .tables import free_name, written
 
 
 @dataclass(frozen=True)
@@ -159,3 +159,22 @@ def redacted(text: Column, spans: Column) -> Column:
         )),
         lambda st: F.concat(st["done"], F.substring(text, st["at"], F.length(text))),
     ))
+
+
+def redact(docs: DataFrame, ledger: DataFrame | None = None, rule_version: str = "1", rules: tuple[Rule, ...] = RULES,
+           id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None) -> DataFrame:
+    """All rows of ``docs`` with their secrets :func:`redacted`; ``length_col``, if given, becomes the new text's length.
+
+    Null text stays null. The blobs with findings are written first; few of them are broadcast and texts stay in place.
+    """
+    _, known = scan(docs, ledger, rule_version, rules, id_col, text_col)
+    blob, spans = free_name(docs, "blob"), free_name(docs, "spans")
+    found = known.where((F.col("rule_version") == rule_version) & (F.size("spans") > 0))
+    found = written(found.select(F.col("blob").alias(blob), F.col("spans").alias(spans)).dropDuplicates([blob]), "findings")
+    joined = docs.join(found, blob_id(F.col(text_col)) == F.col(blob), "left")
+    text = F.when(F.col(spans).isNull(), F.col(text_col)).otherwise(redacted(F.col(text_col), F.col(spans)))
+    columns = {c: F.col(c) for c in docs.columns} | {text_col: text}
+    if length_col:
+        length = F.length(text).cast(docs.schema[length_col].dataType)
+        columns[length_col] = F.when(F.col(spans).isNull(), F.col(length_col)).otherwise(length)
+    return joined.select(*[column.alias(name) for name, column in columns.items()])

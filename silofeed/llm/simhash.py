@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components, hamming
-from .tables import written
+from .tables import free_name, text_key, without, written
 from .workers import importable
 
 #: Bits that linked fingerprints may differ in. The grid is exact up to three.
@@ -117,3 +117,14 @@ def near_duplicates(
 
 def hex_digits(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
+                         distance: int = DISTANCE) -> DataFrame:
+    """The rows of ``docs`` with the smallest id of their component, with all their columns.
+
+    Rows that repeat both id and text are one document and stay, or go, together.
+    """
+    key = free_name(docs, "document")
+    found = near_duplicates(docs.withColumn(key, text_key(id_col, text_col)), key, text_col, words, distance)
+    return without(docs, found.where(F.col(key) != F.col("component_id")).select(key), id_col, text_col)

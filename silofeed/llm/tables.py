@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ..workspace import new_folder
 
@@ -20,3 +21,18 @@ def free_name(df: DataFrame, wanted: str) -> str:
     while wanted.lower() in taken:
         wanted = f"{wanted}_"
     return wanted
+
+
+def text_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """Names a document by its id, nulls last, and a hash of its text."""
+    return F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text"))
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose :func:`text_key` is not in the one column of ``gone``.
+
+    ``gone`` is written first, so Spark knows its size: a small one is broadcast and the texts stay where they are.
+    """
+    name = free_name(docs, "gone")
+    keys = written(gone.toDF(name).distinct(), "gone")
+    return docs.join(keys, text_key(id_col, text_col) == F.col(name), "left_anti")
