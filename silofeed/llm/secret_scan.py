@@ -157,7 +157,7 @@ def redacted(text: Column, spans: Column) -> Column:
                    F.concat(st["done"], F.substring(text, st["at"], s["start"] + 1 - st["at"]), F.lit("["), s["kind"], F.lit("]")),
             ).otherwise(st["done"]).alias("done"),
         )),
-        lambda st: F.concat(st["done"], F.substring(text, st["at"], F.length(text))),
+        lambda st: F.concat(st["done"], F.substr(text, st["at"])),
     ))
 
 
@@ -168,13 +168,13 @@ def redact(docs: DataFrame, ledger: DataFrame | None = None, rule_version: str =
     Null text stays null. The blobs with findings are written first; few of them are broadcast and texts stay in place.
     """
     _, known = scan(docs, ledger, rule_version, rules, id_col, text_col)
-    blob, spans = free_name(docs, "blob"), free_name(docs, "spans")
+    blob, spans, new = (free_name(docs, name) for name in ("blob", "spans", "redacted"))
     found = known.where((F.col("rule_version") == rule_version) & (F.size("spans") > 0))
     found = written(found.select(F.col("blob").alias(blob), F.col("spans").alias(spans)).dropDuplicates([blob]), "findings")
     joined = docs.join(found, blob_id(F.col(text_col)) == F.col(blob), "left")
     text = F.when(F.col(spans).isNull(), F.col(text_col)).otherwise(redacted(F.col(text_col), F.col(spans)))
-    columns = {c: F.col(c) for c in docs.columns} | {text_col: text}
+    columns = {c: F.col(c) for c in docs.columns} | {text_col: F.col(new)}
     if length_col:
-        length = F.length(text).cast(docs.schema[length_col].dataType)
+        length = F.length(new).cast(docs.schema[length_col].dataType)
         columns[length_col] = F.when(F.col(spans).isNull(), F.col(length_col)).otherwise(length)
-    return joined.select(*[column.alias(name) for name, column in columns.items()])
+    return joined.withColumn(new, text).select(*[column.alias(name) for name, column in columns.items()])
