@@ -21,6 +21,8 @@ CONTAINED = 0.8
 SURE = 0.9999
 #: Longest template of each class in words; windows are a quarter longer and half of that apart.
 CLASSES = (12, 48, 192, 768)
+#: Template bands, of at most a few kB each, that are broadcast; more are joined by shuffles.
+BROADCAST_ROWS = 20_000
 
 WORD = r"[\p{L}\p{N}]+(?:[.-][\p{L}\p{N}]+)*"
 
@@ -129,10 +131,14 @@ def band_values(shingles: Column, bands: int) -> Column:
 
 
 def template_bands(spark: SparkSession, of_class: TemplateClass) -> DataFrame:
-    """``band``, ``value``, ``template`` and ``wanted`` (its shingles), one row for each template and band."""
+    """``band``, ``value``, ``template`` and ``wanted`` (its shingles), one row for each template and band.
+
+    Up to ``BROADCAST_ROWS`` rows are broadcast, so windows need not move to meet them.
+    """
     rows = [(name, sorted(shingles_of(words))) for name, words in of_class.templates.items()]
     table = spark.createDataFrame(rows, "template string, wanted array<string>")
-    return table.select("template", "wanted", F.posexplode(band_values(F.col("wanted"), of_class.bands)).alias("band", "value"))
+    bands = table.select("template", "wanted", F.posexplode(band_values(F.col("wanted"), of_class.bands)).alias("band", "value"))
+    return F.broadcast(bands) if len(rows) * of_class.bands <= BROADCAST_ROWS else bands
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] = TEMPLATES,
