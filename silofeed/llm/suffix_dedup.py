@@ -423,7 +423,11 @@ def _exchange(runs: DataFrame, buckets: int, together: int) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark remove the shuffle files of steps that are done: it does so when the driver's references are collected."""
+    """Let Spark remove the shuffle files of steps that are done, which it does once the driver has let go of them.
+
+    A driver with memory to spare may not collect its garbage for a long time. The results are tables in the shared
+    folder by then.
+    """
     gc.collect()
     spark._jvm.System.gc()
 
@@ -435,23 +439,32 @@ def repeated_starts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     spark = docs.sparkSession
     importable(spark)
-    texts = keyed(docs, id_col, text_col)
     buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    grams = texts.select("doc", "text").mapInArrow(_grams, "gram long, doc long, at int, sure boolean")
-    dealt = grams.repartition("gram").sortWithinPartitions("gram")
-    wanted = dealt.mapInArrow(_repeated, "doc long, at int").groupBy("doc").agg(F.collect_list("at").alias("wanted"))
-    items = texts.join(wanted, "doc").select("id", "doc", "text", "wanted")
-    runs = items.mapInArrow(_document_items(buckets), RUN_TYPES)
+    out = _first_round(docs, id_col, text_col, buckets, together)
     found = None
     while True:
-        out = written(_exchange(runs, buckets, together), "suffixes")
         release(spark)
         repeats = out.where("lo IS NOT NULL").select("doc", "lo", "hi")
         found = repeats if found is None else found.unionByName(repeats)
-        cuts = out.where("string IS NOT NULL")
-        if cuts.isEmpty():
+        if out.where("string IS NOT NULL").isEmpty():
             return found
-        runs = cuts.select("id", "doc", "start", "place", "low", "high", "string").mapInArrow(_halves(buckets), RUN_TYPES)
+        out = _next_round(out, buckets, together)
+
+
+def _first_round(docs: DataFrame, id_col: str, text_col: str, buckets: int, together: int) -> DataFrame:
+    """Repeats and cuts of all documents, as a table. Only the table outlives the call; see :func:`release`."""
+    texts = keyed(docs, id_col, text_col)
+    grams = texts.select("doc", "text").mapInArrow(_grams, "gram long, doc long, at int, sure boolean")
+    dealt = grams.repartition("gram").sortWithinPartitions("gram")
+    wanted = dealt.mapInArrow(_repeated, "doc long, at int").groupBy("doc").agg(F.collect_list("at").alias("wanted"))
+    items = texts.join(wanted, "doc").select("id", "doc", "text", "wanted")
+    return written(_exchange(items.mapInArrow(_document_items(buckets), RUN_TYPES), buckets, together), "suffixes")
+
+
+def _next_round(out: DataFrame, buckets: int, together: int) -> DataFrame:
+    """Repeats and cuts among the halves of the items that were cut, as a table."""
+    cuts = out.where("string IS NOT NULL").select("id", "doc", "start", "place", "low", "high", "string")
+    return written(_exchange(cuts.mapInArrow(_halves(buckets), RUN_TYPES), buckets, together), "suffixes")
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
