@@ -53,7 +53,9 @@ def exact_duplicates(
 
     # Ids of the rows that are still undecided; the texts of these alone are hashed in full.
     undecided = same_size.join(prefixes, ["size", "prefix"], "left_semi").select("id").distinct()
-    decided = narrow.join(undecided, narrow["id"].eqNullSafe(undecided["id"]), "left_anti")
+    # Not an anti join: that would be moved below the projection, and the texts through the shuffle.
+    marked = undecided.select(F.col("id").alias("again_id"), F.lit(True).alias("again"))
+    decided = narrow.join(marked, F.col("id").eqNullSafe(F.col("again_id")), "left").where("again IS NULL")
     survivors = rows.join(undecided, rows["id"].eqNullSafe(undecided["id"]), "left_semi")
     hashed = survivors.select("id", "chars", *carry, F.sha2("norm", 256).alias("full"))
 
