@@ -200,8 +200,8 @@ def identify(rows: DataFrame, model: TextModel, id_col: str = "doc_id", text_col
     mass = F.aggregate(F.col("score"), F.lit(0.0), lambda a, s: a + F.exp(s - top))
     names = F.array(*[F.lit(x) for x in (*model.languages, UNKNOWN)])
     result = fused.withColumn("score", score).select(
-        F.col("id").alias(id_col), names[(F.array_position("score", top) - 1).cast("int")].alias("lang"),
-        F.round(1 / mass, 6).alias("probability"), names[F.col("best")].alias("text_lang"), "letters")
+        F.col("id").alias(id_col), F.get(names, (F.array_position("score", top) - 1).cast("int")).alias("lang"),
+        F.round(1 / mass, 6).alias("probability"), F.get(names, F.col("best")).alias("text_lang"), "letters")
     known = (F.col("lang") != UNKNOWN) & (F.col("probability") >= least) & F.col("letters")
     return result.select(id_col, "lang", "probability", "text_lang", known.alias("accepted"))
 

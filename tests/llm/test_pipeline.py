@@ -1,0 +1,93 @@
+"""The pipeline, stage by stage, and the registered queries."""
+
+import re
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_points
+import corpus_pipeline
+from silofeed.llm import queries
+
+from .test_exact_dedup import expected, normal
+from .test_packing import check, library  # noqa: F401
+from .test_secret_scan import base
+from .test_simhash import brute, groups
+
+
+@pytest.fixture(scope="module")
+def stages(spark, docs, sf_dir, tmp_path_factory):
+    root, tables = tmp_path_factory.mktemp("stages"), [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, tables[-1], sf_dir).write.parquet(f"{root}/{name}")
+        tables.append(spark.read.parquet(f"{root}/{name}"))
+    return tables
+
+
+def texts_of(df):
+    return {r["doc_id"]: r["text"] for r in df.collect()}
+
+
+def test_columns(stages):
+    assert all(df.columns == stages[0].columns for df in stages[:-1])
+
+
+def test_languages(stages):
+    given, kept = texts_of(stages[0]), texts_of(stages[1])
+    assert {i for i, t in given.items() if re.search(r"[^\W\d_]{2}", t)} == set(kept)
+
+
+def test_exact_copies(stages):
+    given = list(texts_of(stages[1]).items())
+    assert set(texts_of(stages[2])) == {i for i, _, _, kept in expected(given) if kept}
+    assert len({normal(t) for _, t in given}) == stages[2].count()
+
+
+def test_near_copies(stages):
+    fps = [(i, brute(t)) for i, t in texts_of(stages[2]).items()]
+    assert set(texts_of(stages[3])) == {i for i, _, c in groups(fps) if i == c}
+
+
+def test_secrets(stages):
+    given, clean = texts_of(stages[3]), texts_of(stages[4])
+    assert set(given) == set(clean)
+    for i, text in given.items():
+        assert (clean[i] == text) == (not base(text)) and not base(clean[i])
+    assert all(r["n_chars"] == len(r["text"]) for r in stages[4].collect() if base(given[r["doc_id"]]))
+
+
+def test_packing(stages, library):  # noqa: F811
+    assert check(stages[5].collect(), list(texts_of(stages[4]).items()), library) == 0
+
+
+def test_run_gives_the_same(spark, stages, sf_dir):
+    names = ["doc_id", "start", "length", "ids_crc32"]
+    assert sorted(corpus_pipeline.run(spark, sf_dir).select("doc_id", "doc_tokens").distinct().collect()) == sorted(
+        stages[5].select("doc_id", "doc_tokens").distinct().collect())
+    assert set(names) <= set(stages[5].columns)
+
+
+def test_queries_are_registered():
+    found = entry_points.queries()
+    numbers = sorted(int(m[1]) for name in found if (m := re.match(r"op(\d+)_", name)))
+    assert numbers == list(range(1, 11)) and "pipeline" in found and queries.ORACLES.items() <= entry_points.oracle_sql().items()
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_queries_with_sql(spark, sf_dir, name):
+    connection = duckdb.connect()
+    for table in ("documents", "pages"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    result = connection.execute(queries.ORACLES[name])
+    columns = [c[0] for c in result.description]
+    df = queries.QUERIES[name](spark, sf_dir)
+    assert sorted(map(repr, map(tuple, df.select(columns).collect()))) == sorted(map(repr, result.fetchall()))
+
+
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLES)))
+def test_queries_cover_their_tables(spark, sf_dir, name, docs):
+    found = queries.QUERIES[name](spark, sf_dir)
+    if name.startswith("op2_"):
+        assert found.select("page_id").distinct().count() == spark.read.parquet(f"{sf_dir}/pages.parquet").count()
+    elif not name.startswith("op3_"):
+        assert found.where("doc_id IS NOT NULL").select("doc_id").distinct().count() == docs.count()
