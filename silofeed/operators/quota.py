@@ -68,7 +68,8 @@ def quota_verdicts(jobs: DataFrame, quotas: DataFrame | None = None) -> DataFram
     """One verdict per job (``tenant, planned, parallelism``).
 
     ``quotas`` has at most one row per tenant; tenants without one get the default quota. The result has
-    the columns of ``jobs``, the two limits, ``admitted`` and ``message`` (null for admitted jobs).
+    the columns of ``jobs``, the two limits, ``admitted`` and ``message`` (null for admitted jobs). A job without a
+    tenant, a number of rows or a parallelism is refused.
     """
     max_records, max_parallelism = F.lit(DEFAULT_MAX_RECORDS).cast("long"), F.lit(DEFAULT_MAX_PARALLELISM)
     if quotas is not None:
@@ -79,16 +80,21 @@ def quota_verdicts(jobs: DataFrame, quotas: DataFrame | None = None) -> DataFram
         jobs = jobs.join(limits, "tenant", "left")
         max_records = F.coalesce(F.col("_records").cast("long"), max_records)
         max_parallelism = F.coalesce(F.col("_parallelism").cast("int"), max_parallelism)
+    known = F.concat(F.lit("tenant '"), F.coalesce("tenant", F.lit("null")), F.lit("'"))
     over_records = F.concat(
-        F.lit("tenant '"), "tenant", F.lit("' planned "), F.col("planned").cast("string"),
+        known, F.lit(" planned "), F.col("planned").cast("string"),
         F.lit(" records exceeds quota "), F.col("max_records").cast("string"),
     )
     over_parallelism = F.concat(
-        F.lit("tenant '"), "tenant", F.lit("' parallelism "), F.col("parallelism").cast("string"),
+        known, F.lit(" parallelism "), F.col("parallelism").cast("string"),
         F.lit(" exceeds quota "), F.col("max_parallelism").cast("string"),
     )
-    message = F.when(F.col("planned") > F.col("max_records"), over_records).when(
-        F.col("parallelism") > F.col("max_parallelism"), over_parallelism
+    message = (
+        F.when(F.col("planned") > F.col("max_records"), over_records)
+        .when(F.col("parallelism") > F.col("max_parallelism"), over_parallelism)
+        .when(F.col("tenant").isNull(), F.lit("tenant must not be null"))
+        .when(F.col("planned").isNull(), F.concat(known, F.lit(" has no planned records")))
+        .when(F.col("parallelism").isNull(), F.concat(known, F.lit(" has no parallelism")))
     )
     return (
         jobs.withColumns({"max_records": max_records, "max_parallelism": max_parallelism})

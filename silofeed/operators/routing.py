@@ -25,6 +25,9 @@ def route_records(df: DataFrame, tenant: Column | str, table: Column | str) -> t
 
     The tenant is taken from a column, so one job routes any number of tenants without a shuffle.
     """
+    taken = [c for c in df.columns if c.lower() in (TENANT_CATALOG, TARGET_TABLE)]
+    if taken:
+        raise ValueError(f"the column {taken[0]} is added by routing: rename it")
     tenant = as_column(tenant)
     target = F.lit(table) if isinstance(table, str) else table
     catalog = F.concat(F.lit(TENANT_PREFIX), tenant)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import re
 import uuid
+from urllib.parse import quote_plus
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.tenancy import catalog_for, database_for
-from ..workspace import folder_exists
+from ..workspace import match_files, remove_folder
 from .align import align_to_schema
 from .routing import TARGET_TABLE, TENANT_CATALOG
 
@@ -33,33 +34,46 @@ def gather(df: DataFrame) -> DataFrame:
     return df.hint("rebalance")
 
 
-def write_fan_out(routed: DataFrame, path: str, run_id: str, cluster: bool = True) -> None:
-    """Write routed rows of many tenants to one table, partitioned by tenant and run.
+def write_run(rows: DataFrame, path: str, run_id: str, *partition_by: str, writers: int | None = None) -> None:
+    """Write the rows of one run to a table of many runs, partitioned by ``partition_by`` and the run.
 
-    A run replaces its own partitions only, so running it again leaves the same rows. ``cluster=False``
-    saves the shuffle where rows lie by tenant already, or where there are few tenants.
+    A run replaces what the same run has written before, also where it has no rows any more, and touches no other.
+    ``writers`` bounds the number of tasks that write at a time.
     """
-    rows = routed.drop(TARGET_TABLE)
-    if cluster:
+    taken = [c for c in rows.columns if c.lower() == RUN_ID]
+    if taken:
+        raise ValueError(f"the column {taken[0]} is where the name of a run goes: rename it")
+    spark, name = rows.sparkSession, f"{RUN_ID}={quote_plus(run_id)}"
+    if TENANT_CATALOG in partition_by:
         rows = cluster_by_tenant(rows)
+    if writers:
+        rows = rows.coalesce(writers)
+    there = f"{path}/" + "/".join([*[f"{c}=*" for c in partition_by], name, "*"])
+    before = set(match_files(spark, there))
     (
-        rows.withColumn(RUN_ID, F.lit(run_id))
+        rows.withColumn(RUN_ID, F.lit(quote_plus(run_id)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(TENANT_CATALOG, RUN_ID)
+        .partitionBy(*partition_by, RUN_ID)
         .parquet(path)
     )
+    # Partitions that this run has not written again still hold the files of the last time.
+    for file in before.intersection(match_files(spark, there)):
+        remove_folder(spark, file)
+
+
+def write_fan_out(routed: DataFrame, path: str, run_id: str, writers: int | None = None) -> None:
+    """Write routed rows of many tenants to one table, partitioned by tenant and run; see :func:`write_run`."""
+    write_run(routed.drop(TARGET_TABLE), path, run_id, TENANT_CATALOG, writers=writers)
 
 
 def read_tenant(spark: SparkSession, path: str, tenant: str) -> DataFrame:
-    """Rows of one tenant; the files of other tenants are not looked at."""
-    catalog = catalog_for(tenant)
-    if folder_exists(spark, f"{path}/_spark_metadata"):
-        # Written by a stream, whose log tells which files are finished.
-        rows = spark.read.parquet(path).filter(F.col(TENANT_CATALOG) == catalog).drop(TENANT_CATALOG)
-    else:
-        rows = spark.read.parquet(f"{path}/{TENANT_CATALOG}={catalog}")
-    return rows.drop(RUN_ID)
+    """Rows of one tenant; the files of other tenants are not looked at.
+
+    The columns are those of all its runs, so that a run may add some: the footers are read on the executors.
+    """
+    reader = spark.read.option("mergeSchema", True)
+    return reader.parquet(f"{path}/{TENANT_CATALOG}={catalog_for(tenant)}").drop(RUN_ID)
 
 
 def tenant_table(tenant: str, table: str) -> str:
@@ -82,20 +96,17 @@ def create_tenant_database(spark: SparkSession, tenant: str, location: str | Non
 
 
 def register_tenant(spark: SparkSession, path: str, tenant: str, table: str) -> None:
-    """Make a tenant's part of a fanned-out table known as a table of the tenant's database.
+    """Make a tenant's part of a fanned-out table known in the tenant's database, as a view of its folder.
 
-    Only the catalog changes; the rows stay where the fan-out has put them. A table that holds rows of its
-    own is not given up for it.
+    The rows stay where the fan-out has put them, and those of later runs are seen. The view has the columns of the
+    day; register it again after a run that adds some. A table of that name is not given up for it.
     """
     name = tenant_table(tenant, table)
     create_tenant_database(spark, tenant)
-    if spark.catalog.tableExists(name):
-        if spark.catalog.getTable(name).tableType == "MANAGED":
-            raise ValueError(f"{name} is a table with rows of its own")
-        spark.sql(f"DROP TABLE {name}")
-    place = _text(f"{path}/{TENANT_CATALOG}={catalog_for(tenant)}")
-    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION {place}")
-    spark.catalog.recoverPartitions(name)
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        raise ValueError(f"{name} is a table with rows of its own")
+    folder = f"{path}/{TENANT_CATALOG}={catalog_for(tenant)}".replace("`", "``")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{folder}`")
 
 
 def read_tenant_table(spark: SparkSession, tenant: str, table: str) -> DataFrame:

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import threading
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..functions.tenancy import tenant_catalog_or_null
-from ..operators.quota import QuotaExceeded, count_by_tenant
+from ..operators.quota import count_by_tenant
 from ..operators.routing import TENANT_CATALOG
-from ..operators.sinks import cluster_by_tenant
+from ..operators.sinks import RUN_ID, write_run
 from ..plans.jobs import require_admitted, save_verdicts, tenant_verdicts
 from ..workspace import folder_exists
 
@@ -28,21 +33,41 @@ def read_stream(
     return reader.parquet(path)
 
 
-def write_stream(df: DataFrame, path: str, checkpoint: str, *partition_by: str) -> StreamingQuery:
-    """Run a stream over all files that are there now, into parquet files, each row exactly once.
-
-    The sink lists its finished files in a log of its own: a micro-batch that is run again after a failure
-    does not add to what readers of ``path`` see.
+def write_stream(
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    *partition_by: str,
+    before: Callable[[DataFrame], None] | None = None,
+    writers: int | None = None,
+) -> StreamingQuery:
+    """Run a stream over all files that are there now, into parquet files below ``path``.
+
+    A micro-batch is a run of its own (``run_id``), named after the stream and the batch's number. One that is run
+    again after a failure replaces its own files. The stream's name is kept in its checkpoint: streams from other
+    sources into the same folder do not touch each other's runs, and a stream that has lost its checkpoint is a new
+    one, whose rows come again rather than not at all. ``before`` sees each batch before it is written, and may
+    stop the stream by an error.
     """
-    query = (
-        df.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy(*partition_by)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    named, failed = threading.Event(), []
+
+    def write(batch: DataFrame, number: int) -> None:
+        named.wait()
+        try:
+            if before is not None:
+                before(batch)
+            write_run(batch, path, f"{query.id}-{number}", *partition_by, writers=writers)
+        except Exception as error:
+            failed.append(error)
+            raise
+
+    query = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    named.set()
+    try:
+        query.awaitTermination()
+    except Exception as error:
+        # The caller gets the error itself, not the stream's report of it.
+        raise failed[0] if failed else error
     return query
 
 
@@ -50,7 +75,7 @@ def read_landed(spark: SparkSession, path: str, schema: StructType) -> DataFrame
     """What streams have written to a folder, also when nothing has arrived yet."""
     if not folder_exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).drop(RUN_ID)
 
 
 def ingest_stream(
@@ -62,25 +87,29 @@ def ingest_stream(
     checkpoint: str,
     quotas: DataFrame | None = None,
     parallelism: int | None = None,
-    max_bytes_per_trigger: int = MICRO_BATCH_BYTES,
 ) -> DataFrame:
-    """Bounded run over a closed folder of files: admit every tenant, then route the rows as a stream.
+    """Bounded run over the files that have arrived since the last one: admit every tenant, then route the rows.
 
-    Returns the verdicts. Quotas are per run, and a micro-batch knows only itself, so the rows are counted
-    before the stream starts. Should the folder grow in between, the run fails after the fact. Rows without
-    a legal tenant stop the run like any refused tenant.
+    Returns the verdicts. Quotas are per run, so the run is one micro-batch over a list of files that is fixed when it
+    starts: exactly these rows are counted, before any of them is written, and then moved. Files that arrive meanwhile
+    wait for the next run. A batch that an earlier run has left unfinished comes first and counts too. Rows without a
+    legal tenant stop the run like any refused tenant; files of a stopped run are seen again by the next one.
     """
-    planned = count_by_tenant(spark.read.schema(schema).parquet(source_path), tenant)
-    verdicts = save_verdicts(tenant_verdicts(planned, quotas, parallelism))
-    require_admitted(verdicts)
-    rows = read_stream(spark, source_path, schema, max_bytes_per_trigger)
+    counts: list[DataFrame] = []
+
+    def admit(batch: DataFrame) -> None:
+        counts.append(save_verdicts(count_by_tenant(batch, tenant)))
+        require_admitted(verdicts_so_far())
+
+    def verdicts_so_far() -> DataFrame:
+        counted = reduce(DataFrame.unionByName, counts or [spark.createDataFrame([], "tenant string, planned long")])
+        planned = counted.groupBy("tenant").agg(F.sum("planned").alias("planned"))
+        return tenant_verdicts(planned, quotas, parallelism)
+
+    rows = spark.readStream.schema(schema).parquet(source_path)
     routed = rows.withColumn(TENANT_CATALOG, tenant_catalog_or_null(tenant))
-    write_stream(cluster_by_tenant(routed), path, checkpoint, TENANT_CATALOG)
-    admitted = verdicts.groupBy().sum("planned").first()[0] or 0
-    moved = read_landed(spark, path, schema).count()
-    if moved > admitted:
-        raise QuotaExceeded(f"{source_path} grew during the run: admitted {admitted} records, moved {moved}")
-    return verdicts
+    write_stream(routed, path, checkpoint, TENANT_CATALOG, before=admit, writers=parallelism)
+    return save_verdicts(verdicts_so_far())
 
 
 def land_changes(
@@ -93,7 +122,8 @@ def land_changes(
 ) -> DataFrame:
     """Collect a stream of changes in a log, to be applied to a snapshot, and return the log so far.
 
-    Changes may come late or twice: the last change of a key is chosen by its sequence, not by arrival.
+    Several streams may fill one log. Changes may come late or twice: the last change of a key is chosen by its
+    sequence, not by arrival.
     """
     rows = read_stream(spark, source_path, schema, max_bytes_per_trigger)
     write_stream(rows, path, checkpoint)

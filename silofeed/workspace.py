@@ -37,6 +37,12 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     files.delete(path, True)
 
 
+def match_files(spark: SparkSession, pattern: str) -> list[str]:
+    """Full names of the files that match a pattern; nothing is opened."""
+    files, path = _file_system(spark, pattern)
+    return [status.getPath().toString() for status in files.globStatus(path) or [] if status.isFile()]
+
+
 def match_paths(spark: SparkSession, pattern: str) -> list[tuple[str, str]]:
     """Parent name and name of the folders and files that match a pattern; nothing is opened."""
     files, path = _file_system(spark, pattern)

@@ -101,7 +101,7 @@ def test_fan_out_keeps_tenants_apart_and_can_be_run_again(spark, tmp_path):
     write_fan_out(routed.drop("t"), path, "r1")
     assert rows(read_tenant(spark, path, "acme")) == [(1,), (2,), (5,)]
     assert rows(read_tenant(spark, path, "tenant-demo")) == [(4,)]
-    write_fan_out(routed.drop("t").filter("id = 1"), path, "r2", cluster=False)
+    write_fan_out(routed.drop("t").filter("id = 1"), path, "r2", writers=2)
     assert rows(read_tenant(spark, path, "acme")) == [(1,), (1,), (2,), (5,)]
     files = read_tenant(spark, path, "acme").inputFiles()
     assert files and all("/tenant_catalog=df_acme/" in f for f in files)
@@ -109,6 +109,51 @@ def test_fan_out_keeps_tenants_apart_and_can_be_run_again(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(tenant_catalog" in pruned
 
 
+def test_a_run_replaces_all_of_its_rows(spark, tmp_path):
+    path = str(tmp_path / "orders")
+    routed = route_records(many(spark), "t", "orders")[0].drop("t")
+    for run in ("r1", "r/2"):
+        write_fan_out(routed, path, run)
+    write_fan_out(routed.filter("tenant_catalog <> 'df_acme'"), path, "r1")
+    # The tenant that the second attempt does not have is gone from this run, and from no other.
+    assert rows(spark.read.parquet(path), "id", "run_id") == sorted(
+        [(3, "r1"), (4, "r1"), *[(i, "r%2F2") for i in (1, 2, 3, 4, 5)]], key=repr)
+
+
+def test_later_runs_may_add_columns(spark, tmp_path, tenant):
+    path = str(tmp_path / "orders")
+    for n, df in enumerate((spark.range(1), spark.range(1, 2).selectExpr("id", "'x' AS more"))):
+        write_fan_out(df.withColumn("tenant_catalog", F.lit("df_acme")), path, f"r{n}")
+    assert rows(read_tenant(spark, path, "acme"), "id", "more") == [(0, None), (1, "x")]
+
+
+def test_names_that_the_tables_use_are_refused(spark, tmp_path):
+    df = spark.range(1).selectExpr("id", "'acme' AS t", "1 AS RUN_ID")
+    with pytest.raises(ValueError, match="RUN_ID"):
+        ingest_tenants(df, "t", "orders", str(tmp_path / "o"), "r1", parallelism=1)
+    for name in ("tenant_catalog", "Target_Table"):
+        with pytest.raises(ValueError, match=name):
+            route_records(many(spark).withColumn(name, F.lit(1)), "t", "orders")
+
+
+def test_a_tenant_without_a_count_is_refused(spark, tmp_path):
+    planned = spark.createDataFrame([("acme", 3), ("beta", 1)], "tenant string, planned long")
+    more = many(spark).union(spark.createDataFrame([(9, "a_b"), (10, None)], "id long, t string"))
+    with pytest.raises(QuotaExceeded):
+        ingest_tenants(more, "t", "orders", str(tmp_path / "o"), "r1", parallelism=1, planned=planned)
+    verdicts = ingest_tenants(more, "t", "orders", str(tmp_path / "o"), "r1", parallelism=1, planned=planned, skip_refused=True)
+    assert rows(verdicts.filter("NOT admitted"), "tenant", "message") == [
+        ("a_b", "illegal tenantId: a_b"), ("tenant-demo", "tenant 'tenant-demo' has no planned records"),
+        (None, "illegal tenantId: null")]
+    assert rows(spark.read.parquet(str(tmp_path / "o")), "id") == [(1,), (2,), (3,), (5,)]
+
+
+def test_writers_are_no_more_than_stated(spark, tmp_path):
+    df = spark.range(0, 1000, 1, 8).selectExpr("id", "concat('t', id % 3) AS t")
+    ingest_tenants(df, "t", "orders", str(tmp_path / "o"), "r1", parallelism=2)
+    assert len({f.split("part-")[1][:5] for f in glob.glob(f"{tmp_path}/o/*/*/*.parquet")}) <= 2
+
+
 def test_a_large_tenant_is_written_by_several_tasks(spark, tmp_path):
     # Two thirds of the rows belong to one tenant.
     df = spark.range(0, 400_000, 1, 8).selectExpr(
@@ -182,6 +227,15 @@ def test_a_fanned_out_table_is_registered_per_tenant(spark, tmp_path, tenant):
     for _ in range(2):
         register_tenant(spark, path, tenant, "orders")
     assert rows(read_tenant_table(spark, tenant, "orders"), "id", "t") == [(1, tenant)]
+    ingest_tenants(df, "t", "orders", path, "r2", parallelism=1)
+    assert rows(read_tenant_table(spark, tenant, "orders"), "id", "t") == [(1, tenant)] * 2
+
+
+def test_a_snapshot_is_not_replaced_by_a_registration(spark, tmp_path, tenant):
+    publish_snapshot(spark.range(3), tenant, "t")
+    with pytest.raises(ValueError, match="rows of its own"):
+        register_tenant(spark, str(tmp_path), tenant, "t")
+    assert rows(read_tenant_table(spark, tenant, "t")) == [(0,), (1,), (2,)]
 
 
 def test_a_table_with_rows_of_its_own_is_not_replaced_by_a_registration(spark, tmp_path, tenant):

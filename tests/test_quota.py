@@ -83,3 +83,13 @@ def test_planned_records_reads_no_column(spark, sf_dir):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     assert planned_records(orders) == len(orders.collect())
     assert "ReadSchema: struct<>" in plan(orders.groupBy().count())
+
+
+def test_jobs_that_lack_a_number_or_a_tenant_are_refused(spark):
+    jobs = spark.createDataFrame(
+        [(None, 5_000_000, 1), (None, 1, 1), ("acme", None, 1), ("acme", 1, None), ("acme", 1, 1)],
+        "tenant string, planned long, parallelism int",
+    )
+    assert [(r["admitted"], r["message"]) for r in quota_verdicts(jobs).collect()] == [
+        (False, "tenant 'null' planned 5000000 records exceeds quota 1000000"), (False, "tenant must not be null"),
+        (False, "tenant 'acme' has no planned records"), (False, "tenant 'acme' has no parallelism"), (True, None)]
