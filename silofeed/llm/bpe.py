@@ -37,11 +37,11 @@ DOUBLE_SPACE = rf"[{SPACE}] |^ "
 SETTLED = r"\u0000-\u0527\u2000-\u2064"
 
 #: Chunks and words that a worker remembers with their ids before it starts over.
-REMEMBERED = 1 << 19
+REMEMBERED = 3 << 17
 #: Longer words and chunks are not remembered; longer words are merged one by one.
 SHORT = 40
 #: Characters of text whose new words are merged together, and rows of a rank array.
-TOGETHER = 1 << 22
+TOGETHER = 1 << 20
 ROWS = 1 << 13
 NO_RANK = (1 << 31) - 1
 

@@ -35,8 +35,8 @@ CLASSES = 256
 #: Simplex steps; fewer than the program needs cost patterns, not correctness.
 STEPS = 4000
 #: Words that a worker remembers with their ids before it starts over, and characters that are encoded together.
-REMEMBERED = 1 << 19
-TOGETHER = 1 << 22
+REMEMBERED = 1 << 18
+TOGETHER = 1 << 20
 
 
 class WordCoder:
