@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -34,7 +35,7 @@ SEQUENCE = 4096
 CLASSES = 256
 #: Simplex steps; fewer than the program needs cost patterns, not correctness.
 STEPS = 4000
-#: Words that a worker remembers with their ids before it starts over, and characters that are encoded together.
+#: Words that a worker remembers with their ids before it starts over, twice, and characters that are encoded together.
 REMEMBERED = 1 << 18
 TOGETHER = 1 << 20
 
@@ -44,6 +45,8 @@ class WordCoder:
 
     #: Separators that only Python takes as white space, and what may be a special token: such texts go as a whole.
     IRREGULAR = re.compile(r"[\x1c-\x1f]|<\|")
+    #: Letters whose case and composition are plain, and the marks behind them, which the library encodes apart.
+    WORD = re.compile(r"([a-zßà-öø-ÿ]+)([^\w\s]*)")
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -52,11 +55,30 @@ class WordCoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        #: Ids of what stands between white space, and of the words and marks that it consists of.
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
+        #: What was known before the last start-over; what is met again is taken from there.
+        self.older_known: dict[str, bytes] = {}
+        self.older_parts: dict[str, bytes] = {}
 
     def library_ids(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", x.ids).tobytes() for x in found]
+
+    def learn(self, chunks: set[str]) -> None:
+        cut: dict[str, tuple[str, ...]] = {}
+        for chunk in chunks:
+            if chunk in self.older_known:
+                self.known[chunk] = self.older_known[chunk]
+                continue
+            plain = self.WORD.fullmatch(chunk.lower())
+            cut[chunk] = plain.groups() if plain else (chunk,)
+        parts = {part for parts in cut.values() for part in parts if part not in self.parts}
+        self.parts.update((part, self.older_parts[part]) for part in parts if part in self.older_parts)
+        unseen = [part for part in parts if part not in self.older_parts]
+        self.parts.update(zip(unseen, self.library_ids(unseen), strict=True))
+        self.known.update((chunk, b"".join([self.parts[p] for p in parts])) for chunk, parts in cut.items())
 
     def encode_all(self, texts: list[str]) -> Iterator[bytes]:
         some: list[str] = []
@@ -70,11 +92,11 @@ class WordCoder:
         yield from self._encode(some)
 
     def _encode(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+        if len(self.known) + len(self.parts) > REMEMBERED:
+            self.older_known, self.older_parts = self.known, self.parts
+            self.known, self.parts = {}, {"": b""}
         cut = [None if self.IRREGULAR.search(t) else t.split() for t in texts]
-        unseen = list({w for words in cut if words for w in words if w not in self.known})
-        self.known.update(zip(unseen, self.library_ids(unseen), strict=True))
+        self.learn({w for words in cut if words for w in words if w not in self.known})
         for text, words in zip(texts, cut, strict=True):
             yield self.library_ids([text])[0] if words is None else b"".join([self.known[w] for w in words])
 
