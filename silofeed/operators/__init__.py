@@ -43,6 +43,7 @@ __all__ = [
     "read_tenant",
     "read_tenant_table",
     "register_tenant",
+    "tenant_table",
     "route_line",
     "route_records",
     "tables_equal",

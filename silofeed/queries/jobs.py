@@ -28,21 +28,31 @@ TENANT_ORDERS_SQL = """
 
 
 def fanned_out(spark: SparkSession, sf_dir: str) -> str:
+    """Two runs: the second adds a column; the first is then repeated without one of its tenants."""
     path = new_folder(spark, "orders")
-    rows = orders_with_tenant(spark, sf_dir).select("o_orderkey", "o_custkey", "o_totalprice", "tenant")
+    rows = orders_with_tenant(spark, sf_dir).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "tenant")
     routed, _ = route_records(rows, "tenant", "orders")
-    write_fan_out(routed.drop("tenant"), path, "first")
+    first = routed.filter("o_orderstatus <> 'F'").drop("tenant", "o_orderstatus")
+    write_fan_out(first, path, "first")
+    write_fan_out(routed.filter("o_orderstatus = 'F'").drop("tenant"), path, "second")
+    write_fan_out(first.filter("tenant_catalog <> 'df_building'"), path, "first")
     return path
 
 
-@query("fan_out", TENANT_ORDERS_SQL)
+RUNS_SQL = """
+    SELECT o_orderkey, o_custkey, o_totalprice, CASE o_orderstatus WHEN 'F' THEN 'F' END AS o_orderstatus,
+           'df_' || lower(c_mktsegment) AS tenant_catalog
+    FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F' OR c_mktsegment <> 'BUILDING'"""
+
+
+@query("fan_out", RUNS_SQL)
 def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders of all tenants written in one job, and read back."""
-    return spark.read.parquet(fanned_out(spark, sf_dir)).drop("run_id")
+    """Orders of all tenants written by several runs, and read back."""
+    return spark.read.option("mergeSchema", True).parquet(fanned_out(spark, sf_dir)).drop("run_id")
 
 
 @query("tenant_table", f"""
-    SELECT o_orderkey, o_custkey, o_totalprice FROM ({TENANT_ORDERS_SQL}) o
+    SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM ({RUNS_SQL}) o
     WHERE tenant_catalog = 'df_furniture'""")
 def one_tenant(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One tenant of a fanned-out table; the files of the others are not looked at."""
@@ -67,11 +77,6 @@ def admitted_tenants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select("o_orderkey", "o_custkey", "o_totalprice", "tenant_catalog")
 
 
-def event_files(sf_dir: str) -> str:
-    """Path of the events for a stream, as a pattern, which may stand for one file as well as a folder."""
-    return f"{sf_dir}/events.parquet*"
-
-
 def tenant_database(spark: SparkSession, tenant: str) -> None:
     """Database of a tenant whose files lie in the shared folder."""
     create_tenant_database(spark, tenant, new_folder(spark, tenant))
@@ -101,34 +106,67 @@ def incremental_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tenant_table(spark, tenant, "events")
 
 
+@query("sync_incremental_versions", """
+    SELECT event_id, user_id, value, ts FROM events WHERE ts IS NOT NULL AND event_id % 5 <> 0
+    UNION ALL SELECT event_id, user_id, value, CAST(NULL AS TIMESTAMP) FROM events WHERE event_id % 5 = 0
+    UNION ALL SELECT event_id, user_id, value, ts + INTERVAL 1 SECOND FROM events
+    WHERE event_id % 5 <> 0 AND event_id % 7 = 0 AND ts > (
+        SELECT max(ts) FROM events WHERE event_id % 5 <> 0) - INTERVAL 1 DAY""")
+def new_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows within the overlap that have changed since are new versions; rows without a cursor come once."""
+    events, tenant = table(spark, sf_dir, "events"), "sync-versions"
+    cursor = F.when(F.col("event_id") % 5 != 0, F.col("ts")).alias("ts")
+    before = events.select("event_id", "user_id", "value", cursor)
+    day, last = datetime.timedelta(days=1), before.agg(F.max("ts")).first()[0]
+    moved = (F.col("event_id") % 7 == 0) & (F.col("ts") > F.lit(str(last - day)).cast("timestamp_ntz"))
+    after = before.withColumn("ts", F.when(moved, F.expr("ts + INTERVAL 1 SECOND")).otherwise(F.col("ts")))
+    tenant_database(spark, tenant)
+    for rows in (before, before, after):
+        sync_tenant_incremental(rows, tenant, "events", "ts", keys=["event_id"], overlap=day)
+    return read_tenant_table(spark, tenant, "events")
+
+
 @query("sync_changes", STATE_SQL)
 def synced_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """State of every user in a tenant's table, brought up to date by the later half of the log."""
-    tenant, (snapshot, later) = "sync-changes", state_and_log(spark, sf_dir)
+    """State of every user in a tenant's table: the later half of the log comes first, then the earlier one, then both."""
+    tenant, events = "sync-changes", table(spark, sf_dir, "events")
+    snapshot, later = state_and_log(spark, sf_dir)
     tenant_database(spark, tenant)
-    sync_full(snapshot, tenant, "users")
-    sync_changes(later, tenant, "users", USER_KEY, USER_ORDER, USER_GONE)
+    sync_full(snapshot.filter(F.lit(False)), tenant, "users")
+    for log in (later, events.join(later.select("event_id"), "event_id", "left_anti"), events):
+        sync_changes(log, tenant, "users", USER_KEY, USER_ORDER, USER_GONE)
     return read_tenant_table(spark, tenant, "users")
 
 
+def event_halves(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The events as two folders of files, told apart by a condition."""
+    events, root = table(spark, sf_dir, "events"), new_folder(spark, "sources")
+    folders = []
+    for name, condition in (("even", "event_id % 2 = 0"), ("odd", "event_id % 2 <> 0 OR event_id IS NULL")):
+        folders.append(f"{root}/{name}")
+        events.filter(condition).write.parquet(folders[-1])
+    return folders
+
+
 @query("ingest_stream", """
     SELECT event_id, ts, user_id, event_type, value, props, 'df_' || event_type AS tenant_catalog FROM events""")
 def streamed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sources, in two runs, into one table; each tenant's quota is what the larger of its runs needs."""
     events = table(spark, sf_dir, "events")
     path, checkpoint = new_folder(spark, "events"), new_folder(spark, "stream")
-    quotas = events.select(F.col("event_type").alias("tenant")).distinct()
-    quotas = quotas.withColumns({"max_records": F.lit(10**12), "max_parallelism": F.lit(4)})
-    ingest_stream(
-        spark, event_files(sf_dir), events.schema, "event_type", path, checkpoint, quotas, parallelism=4
-    )
-    return spark.read.parquet(path)
+    quotas = events.groupBy(F.col("event_type").alias("tenant")).agg(
+        F.count(F.lit(1)).alias("max_records"), F.lit(4).alias("max_parallelism"))
+    for n, folder in enumerate(event_halves(spark, sf_dir)):
+        ingest_stream(spark, folder, events.schema, "event_type", path, f"{checkpoint}/{n}", quotas, parallelism=4)
+    return spark.read.parquet(path).drop("run_id")
 
 
 @query("stream_changes", STATE_SQL)
 def streamed_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole log arrives as a stream; what the snapshot knows already does no harm."""
+    """The log arrives as two streams; what the snapshot knows already does no harm."""
     events = table(spark, sf_dir, "events")
     path, checkpoint = new_folder(spark, "changes"), new_folder(spark, "stream")
-    log = land_changes(spark, event_files(sf_dir), events.schema, path, checkpoint)
+    for n, folder in enumerate(event_halves(spark, sf_dir)):
+        log = land_changes(spark, folder, events.schema, path, f"{checkpoint}/{n}")
     snapshot, _ = state_and_log(spark, sf_dir)
     return apply_changes(snapshot, log, USER_KEY, USER_ORDER, USER_GONE)

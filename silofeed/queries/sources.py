@@ -15,7 +15,8 @@ from ..functions import (
     source_supported,
     validate_sources,
 )
-from ..operators import create_tenant_database, register_tenant
+from ..functions.tenancy import catalog_for
+from ..operators import create_tenant_database, tenant_table
 from ..plans import copy_table, ingest_tenants
 from ..sources import (
     JDBC,
@@ -198,9 +199,17 @@ def key_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keys.select("table", F.array_join("key_columns", ",").alias("key_columns"))
 
 
-@query("list_tables", "SELECT * FROM (VALUES " + ", ".join(f"('{name}')" for name in KEYS) + ') AS t("table")')
+@query("list_tables", " UNION ALL ".join(
+    f"""SELECT '{name}' AS "table", count(*) AS n_rows FROM {name}""" for name in KEYS))
 def listed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return list_tables(spark, given_tables(sf_dir)).select("table")
+    """Every table that is found, with the number of its rows."""
+    source, counts = given_tables(sf_dir), None
+    found = list_tables(spark, source)
+    for row in found.collect():  # one small row for each table
+        rows = read_table(spark, source, TableRef(row["table"])).agg(F.count(F.lit(1)).alias("n_rows"))
+        counted = rows.select(F.lit(row["table"]).alias("table"), "n_rows")
+        counts = counted if counts is None else counts.unionByName(counted)
+    return found.select("table").join(counts, "table")
 
 
 @query("list_schemas", """
@@ -209,21 +218,20 @@ def tenant_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers fanned out in one job and registered per tenant, then found by the metadata scan."""
     path = new_folder(spark, "customer")
     tenant = F.concat(F.lit("cust-"), F.lower("c_mktsegment"))
-    quotas = table(spark, sf_dir, "customer").select(tenant.alias("tenant")).distinct()
-    quotas = quotas.withColumns({"max_records": F.lit(10**12), "max_parallelism": F.lit(4)})
+    quotas = table(spark, sf_dir, "customer").groupBy(tenant.alias("tenant")).agg(
+        F.count(F.lit(1)).alias("max_records"), F.lit(4).alias("max_parallelism"))
     verdicts = ingest_tenants(
         table(spark, sf_dir, "customer"), tenant, "customer", path, "first", quotas, parallelism=4
     )
     for row in verdicts.select("tenant").toLocalIterator():
         create_tenant_database(spark, row["tenant"], new_folder(spark, row["tenant"]))
-        register_tenant(spark, path, row["tenant"], "customer")
+        place = f"{path}/tenant_catalog={catalog_for(row['tenant'])}"
+        name = tenant_table(row["tenant"], "customer")
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{place}'")
     lake = SourceConfig(TABLE, "spark_catalog")
-    schemas = [r["schema"] for r in list_schemas(spark, lake).filter("schema LIKE 'df\\_cust\\_%'").collect()]
-    listed = [list_tables(spark, lake, schema) for schema in schemas]
-    found = listed[0]
-    for tables in listed[1:]:
-        found = found.unionByName(tables)
-    return found.select("schema", "table")
+    schemas = list_schemas(spark, lake).filter("schema LIKE 'df\\_cust\\_%'").select("schema")
+    return list_tables(spark, lake).join(schemas, "schema").select("schema", "table")
 
 
 @query("parquet_scan", "SELECT * FROM lineitem")

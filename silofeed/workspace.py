@@ -43,8 +43,25 @@ def match_files(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in files.globStatus(path) or [] if status.isFile()]
 
 
-def match_paths(spark: SparkSession, pattern: str) -> list[tuple[str, str]]:
-    """Parent name and name of the folders and files that match a pattern; nothing is opened."""
+def match_entries(spark: SparkSession, pattern: str) -> list[tuple[str, str | None, bool]]:
+    """Names that match a pattern; of folders also the first name inside and whether that is a file.
+
+    Names that begin with ``_`` or ``.`` and empty folders are left out. Nothing is opened, and a folder is listed only
+    up to its first entry.
+    """
     files, path = _file_system(spark, pattern)
-    paths = [status.getPath() for status in files.globStatus(path) or []]
-    return [(p.getParent().getName(), p.getName()) for p in paths]
+    found = []
+    for status in files.globStatus(path) or []:
+        name = status.getPath().getName()
+        if name.startswith(("_", ".")):
+            continue
+        if status.isFile():
+            found.append((name, None, False))
+            continue
+        inside = files.listStatusIterator(status.getPath())
+        while inside.hasNext():
+            entry = inside.next()
+            if not entry.getPath().getName().startswith(("_", ".")):
+                found.append((name, entry.getPath().getName(), entry.isFile()))
+                break
+    return found
