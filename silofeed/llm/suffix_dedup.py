@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -90,8 +91,9 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size = 0
     for batch in batches:
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            gram, at, _, _ = anchors(_bytes(text.as_py()))
-            held.append((gram, np.full(len(at), doc, np.int64), at))
+            gram, at, first, last = anchors(_bytes(text.as_py()))
+            # The place, the gram's offset from the first string's start, and the number of further starts, in one number.
+            held.append((gram, np.full(len(at), doc, np.int64), at << 14 | at - first << 7 | last - first))
             size += len(at)
             if size >= COUNTED:
                 yield _counted(held)
@@ -109,7 +111,7 @@ def _counted(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
     key = gram.copy()
     key[spread] = (doc[spread].astype(np.uint64) + at[spread].astype(np.uint64)) * MIX
     return pa.RecordBatch.from_arrays(
-        [pa.array(key.view(np.int64)), pa.array(doc), pa.array(at.astype(np.int32)), pa.array(sure)],
+        [pa.array(key.view(np.int64)), pa.array(doc), pa.array(at), pa.array(sure)],
         ["gram", "doc", "at", "sure"])
 
 
@@ -216,14 +218,12 @@ def _document_items(buckets: int):
         items: list[Item] = []
         for batch in batches:
             for doc_id, doc, text, wanted in zip(*(batch.column(i) for i in range(4)), strict=True):
-                doc_id, doc = doc_id.as_py(), doc.as_py()
-                data = _bytes(text.as_py())
-                _, at, first, last = anchors(data)
-                chosen = np.flatnonzero(np.isin(at, wanted.values.to_numpy()))
-                whole = data.tobytes()
-                for a, lo, hi in zip(at[chosen].tolist(), first[chosen].tolist(), last[chosen].tolist(), strict=True):
-                    string = whole[lo : hi + LENGTH]
-                    items.append(item(string, LAST if doc_id is None else doc_id, doc, lo, a - lo, 0, PLACES - 1))
+                doc_id, doc, whole = doc_id.as_py(), doc.as_py(), _bytes(text.as_py()).tobytes()
+                doc_id = LAST if doc_id is None else doc_id
+                for packed in wanted.values.to_pylist():
+                    at, place, starts = packed >> 14, packed >> 7 & 127, packed & 127
+                    string = whole[at - place : at - place + starts + LENGTH]
+                    items.append(item(string, doc_id, doc, at - place, place, 0, PLACES - 1))
                 if len(items) >= RUN_ITEMS:
                     yield from _runs(items, buckets)
                     items = []
@@ -428,8 +428,10 @@ def release(spark: SparkSession) -> None:
     A driver with memory to spare may not collect its garbage for a long time. The results are tables in the shared
     folder by then.
     """
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):  # the first round lets go of the driver's objects, the second of what they held
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(1)
 
 
 def repeated_starts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", together: int = TOGETHER) -> DataFrame:
@@ -440,7 +442,9 @@ def repeated_starts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     importable(spark)
     buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    out = _first_round(docs, id_col, text_col, buckets, together)
+    wanted = _wanted(docs, id_col, text_col)
+    release(spark)
+    out = _first_round(docs, wanted, id_col, text_col, buckets, together)
     found = None
     while True:
         release(spark)
@@ -451,13 +455,21 @@ def repeated_starts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         out = _next_round(out, buckets, together)
 
 
-def _first_round(docs: DataFrame, id_col: str, text_col: str, buckets: int, together: int) -> DataFrame:
-    """Repeats and cuts of all documents, as a table. Only the table outlives the call; see :func:`release`."""
-    texts = keyed(docs, id_col, text_col)
-    grams = texts.select("doc", "text").mapInArrow(_grams, "gram long, doc long, at int, sure boolean")
+def _wanted(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc`` and ``wanted``, its anchors whose gram occurs more than once, as a table.
+
+    Only the table outlives the call, here and in the rounds; see :func:`release`.
+    """
+    texts = keyed(docs, id_col, text_col).select("doc", "text")
+    grams = texts.mapInArrow(_grams, "gram long, doc long, at long, sure boolean")
     dealt = grams.repartition("gram").sortWithinPartitions("gram")
-    wanted = dealt.mapInArrow(_repeated, "doc long, at int").groupBy("doc").agg(F.collect_list("at").alias("wanted"))
-    items = texts.join(wanted, "doc").select("id", "doc", "text", "wanted")
+    found = dealt.mapInArrow(_repeated, "doc long, at long")
+    return written(found.groupBy("doc").agg(F.collect_list("at").alias("wanted")), "anchors")
+
+
+def _first_round(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, buckets: int, together: int) -> DataFrame:
+    """Repeats and cuts of all documents, as a table."""
+    items = keyed(docs, id_col, text_col).join(wanted, "doc").select("id", "doc", "text", "wanted")
     return written(_exchange(items.mapInArrow(_document_items(buckets), RUN_TYPES), buckets, together), "suffixes")
 
 
