@@ -26,7 +26,7 @@ from silofeed.sources import (
 )
 
 NAMES = ["id", "tenant", "amount"]
-SEED = [(1, "acme", Decimal("100.00")), (2, "acme", Decimal("250.00"))]
+SEED = [(11, "north", Decimal("7.25")), (12, "south", Decimal("-0.50")), (40, "north", None)]
 
 
 def seed(spark):
@@ -84,24 +84,24 @@ def test_rows_are_read_in_declared_order_of_columns(spark, source):
 
 
 def test_a_row_is_written_and_read_back(spark, source):
-    row = spark.sql("SELECT 375.0D AS amount, 'x' AS extra, 'acme' AS tenant, 3 AS id")
+    row = spark.sql("SELECT 19.75D AS amount, 'x' AS extra, 'west' AS tenant, 57 AS id")
     append_table(spark, row, *source)
-    assert count_table(spark, *source) == 3
-    assert rows(read_table(spark, *source)) == [*SEED, (3, "acme", Decimal("375.00"))]
+    assert count_table(spark, *source) == 4
+    assert rows(read_table(spark, *source)) == [*SEED, (57, "west", Decimal("19.75"))]
     assert [c.primary_key for c in describe_table(spark, *source)] == [True, False, False]
 
 
 def test_a_missing_table_is_an_error(spark, source):
     config, ref = source
-    missing = TableRef("does_not_exist_demo", ref.schema)
+    missing = TableRef("no_such_table", ref.schema)
     for use in (describe_table, read_table, count_table):
-        with pytest.raises(ValueError, match=f"table not found: {ref.schema}.does_not_exist_demo"):
+        with pytest.raises(ValueError, match=f"table not found: {ref.schema}.no_such_table"):
             use(spark, config, missing)
     with pytest.raises(ValueError, match="table not found"):
         append_table(spark, seed(spark), config, missing)
     described = describe_tables(spark, config, ref.schema)
     require_tables(described, [ref])
-    with pytest.raises(ValueError, match="table not found: .*does_not_exist_demo"):
+    with pytest.raises(ValueError, match="table not found: .*no_such_table"):
         require_tables(described, [ref, missing])
 
 

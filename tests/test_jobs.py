@@ -425,3 +425,44 @@ def test_folders_are_new_and_lie_in_the_shared_folder(spark):
     spark.range(1).write.parquet(first)
     remove_folder(spark, first)
     assert not os.path.exists(first)
+
+
+def test_versions_within_the_overlap_and_rows_without_a_cursor(spark, tenant):
+    schema = "k int, c int"
+    first, second = [(1, 10), (2, None), (3, 12)], [(1, 13), (2, None), (3, 12), (4, None)]
+    for data in (first, first, second):
+        df = spark.createDataFrame(data, schema)
+        sync_tenant_incremental(df, tenant, "t", "c", keys=["k"], overlap=5)
+    # The new version of 1 is there too, also when the cursor moves on.
+    sync_tenant_incremental(spark.createDataFrame([*second, (9, 99)], schema), tenant, "t", "c", keys=["k"], overlap=5)
+    assert rows(read_tenant_table(spark, tenant, "t")) == sorted(
+        [(1, 10), (1, 13), (2, None), (3, 12), (4, None), (9, 99)], key=repr)
+
+
+def test_rows_without_a_cursor_need_keys(spark, tenant):
+    df = spark.createDataFrame([(1, 10), (2, None)], "k int, c int")
+    sync_tenant_incremental(df, tenant, "t", "c")
+    with pytest.raises(ValueError, match="need keys"):
+        sync_tenant_incremental(df, tenant, "t", "c")
+    assert rows(read_tenant_table(spark, tenant, "t")) == [(1, 10), (2, None)]
+
+
+def test_late_and_repeated_changes_do_nothing(spark, tenant):
+    schema = "id int, seq int, name string, gone boolean"
+    sync_full(spark.createDataFrame([(7, "old")], "id int, name string"), tenant, "t")
+    logs = [[(1, 10, "new", False), (2, 8, None, True)], [(1, 5, "late", False), (2, 3, "late", False)], [(1, 10, "new", False)]]
+    for log in logs:
+        sync_changes(spark.createDataFrame(log, schema), tenant, "t", ["id"], ["seq"], "gone")
+        assert rows(read_tenant_table(spark, tenant, "t")) == [(1, "new"), (7, "old")]
+    sync_changes(spark.createDataFrame([(2, 9, "back", False)], schema), tenant, "t", ["id"], ["seq"], "gone")
+    assert rows(read_tenant_table(spark, tenant, "t")) == [(1, "new"), (2, "back"), (7, "old")]
+
+
+def test_rows_of_a_database_without_a_cursor(spark, database):
+    source = database(
+        'CREATE SCHEMA "s"', 'CREATE TABLE "s"."t" ("id" BIGINT NOT NULL PRIMARY KEY, "c" BIGINT)',
+        'INSERT INTO "s"."t" VALUES (1, 5), (2, NULL), (3, 9)')
+    new, until = read_increment(spark, source, TableRef("t", "s"), "c", 5, 2)
+    assert until == 9 and rows(new) == [(2, None), (3, 9)]
+    again, _ = read_increment(spark, source, TableRef("t", "s"), "c", 9, 2)
+    assert rows(again) == [(2, None)]

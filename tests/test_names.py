@@ -13,12 +13,12 @@ from silofeed.functions import (
 from silofeed.sources import TableRef
 
 URLS = {
-    "jdbc:postgresql://host:5432/df_acme": "postgresql",
-    "jdbc:mysql://host:3306/df_acme": "mysql",
+    "jdbc:postgresql://db7.lan:6432/shop?ssl=true": "postgresql",
+    "jdbc:mysql://10.0.0.8/stock": "mysql",
     "jdbc:dm://host:5236": "dm",
     "jdbc:kingbase8://host:54321/x": "kingbase",
     "jdbc:oceanbase://host:2881/x": "oceanbase",
-    "jdbc:h2:mem:df_acme": "ansi",
+    "jdbc:derby:memory:x;create=true": "ansi",
     "JDBC:MYSQL://host/x": "ansi",
     "": "ansi",
     None: "ansi",

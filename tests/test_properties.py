@@ -6,12 +6,13 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from silofeed.functions import is_valid_tenant, quote_identifier, quote_name, tenant_catalog_or_null
+from silofeed.functions.tenancy import TENANT_ID
 
 FEW = settings(
     max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow]
 )
 TEXT = st.text(st.characters(exclude_categories=["Cs"]), max_size=8)
-IDS = st.one_of(TEXT, st.from_regex("[a-z0-9-]{0,70}"), st.from_regex("[a-z0-9][a-z0-9-]{0,62}", fullmatch=True))
+IDS = st.one_of(TEXT, st.from_regex("[a-z0-9-]{0,70}"), st.from_regex(TENANT_ID, fullmatch=True))
 
 
 @FEW
@@ -19,7 +20,7 @@ IDS = st.one_of(TEXT, st.from_regex("[a-z0-9-]{0,70}"), st.from_regex("[a-z0-9][
 def test_tenant_ids(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v string")
     for value, valid, catalog in df.select("v", is_valid_tenant("v"), tenant_catalog_or_null("v")).collect():
-        expected = re.fullmatch("[a-z0-9][a-z0-9-]{0,62}", value) is not None
+        expected = re.fullmatch(TENANT_ID, value) is not None
         assert valid == expected and catalog == ("df_" + value if expected else None)
 
 
