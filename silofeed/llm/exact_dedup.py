@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import free_name
+from .tables import free_name, written
 
 #: White space that does not count when texts are compared.
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
@@ -17,6 +17,9 @@ WHITE_SPACE = r"[\x20\x09-\x0D]+"
 #: Characters of the normalised text that the second pass hashes.
 PREFIX_CHARS = 128
 
+#: Tasks that the rows of one length are dealt to.
+SALTS = 64
+
 
 def normalised(text: Column) -> Column:
     """The text without white space; null is empty."""
@@ -45,19 +48,21 @@ def exact_duplicates(
     rows = rows.withColumn("size", F.length("norm")).withColumn(
         "prefix", F.xxhash64(F.left("norm", F.lit(PREFIX_CHARS)))
     )
-    narrow = rows.select("id", "chars", "size", "prefix", *carry)
+    # Written at each step, so that texts are read twice at most: for the numbers, and for what is still undecided.
+    narrow = written(rows.select("id", "chars", "size", "prefix", *carry), "lengths")
 
     sizes = narrow.groupBy("size").count().where("count > 1").select("size")
-    same_size = narrow.select("id", "size", "prefix").join(sizes, "size", "left_semi")
+    # There are few lengths, and a third of all rows may have the same: each length goes to several tasks.
+    spread = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = narrow.select("id", "size", "prefix", F.pmod(F.xxhash64("id", "prefix"), F.lit(SALTS)).cast("int").alias("salt"))
+    same_size = salted.join(spread, ["size", "salt"], "left_semi").drop("salt")
     prefixes = same_size.groupBy("size", "prefix").count().where("count > 1").select("size", "prefix")
 
     # Ids of the rows that are still undecided; the texts of these alone are hashed in full.
-    undecided = same_size.join(prefixes, ["size", "prefix"], "left_semi").select("id").distinct()
-    # Not an anti join: that would be moved below the projection, and the texts through the shuffle.
-    marked = undecided.select(F.col("id").alias("again_id"), F.lit(True).alias("again"))
-    decided = narrow.join(marked, F.col("id").eqNullSafe(F.col("again_id")), "left").where("again IS NULL")
+    undecided = written(same_size.join(prefixes, ["size", "prefix"], "left_semi").select("id").distinct(), "undecided")
+    decided = narrow.join(undecided, narrow["id"].eqNullSafe(undecided["id"]), "left_anti")
     survivors = rows.join(undecided, rows["id"].eqNullSafe(undecided["id"]), "left_semi")
-    hashed = survivors.select("id", "chars", *carry, F.sha2("norm", 256).alias("full"))
+    hashed = written(survivors.select("id", "chars", *carry, F.sha2("norm", 256).alias("full")), "hashed")
 
     # min over a struct ranks by more characters, then the id; nulls last.
     rank = F.min(F.struct((-F.col("chars")).alias("fewer"), F.col("id").isNull().alias("no_id"), F.col("id")))
