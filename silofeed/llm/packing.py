@@ -36,7 +36,9 @@ CLASSES = 256
 #: Simplex steps; fewer than the program needs cost patterns, not correctness.
 STEPS = 4000
 #: Words that a worker remembers with their ids before it starts over, twice, and characters that are encoded together.
-REMEMBERED = 1 << 18
+REMEMBERED = 3 << 16
+#: Rows of a batch that are worked on at once.
+ROWS = 500
 TOGETHER = 1 << 20
 
 
@@ -116,17 +118,27 @@ def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
     path = vocabulary or tokenizer_file(VOCABULARY)
     end = np.array([SEPARATOR], "<u4").tobytes()
 
-    def each(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = coder(path)
-        for texts in batches:
-            yield pd.Series([ids + end for ids in words.encode_all([t or "" for t in texts])], dtype=object)
+        for batch in batches:
+            for some in _slices(batch):
+                texts = [t or "" for t in some.column(1).to_pylist()]
+                ids = [packed + end for packed in words.encode_all(texts)]
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(ids, pa.binary())], ["id", "ids"])
 
-    encoded = docs.select(F.col(id_col).alias("id"), F.pandas_udf(each, "binary")(F.col(text_col)).alias("ids"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    encoded = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(each, f"id {kind}, ids binary")
     return written(encoded.select(
         F.monotonically_increasing_id().alias("row"), "id", (F.octet_length("ids") / 4).cast("long").alias("n"), "ids",
     ), "tokens")
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch by a few rows at a time, so that little of it is there twice."""
+    for at in range(0, batch.num_rows, ROWS):
+        yield batch.slice(at, ROWS)
+
+
 def cheapest_fill(prices: np.ndarray, capacity: int) -> np.ndarray | None:
     """The multiset of sizes 1, 2, ... that sums to the capacity at the least price, as counts; null if none does.
 
@@ -295,11 +307,11 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sequen
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
-            for r in batch.to_pylist():
-                out += _pieces(r, sequence, first_full, first_over, ends)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else [[]] * len(PIECE))], schema=PIECE)
+            for some in _slices(batch):
+                out = [p for r in some.to_pylist() for p in _pieces(r, sequence, first_full, first_over, ends)]
+                if out:
+                    columns = [pa.array(c, pa.int64()) for c in zip(*out, strict=True)]
+                    yield pa.RecordBatch.from_arrays(columns, schema=PIECE)
 
     result = table.join(plan, "row").mapInArrow(emit, ", ".join(f"{f.name} long" for f in PIECE))
     return result.withColumnRenamed("doc_id", id_col) if id_col != "doc_id" else result
