@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import is_valid_tenant, spark_database, tenant_catalog
-from ..operators import TenantQuota, quota_verdicts, route_line, route_records, validate_quotas
+from ..operators import TenantQuota, planned_records, quota_verdicts, route_line, route_records, validate_quotas
 from ..plans import IngestRequest, ingest_lines, validate_jobs
 from .registry import derived, derived_sql, query, table
 
@@ -81,8 +81,9 @@ def ingest_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Admission, then routing, of the text rows of one tenant."""
     amount = F.col("o_totalprice").cast("decimal(18,2)")
     row = F.concat_ws(",", F.col("o_orderkey").cast("string"), F.lit("acme"), amount.cast("string"))
-    request = IngestRequest("acme", "orders", TenantQuota(max_records=10**12, max_parallelism=100_000))
-    return ingest_lines(table(spark, sf_dir, "orders"), row, request)
+    orders, parallelism = table(spark, sf_dir, "orders"), spark.sparkContext.defaultParallelism
+    quota = TenantQuota(max(1, planned_records(orders)), parallelism)
+    return ingest_lines(orders, row, IngestRequest("acme", "orders", quota), parallelism)
 
 
 def orders_with_tenant(spark: SparkSession, sf_dir: str) -> DataFrame:
