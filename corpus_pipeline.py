@@ -25,8 +25,11 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: that with the smallest id."""
-    return simhash.drop_near_duplicates(docs)
+    """One document of each group of near copies stays: that with the smallest id.
+
+    Near copies share at least 0.8 of their five-word shingles, or have fingerprints within three bits.
+    """
+    return simhash.drop_near_duplicates(docs, similarity=0.8)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import similar
 from .graph import components, hamming
 from .tables import free_name, text_key, without, written
 from .workers import importable
@@ -96,17 +97,32 @@ def close_pairs(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, distance: int = DISTANCE
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, distance: int = DISTANCE,
+    similarity: float | None = None, similar_words: int = 5,
 ) -> DataFrame:
     """Id, ``fp`` and ``component_id`` (smallest id reachable over links, itself included) of each row.
 
     Equal fingerprints are one node, so copies cost no links. Null text is the empty text, whose fingerprint 0 links
     like any other. Null ids take part, but name no component unless all ids of it are null. Repeated rows are
     reported as often as they occur. Other columns are ignored; an empty table gives no rows.
+
+    With a ``similarity``, texts that share at least that much of their shingles of ``similar_words`` words are linked
+    as well, however far apart their fingerprints are; see :mod:`.similar`.
     """
-    marked = written(fingerprints(docs, id_col, text_col, words).withColumnRenamed(id_col, "id"), "fingerprints")
+    if similarity is None:
+        marked = written(fingerprints(docs, id_col, text_col, words).withColumnRenamed(id_col, "id"), "fingerprints")
+    else:
+        importable(docs.sparkSession)
+        sketch = similar.sketch(F.col(text_col), similarity, similar_words, lambda t: fingerprint(t, words))
+        sketched = written(docs.select(
+            F.col(id_col).alias("id"), similar.text_hash(text_col).alias("doc"), sketch.alias("sketch")), "sketches")
+        marked = sketched.select("id", "sketch.fp")
     nodes = marked.groupBy("fp").agg(F.min("id").alias("least"))
-    member = components(written(close_pairs(nodes, distance).distinct(), "pairs"))
+    pairs = written(close_pairs(nodes, distance).distinct(), "pairs")
+    if similarity is not None:
+        sketches = sketched.select(F.col("sketch.fp").alias("node"), "doc", "sketch")
+        pairs = similar.link_similar(docs, sketches, pairs, similarity, text_col, similar_words)
+    member = components(pairs)
     linked = nodes.join(member, nodes["fp"] == member["node"], "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("component")
     )
@@ -120,11 +136,12 @@ def hex_digits(fp: Column) -> Column:
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
-                         distance: int = DISTANCE) -> DataFrame:
+                         distance: int = DISTANCE, similarity: float | None = None, similar_words: int = 5) -> DataFrame:
     """The rows of ``docs`` with the smallest id of their component, with all their columns.
 
     Rows that repeat both id and text are one document and stay, or go, together.
     """
     key = free_name(docs, "document")
-    found = near_duplicates(docs.withColumn(key, text_key(id_col, text_col)), key, text_col, words, distance)
+    keyed = docs.withColumn(key, text_key(id_col, text_col))
+    found = near_duplicates(keyed, key, text_col, words, distance, similarity, similar_words)
     return without(docs, found.where(F.col(key) != F.col("component_id")).select(key), id_col, text_col)
