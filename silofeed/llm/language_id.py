@@ -22,8 +22,6 @@ from .workers import importable
 
 #: Labelled rows of each language that the text model is fitted on, as expected by hash; all, where there are fewer.
 SAMPLE = 4000
-#: Languages that a model tells apart at most; the most frequent labels are taken.
-LANGUAGES = 64
 #: Codes of byte trigrams, and bytes of text that are scored together.
 CODES = 1 << 16
 PIECE = 1 << 20
@@ -61,41 +59,49 @@ def codes_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 def fit(docs: DataFrame, text_col: str = "text", label_col: str = "lang", sample: int = SAMPLE) -> TextModel:
     """A model of the labels' languages from about ``sample`` rows of each, picked by a hash of the text.
 
-    Rows without label or text are not used. Rows of one label count by the same hash wherever they lie, so the sample
+    Every label is a language of the model, which has 256 kB for each; labels that differ in case or blanks around them
+    are one. Rows without label or text are not used. Rows of one label count by the same hash wherever they lie, so the sample
     is the same in every run.
     """
-    importable(docs.sparkSession)
-    labelled = docs.select(F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("text")).where(
+    spark = docs.sparkSession
+    importable(spark)
+    labelled = docs.select(normal(F.col(label_col)).alias("label"), F.col(text_col).alias("text")).where(
         "label IS NOT NULL AND text IS NOT NULL")
-    sizes = labelled.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LANGUAGES).collect()
-    languages = tuple(sorted(r["label"] for r in sizes))
+    sizes = labelled.groupBy("label").count().orderBy("label").collect()
+    languages = tuple(r["label"] for r in sizes)
     if not languages:
         return TextModel((), np.zeros((CODES, 1), np.float32))
-    shares = F.create_map(*[F.lit(x) for r in sizes for x in (r["label"], min(1.0, sample / r["count"]))])
+    shares = spark.createDataFrame(
+        [(r["label"], i, min(1.0, sample / r["count"])) for i, r in enumerate(sizes)], "label string, at int, share double")
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    picked = labelled.where(draw < shares[F.col("label")])
+    picked = labelled.join(F.broadcast(shares), "label").where(draw < F.col("share")).select("at", "text")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        totals: dict[str, np.ndarray] = {}
         for batch in batches:
-            for label, texts in batch.groupby("label")["text"]:
+            totals: dict[int, np.ndarray] = {}
+            for at, texts in batch.groupby("at")["text"]:
                 for some in _pieces(texts.tolist()):
                     counts = np.bincount(codes_of(some)[0], minlength=CODES)
-                    totals[label] = totals.get(label, 0) + counts
-        for label, counts in totals.items():
-            code = np.flatnonzero(counts)
-            yield pd.DataFrame({"label": label, "code": code, "n": counts[code]})
-
-    counted = picked.mapInPandas(count, "label string, code int, n long").groupBy("label", "code").agg(F.sum("n").alias("n"))
-    rows = counted.toPandas()  # at most CODES rows for each of LANGUAGES
-    table = np.full((CODES, len(languages) + 1), 0.1)
-    table[rows["code"], [languages.index(x) for x in rows["label"]]] += rows["n"]
-    table[0] = 0
-    table[:, -1] = 1
-    with np.errstate(divide="ignore"):
-        logs = np.log(table / table.sum(axis=0))
-    logs[0] = 0
-    return TextModel(languages, logs.astype(np.float32))
+                    totals[at] = totals.get(at, 0) + counts
+                code = np.flatnonzero(totals[at])
+                yield pd.DataFrame({"at": at, "code": code, "n": totals.pop(at)[code]})
+
+    counted = picked.mapInPandas(count, "at int, code int, n long").groupBy("at", "code").agg(F.sum("n").alias("n"))
+    rows = counted.toPandas()  # at most CODES rows for each language
+    logs = np.zeros((CODES, len(languages) + 1), np.float32)
+    of = dict(iter(rows.groupby("at")))
+    for at in range(len(languages) + 1):  # one column at a time: only the model itself grows with the languages
+        column = np.full(CODES, 0.1 if at < len(languages) else 1.0)
+        if at in of:
+            column[of[at]["code"]] += of[at]["n"]
+        column[0] = 0
+        logs[1:, at] = np.log(column[1:] / column.sum())
+    return TextModel(languages, logs)
+
+
+def normal(name: Column) -> Column:
+    """Names of languages, hosts and so on, without regard to case and blanks around them; empty ones are null."""
+    return F.nullif(F.lower(F.trim(name.cast("string"))), F.lit(""))
 
 
 def _pieces(texts: list[str | None]) -> Iterator[list[str | None]]:
@@ -125,8 +131,10 @@ def log_likelihoods(texts: list[str | None], model: TextModel) -> np.ndarray:
 
 def counts_by(rows: DataFrame, keys: list[str], n: int) -> DataFrame:
     """``votes``: for each key, how many rows have each language as their text's best."""
-    each = [F.sum((F.col("best") == i).cast("double")) for i in range(n)]
-    return rows.groupBy(*keys).agg(F.array(*each).alias("votes"))
+    each = rows.groupBy(*keys, "best").agg(F.count("*").cast("double").alias("n"))
+    found = each.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("best", "n"))).alias("found"))
+    votes = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.coalesce(F.element_at("found", i), F.lit(0.0)))
+    return found.select(*keys, votes.alias("votes"))
 
 
 def smoothed(votes: Column, parent: Column) -> Column:
@@ -150,35 +158,35 @@ def identify(rows: DataFrame, model: TextModel, id_col: str = "doc_id", text_col
     spark = rows.sparkSession
     importable(spark)
     n = len(model.languages)
-    shared = spark.sparkContext.broadcast(model)  # of bounded size: CODES by LANGUAGES
+    shared = spark.sparkContext.broadcast(model)  # of bounded size: CODES by languages
 
     @F.pandas_udf("array<double>")
     def text_scores(texts: pd.Series) -> pd.Series:
         return pd.Series(list(log_likelihoods(texts.tolist(), shared.value) / OVERLAP), dtype=object)
 
     none = F.lit(None).cast("string")
-    normal = lambda c: none if c is None else F.nullif(F.lower(F.trim(c.cast("string"))), F.lit(""))
+    given = lambda c: none if c is None else normal(c)
     evidence = rows.select(
         F.col(id_col).alias("id"), text_scores(F.col(text_col)).alias("text"),
         F.regexp_like(F.coalesce(F.col(text_col), F.lit("")), F.lit(r"\p{L}")).alias("letters"),
-        normal(declared).alias("declared"), normal(suffix).alias("suffix"), normal(host).alias("host"),
-        normal(parent).alias("parent"),
+        given(declared).alias("declared"), given(suffix).alias("suffix"), given(host).alias("host"),
+        given(parent).alias("parent"),
     )
     best = (F.array_position("text", F.array_max("text")) - 1).cast("int")
     scored = written(evidence.withColumn("best", F.when(F.col("letters"), best)), "text-scores")
 
     voters = scored.where("best IS NOT NULL")
     prior = F.array(*[F.lit((1 - UNKNOWN_PRIOR) / max(n, 1)) for _ in range(n)], F.lit(UNKNOWN_PRIOR))
-    overall = voters.agg(*[F.sum((F.col("best") == i).cast("double")) for i in range(n + 1)]).first()
-    everywhere = smoothed(F.array(*[F.lit(x or 0.0) for x in overall]), prior)
+    overall = dict(voters.groupBy("best").count().collect())
+    totals = [float(overall.get(i, 0)) for i in range(n + 1)]
+    everywhere = smoothed(F.array(*[F.lit(x) for x in totals]), prior)
     of_parent = counts_by(voters.where("parent IS NOT NULL"), ["parent"], n + 1).withColumnRenamed("votes", "parent_votes")
     of_host = counts_by(voters.where("host IS NOT NULL"), ["host"], n + 1).withColumnRenamed("votes", "host_votes")
-    totals = [x or 0.0 for x in overall]
 
     def likelihood(kind: str) -> DataFrame:
         """Log of the share of a language's rows that have this value, one added to each value."""
         votes = counts_by(voters.where(f"{kind} IS NOT NULL"), [kind], n + 1)
-        logs = F.array(*[F.log((F.col("votes")[i] + 1) / F.lit(totals[i] + 100.0)) for i in range(n + 1)])
+        logs = F.zip_with("votes", F.array(*[F.lit(x + 100.0) for x in totals]), lambda v, t: F.log((v + 1) / t))
         return votes.select(F.col(kind).alias(f"{kind}_value"), logs.alias(f"{kind}_log"))
 
     joined = scored

@@ -76,3 +76,15 @@ def test_page_evidence(spark):
     assert {k: v.strip() for k, v in found[0].asDict().items()} == {
         "declared": "de", "suffix": "de/fr", "host": "www.shop.example.de", "parent": "example.de", "text": "Guten  Tag"}
     assert found[1]["host"] is None and found[1]["text"] is None
+
+
+def test_every_label_is_a_language(spark):
+    """More labels than the 64 that were kept before, and spellings of one."""
+    text = lambda i, k: " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}q{chr(97 + (k + j) % 5)}" for j in range(40))
+    rows = [(i * 10 + k, text(i, k), f" L{i:02d} " if k % 2 else f"l{i:02d}") for i in range(90) for k in range(2 + i % 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = L.fit(df)
+    assert model.languages == tuple(f"l{i:02d}" for i in range(90))
+    found = L.identify(df, model, declared=F.col("lang")).collect()
+    assert {(r["doc_id"], r["lang"], r["accepted"]) for r in found} == {(i, x.strip().lower(), True) for i, _, x in rows}
+    assert L.drop_unknown(df, model, declared=F.col("lang")).count() == len(rows)
