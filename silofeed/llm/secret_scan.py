@@ -30,12 +30,26 @@ class Rule:
     base: bool = True
 
 
+def pem_block() -> str:
+    """A private key in PEM, from its BEGIN line to the matching END line, before any other BEGIN or END.
+
+    Where that is missing, the headers and base64 lines that follow, also with ``\\n`` written out. Repetition is of
+    single characters or bounded, as Java's expressions recurse for every turn of a group.
+    """
+    gap = r"""(?:[\s"',+>#*|]|\\[nr])"""
+    header = r"(?:(?:Proc-Type|DEK-Info):\s*\S+|(?:Version|Comment|Hash|Charset):[^\r\n]*)"
+    line = r"""(?:[A-Za-z0-9+/]{24}|[A-Za-z0-9+/]{2,23}=|(?:[A-Za-z0-9+/]{4}){1,5}(?=["',]{0,2}(?:[\r\n]|\\[nr]|\z)))"""
+    ended = r"(?>[\s\S]*?(?=-----(?:BEGIN|END) ))-----END \1PRIVATE KEY\2-----"
+    open_end = rf"(?:{gap}{{0,40}}{header}){{0,6}}(?>[\s\S]*?(?![A-Za-z0-9+/=])(?!{gap}{{1,40}}{line}))"
+    return rf"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY((?: BLOCK)?)-----(?:{ended}|{open_end})"
+
+
 #: The base kinds in their order, then what this scan adds.
 RULES = (
     Rule("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", r"[0-9a-f]+", 0, 24),
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1, base=False),
+    Rule("pem", pem_block(), 0, 1, base=False),
 )
 
 #: Runs of hex digits are everywhere in prose; only runs of this pattern can pass the length test.
