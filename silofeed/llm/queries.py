@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archives, bpe, exact_dedup, language_id, license_scan, packing, secret_scan, simhash, sketch, suffix_dedup
+from . import (
+    archives,
+    bpe,
+    exact_dedup,
+    language_id,
+    license_scan,
+    packing,
+    quality_rules,
+    secret_scan,
+    simhash,
+    sketch,
+    suffix_dedup,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,3 +122,33 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_bpe")
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
+
+
+@query("op11_quality_rules", """
+    WITH texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+    cut AS (
+        SELECT *, list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words,
+               list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines
+        FROM texts),
+    places AS (SELECT r, unnest(range(1, len(words) - 1)) AS place, words FROM cut),
+    triples AS (SELECT r, place, words[place] || ' ' || words[place + 1] || ' ' || words[place + 2] AS w FROM places),
+    counted AS (SELECT r, place, count(*) OVER (PARTITION BY r, w) AS n FROM triples),
+    covered AS (
+        SELECT r, count(DISTINCT word) AS n_repeat_words
+        FROM (SELECT r, unnest([place, place + 1, place + 2]) AS word FROM counted WHERE n > 1) GROUP BY r),
+    most AS (
+        SELECT r, max(n) AS top
+        FROM (SELECT r, word, count(*) AS n FROM (SELECT r, unnest(words) AS word FROM cut) GROUP BY r, word) GROUP BY r),
+    measures AS (
+        SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+               length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+               len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+               len(list_filter(words, lambda w: regexp_matches(w, '\\pL'))) AS letters, len(lines) AS n_lines, coalesce(top, 0) AS top
+        FROM cut LEFT JOIN covered USING (r) LEFT JOIN most USING (r)),
+    judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measures)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT (base_failed OR n_symbols * 10 > n_words OR word_chars < n_words * 2 OR word_chars > n_words * 15
+                OR letters * 10 < n_words * 7 OR n_dup_lines * 2 > n_lines OR 10 * top > 3 * n_words) AS kept
+    FROM judged""")
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.report(table(spark, sf_dir, "documents"))
