@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import (
     archives,
     bpe,
+    divergence,
     exact_dedup,
     language_id,
     license_scan,
@@ -19,6 +20,7 @@ from . import (
     simhash,
     sketch,
     suffix_dedup,
+    term_matrix,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,3 +154,86 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM judged""")
 def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"))
+
+
+@query("op12_filter_interaction", """
+    WITH RECURSIVE orders AS (
+        SELECT '' AS filter_order
+        UNION ALL
+        SELECT filter_order || f FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f) WHERE NOT contains(filter_order, f)),
+    texts AS (
+        SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+               list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+        FROM documents),
+    marks AS (SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS toxic FROM labels GROUP BY doc_id),
+    failed AS (
+        SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+               CASE WHEN len(words) < 50 THEN 'A' ELSE '' END
+               || CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END
+               || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 'C' ELSE '' END
+               || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+               || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS fails
+        FROM texts LEFT JOIN marks USING (doc_id)),
+    cells AS (SELECT part, good, toxic, fails, count(*) AS n FROM failed GROUP BY ALL),
+    steps AS (
+        SELECT filter_order, step, filter_order[step] AS own, filter_order[1:step - 1] AS before
+        FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step) WHERE length(filter_order) = 5),
+    cases AS (
+        SELECT c.*, s.*, contains(fails, own) AS fails_own, length(translate(fails, before, '')) < length(fails) AS earlier
+        FROM cells c, steps s),
+    sums AS (
+        SELECT part, filter_order, step, own,
+               sum(CASE WHEN NOT fails_own AND NOT earlier THEN n ELSE 0 END) AS kept,
+               sum(CASE WHEN fails_own AND NOT earlier THEN n ELSE 0 END) AS removed,
+               sum(CASE WHEN fails_own AND earlier THEN n ELSE 0 END) AS redundant,
+               sum(CASE WHEN fails = own THEN n ELSE 0 END) AS unique_fails,
+               sum(CASE WHEN fails_own AND NOT earlier AND good THEN n ELSE 0 END) AS good_lost,
+               sum(CASE WHEN fails_own AND NOT earlier AND toxic THEN n ELSE 0 END) AS toxic_lost
+        FROM cases GROUP BY ALL)
+    SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+           CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+           CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+           CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+    FROM sums""")
+def op12_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return term_matrix.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op13_source_divergence", """
+    WITH texts AS (
+        SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+        FROM documents),
+    terms AS (
+        SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM texts),
+    kept AS (SELECT lang, term FROM terms GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+    counts AS (SELECT lang, source, term, count(*) AS n FROM terms JOIN kept USING (lang, term) GROUP BY ALL),
+    langs AS (
+        SELECT lang, coalesce(v, 0) AS v, coalesce(total, 0) AS total
+        FROM (SELECT DISTINCT lang FROM texts) LEFT JOIN (SELECT lang, count(*) AS v FROM kept GROUP BY lang) USING (lang)
+            LEFT JOIN (SELECT lang, sum(n) AS total FROM counts GROUP BY lang) USING (lang)),
+    sources AS (
+        SELECT lang, source, coalesce(t.total, 0) AS total, v
+        FROM (SELECT DISTINCT lang, source FROM texts)
+            LEFT JOIN (SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL) t USING (lang, source) JOIN langs USING (lang)),
+    shares AS (
+        SELECT lang, source, term, coalesce(n, 0) AS n,
+               1 + 1000000000 * (coalesce(n, 0) + 5)::HUGEINT // (s.total + 5 * s.v)::HUGEINT AS p
+        FROM sources s JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)),
+    whole AS (
+        SELECT lang, term, 1 + 1000000000 * (sum(n) + 5)::HUGEINT // (any_value(total) + 5 * any_value(v))::HUGEINT AS q
+        FROM counts JOIN langs USING (lang) GROUP BY lang, term),
+    found AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(d.value, 0) AS value
+        FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN (
+                SELECT a.lang, a.source, b.source AS other, sum(abs(a.p - b.p)) AS value
+                FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL) d
+            ON d.lang = a.lang AND d.source = a.source AND d.other = b.source
+        UNION ALL
+        SELECT lang, source, 'term', term, p - q FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+    SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+    FROM ranked WHERE part = 'pair' OR rank <= 50""")
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
