@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from ..workspace import new_folder
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def written(df: DataFrame, purpose: str, compression: str | None = None) -> DataFrame:
     """The rows as a table in the shared folder, read back."""
     folder = new_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
+    df.write.parquet(folder, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

@@ -12,13 +12,12 @@ else is done with them.
 from __future__ import annotations
 
 import itertools
-import uuid
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,20 +25,19 @@ from .tables import written
 from .workers import importable
 
 #: Words and rows after which a shard ends. A longer text is a shard of its own.
-WORDS, ROWS = 1 << 18, 1 << 12
+WORDS, ROWS = 1 << 20, 1 << 14
 FILTERS = "ABCDE"
 
 
 def local_shards(docs: DataFrame, row: Column, text_col: str = "text") -> DataFrame:
-    """Shards with numbers of their own: ``shard``, ``rows``, ``ends``, ``terms``, ``counts``, ``words``.
+    """Shards with numbers of their own: ``rows``, ``ends``, ``terms``, ``counts``, ``words``, and ``shard``, their name.
 
-    Row i of a shard is ``rows[i]``, what ``row`` gives; its entries are those of ``terms`` and ``counts`` from the end
+    Names last once the shards are written. Row i of a shard is ``rows[i]``, what ``row`` gives; its entries are those of ``terms`` and ``counts`` from the end
     of the row before up to ``ends[i]``. Terms are places in ``words``. Null text has no words.
     """
     importable(docs.sparkSession)
     bare = docs.select(row.alias("row"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     schema = T.StructType([
-        T.StructField("shard", T.StringType()),
         T.StructField("rows", T.ArrayType(bare.schema["row"].dataType)),
         T.StructField("ends", T.ArrayType(T.IntegerType())),
         T.StructField("terms", T.ArrayType(T.IntegerType())),
@@ -56,7 +54,7 @@ def local_shards(docs: DataFrame, row: Column, text_col: str = "text") -> DataFr
                     yield held.batch(rows.slice(begin, at + 1 - begin))
                     begin, held = at + 1, _Shard()
 
-    return bare.mapInArrow(shards, schema)
+    return bare.mapInArrow(shards, schema).withColumn("shard", F.monotonically_increasing_id())
 
 
 class _Shard:
@@ -83,20 +81,27 @@ class _Shard:
             return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
         numbers = [one(pa.array(values, pa.int32())) for values in (self.ends, self.terms, self.counts)]
-        arrays = [pa.array([uuid.uuid4().hex]), one(rows), *numbers, one(pa.array(list(self.numbers), pa.binary()))]
-        return pa.RecordBatch.from_arrays(arrays, ["shard", "rows", "ends", "terms", "counts", "words"])
+        arrays = [one(rows), *numbers, one(pa.array(list(self.numbers), pa.binary()))]
+        return pa.RecordBatch.from_arrays(arrays, ["rows", "ends", "terms", "counts", "words"])
 
 
-def dictionary(words: DataFrame) -> DataFrame:
-    """``word`` and ``code`` of each distinct word of the column ``word``: codes are dense and start at 0."""
-    # A row's number within its partition is fixed once it is written; what lies in the partitions before is added.
-    part, place = F.shiftright("number", 33), F.col("number").bitwiseAND(F.lit((1 << 33) - 1))
-    numbered = written(words.select("word").distinct().withColumn("number", F.monotonically_increasing_id()), "words")
-    sizes = numbered.groupBy(part.alias("part")).count().orderBy("part").collect()  # one row for each partition
-    before = itertools.accumulate([0, *[r["count"] for r in sizes]])
-    starts = words.sparkSession.createDataFrame(
-        [(r["part"], start) for r, start in zip(sizes, before, strict=False)], "part long, start long")
-    return numbered.join(F.broadcast(starts), part == F.col("part")).select("word", (F.col("start") + place).alias("code"))
+def coded(used: DataFrame) -> DataFrame:
+    """``used`` (``word`` and other columns) with ``code``: dense codes from 0. ``word`` stays in one row of each word.
+
+    Words are dealt to buckets and ranked in each; the ranks of a bucket start behind those of the buckets before.
+    """
+    buckets = 4 * int(used.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    inside = Window.partitionBy("bucket").orderBy("word")
+    ranked = used.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(buckets)).cast("int")).select(
+        "*", F.dense_rank().over(inside).alias("place"), F.lag("word").over(inside).alias("last"))
+    first = F.when(~F.col("last").eqNullSafe(F.col("word")), F.col("word"))
+    ranked = written(ranked.withColumn("word", first).drop("last"), "words", "zstd")
+    sizes = ranked.groupBy("bucket").agg(F.max("place").alias("size")).orderBy("bucket").collect()  # one row for each bucket
+    before = itertools.accumulate([0, *[r["size"] for r in sizes]])
+    starts = used.sparkSession.createDataFrame(
+        [(r["bucket"], start) for r, start in zip(sizes, before, strict=False)], "bucket int, start long")
+    return ranked.join(F.broadcast(starts), "bucket").withColumn("code", F.col("start") + F.col("place") - 1).drop(
+        "bucket", "place", "start")
 
 
 def term_matrix(docs: DataFrame, row: Column, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -106,13 +111,11 @@ def term_matrix(docs: DataFrame, row: Column, text_col: str = "text") -> tuple[D
     matrix, repeated ones too; texts that are null or have no words are rows without entries. An empty table gives no
     shards and no words.
     """
-    local = written(local_shards(docs, row, text_col), "shards")
-    used = local.select("shard", F.posexplode("words").alias("term", "word"))
-    codes = written(dictionary(used), "dictionary")
+    local = written(local_shards(docs, row, text_col), "shards", "zstd")
     # A shard has each of its words once, so that frequent words weigh as much as there are shards, not documents.
-    coded = used.join(codes, "word").groupBy("shard").agg(
-        F.sort_array(F.collect_list(F.struct("term", "code"))).alias("coded"))
-    joined = local.drop("words").join(coded, "shard", "left")
+    words = coded(local.select("shard", F.posexplode("words").alias("term", "word")))
+    tables = words.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("term", "code"))).alias("coded"))
+    joined = local.drop("words").join(tables, "shard", "left")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,15 +124,15 @@ def term_matrix(docs: DataFrame, row: Column, text_col: str = "text") -> tuple[D
                 table = one.column("codes").flatten().to_numpy(zero_copy_only=False)
                 terms = one.column("terms").flatten().to_numpy(zero_copy_only=False)
                 codes = pa.array(table[terms] if len(terms) else terms, pa.int64())
-                coded = pa.ListArray.from_arrays(pa.array([0, len(codes)], pa.int32()), codes)
+                listed = pa.ListArray.from_arrays(pa.array([0, len(codes)], pa.int32()), codes)
                 yield pa.RecordBatch.from_arrays(
-                    [one.column("shard"), one.column("rows"), one.column("ends"), coded, one.column("counts")],
+                    [one.column("shard"), one.column("rows"), one.column("ends"), listed, one.column("counts")],
                     ["shard", "rows", "ends", "codes", "counts"])
 
     rows = local.schema["rows"].dataType.simpleString()
     wide = joined.select("shard", "rows", "ends", "terms", "counts", F.col("coded.code").alias("codes"))
-    shards = wide.mapInArrow(encode, f"shard string, rows {rows}, ends array<int>, codes array<bigint>, counts array<int>")
-    return shards, codes
+    shards = wide.mapInArrow(encode, f"shard bigint, rows {rows}, ends array<int>, codes array<bigint>, counts array<int>")
+    return shards, words.where("word IS NOT NULL").select("word", "code")
 
 
 def row_sums(shards: DataFrame) -> DataFrame:
