@@ -152,7 +152,9 @@ def with_words(docs: DataFrame, words_col: str, text_col: str = "text") -> DataF
 
 
 def measure(name: str, words_col: str, text_col: str = "text") -> Column:
-    return MEASURES[name](F.coalesce(F.col(text_col), F.lit("")), F.col(words_col)).cast("long")
+    # Bound here too: a filter that Spark moves below the column would cut the words again for each of them.
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return let(F.col(words_col), lambda words: MEASURES[name](text, words).cast("long"))
 
 
 def failing(rule: Rule, words_col: str, text_col: str = "text", given: Sequence[str] = ()) -> Column:

@@ -17,7 +17,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,22 +87,36 @@ class _Shard:
 
 
 def coded(used: DataFrame) -> DataFrame:
-    """``used`` (``word`` and other columns) with ``code``: dense codes from 0. ``word`` stays in one row of each word.
+    """``shard``, ``term``, ``code`` of the rows of ``used``, which has ``word`` for a code: dense from 0, one for each word.
 
-    Words are dealt to buckets and ranked in each; the ranks of a bucket start behind those of the buckets before.
+    ``word`` stays in one row of each word. Words are dealt to tasks, which number the different ones; their numbers
+    start behind those of the tasks before. They last because they are written. A task holds its own words only, a share
+    of the vocabulary.
     """
-    buckets = 4 * int(used.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    inside = Window.partitionBy("bucket").orderBy("word")
-    ranked = used.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(buckets)).cast("int")).select(
-        "*", F.dense_rank().over(inside).alias("place"), F.lag("word").over(inside).alias("last"))
-    first = F.when(~F.col("last").eqNullSafe(F.col("word")), F.col("word"))
-    ranked = written(ranked.withColumn("word", first).drop("last"), "words", "zstd")
-    sizes = ranked.groupBy("bucket").agg(F.max("place").alias("size")).orderBy("bucket").collect()  # one row for each bucket
-    before = itertools.accumulate([0, *[r["size"] for r in sizes]])
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers: dict[bytes, int] = {}
+        part = TaskContext.get().partitionId()
+        for batch in batches:
+            words = batch.column(2).to_pylist()
+            known = len(numbers)
+            places = pa.array([numbers.setdefault(word, len(numbers)) for word in words], pa.int64())
+            new = np.full(len(words), None, object)
+            first, at = np.unique(places.to_numpy(), return_index=True)
+            for row in at[first >= known]:
+                new[row] = words[row]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(new, pa.binary()), pa.array(np.full(len(words), part, np.int32)), places],
+                ["shard", "term", "word", "part", "place"])
+
+    dealt = used.select("shard", "term", "word").repartition("word")
+    numbered = written(dealt.mapInArrow(number, "shard long, term int, word binary, part int, place long"), "words", "zstd")
+    sizes = numbered.groupBy("part").agg(F.max("place").alias("last")).orderBy("part").collect()  # one row for each task
+    before = itertools.accumulate([0, *[r["last"] + 1 for r in sizes]])
     starts = used.sparkSession.createDataFrame(
-        [(r["bucket"], start) for r, start in zip(sizes, before, strict=False)], "bucket int, start long")
-    return ranked.join(F.broadcast(starts), "bucket").withColumn("code", F.col("start") + F.col("place") - 1).drop(
-        "bucket", "place", "start")
+        [(r["part"], start) for r, start in zip(sizes, before, strict=False)], "part int, start long")
+    code = F.col("start") + F.col("place")
+    return numbered.join(F.broadcast(starts), "part").select("shard", "term", "word", code.alias("code"))
 
 
 def term_matrix(docs: DataFrame, row: Column, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
