@@ -34,15 +34,14 @@ def local_shards(docs: DataFrame, row: Column, text_col: str = "text") -> DataFr
     """Shards with numbers of their own: ``rows``, ``ends``, ``terms``, ``counts``, ``words``, and ``shard``, their name.
 
     Names last once the shards are written. Row i of a shard is ``rows[i]``, what ``row`` gives; its entries are those of ``terms`` and ``counts`` from the end
-    of the row before up to ``ends[i]``. Terms are places in ``words``. Null text has no words.
+    of the row before up to ``ends[i]``. Terms are places in ``words``. These three are little-endian 32-bit integers, end
+    to end, as Spark would otherwise handle each of them on its own. Null text has no words.
     """
     importable(docs.sparkSession)
     bare = docs.select(row.alias("row"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     schema = T.StructType([
         T.StructField("rows", T.ArrayType(bare.schema["row"].dataType)),
-        T.StructField("ends", T.ArrayType(T.IntegerType())),
-        T.StructField("terms", T.ArrayType(T.IntegerType())),
-        T.StructField("counts", T.ArrayType(T.IntegerType())),
+        *[T.StructField(name, T.BinaryType()) for name in ("ends", "terms", "counts")],
         T.StructField("words", T.ArrayType(T.BinaryType())),
     ])
 
@@ -81,33 +80,40 @@ class _Shard:
         def one(values: pa.Array) -> pa.ListArray:
             return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
-        numbers = [one(pa.array(values, pa.int32())) for values in (self.ends, self.terms, self.counts)]
+        numbers = [pa.array([np.array(values, "<i4").tobytes()], pa.binary()) for values in (self.ends, self.terms, self.counts)]
         arrays = [one(rows), *numbers, one(pa.array(list(self.numbers), pa.binary()))]
         return pa.RecordBatch.from_arrays(arrays, ["rows", "ends", "terms", "counts", "words"])
 
 
+def numbers_of(one: pa.RecordBatch, name: str) -> np.ndarray:
+    """The integers that a column of 32-bit integers holds in a single row."""
+    return np.frombuffer(one.column(name)[0].as_py(), "<i4")
+
+
 def coded(used: DataFrame) -> DataFrame:
     """``shard``, ``term``, ``code`` of the rows of ``used``, which has ``word`` for a code: dense from 0, one for each word.
 
-    ``word`` stays in one row of each word. Words are dealt to tasks, which number the different ones; their numbers
+    Each ``word`` comes once more with its code, in a row of no shard. Words are dealt to tasks, which number the different ones; their numbers
     start behind those of the tasks before. They last because they are written. A task holds its own words only, a share
     of the vocabulary.
     """
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers: dict[bytes, int] = {}
+        names = ["shard", "term", "word", "part", "place"]
         part = TaskContext.get().partitionId()
         for batch in batches:
-            words = batch.column(2).to_pylist()
-            known = len(numbers)
-            places = pa.array([numbers.setdefault(word, len(numbers)) for word in words], pa.int64())
-            new = np.full(len(words), None, object)
-            first, at = np.unique(places.to_numpy(), return_index=True)
-            for row in at[first >= known]:
-                new[row] = words[row]
+            places = pa.array([numbers.setdefault(word, len(numbers)) for word in batch.column(2).to_pylist()], pa.int64())
+            size = len(places)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.nulls(size, pa.binary()), pa.array(np.full(size, part, np.int32)), places], names)
+        words = list(numbers)
+        for at in range(0, len(words), ROWS):
+            some = pa.array(words[at : at + ROWS], pa.binary())
+            size = len(some)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(new, pa.binary()), pa.array(np.full(len(words), part, np.int32)), places],
-                ["shard", "term", "word", "part", "place"])
+                [pa.nulls(size, pa.int64()), pa.nulls(size, pa.int32()), some, pa.array(np.full(size, part, np.int32)),
+                 pa.array(np.arange(at, at + size))], names)
 
     dealt = used.select("shard", "term", "word").repartition("word")
     numbered = written(dealt.mapInArrow(number, "shard long, term int, word binary, part int, place long"), "words", "zstd")
@@ -122,6 +128,7 @@ def coded(used: DataFrame) -> DataFrame:
 def term_matrix(docs: DataFrame, row: Column, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """The matrix in shards, ``shard``, ``rows``, ``ends``, ``codes``, ``counts``, and its dictionary ``word``, ``code``.
 
+    ``ends`` and ``counts`` are little-endian 32-bit integers, ``codes`` 64-bit ones: see :func:`local_shards`.
     Words are whatever white space in ASCII separates, told apart by their bytes. Every row of ``docs`` is a row of the
     matrix, repeated ones too; texts that are null or have no words are rows without entries. An empty table gives no
     shards and no words.
@@ -129,7 +136,7 @@ def term_matrix(docs: DataFrame, row: Column, text_col: str = "text") -> tuple[D
     local = written(local_shards(docs, row, text_col), "shards", "zstd")
     # A shard has each of its words once, so that frequent words weigh as much as there are shards, not documents.
     words = coded(local.select("shard", F.posexplode("words").alias("term", "word")))
-    tables = words.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("term", "code"))).alias("coded"))
+    tables = words.where("shard IS NOT NULL").groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("term", "code"))).alias("coded"))
     joined = local.drop("words").join(tables, "shard", "left")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,16 +144,15 @@ def term_matrix(docs: DataFrame, row: Column, text_col: str = "text") -> tuple[D
             for at in range(batch.num_rows):
                 one = batch.slice(at, 1)
                 table = one.column("codes").flatten().to_numpy(zero_copy_only=False)
-                terms = one.column("terms").flatten().to_numpy(zero_copy_only=False)
-                codes = pa.array(table[terms] if len(terms) else terms, pa.int64())
-                listed = pa.ListArray.from_arrays(pa.array([0, len(codes)], pa.int32()), codes)
+                terms = numbers_of(one, "terms")
+                codes = (table[terms] if len(terms) else terms).astype("<i8")
                 yield pa.RecordBatch.from_arrays(
-                    [one.column("shard"), one.column("rows"), one.column("ends"), listed, one.column("counts")],
-                    ["shard", "rows", "ends", "codes", "counts"])
+                    [one.column("shard"), one.column("rows"), one.column("ends"), pa.array([codes.tobytes()], pa.binary()),
+                     one.column("counts")], ["shard", "rows", "ends", "codes", "counts"])
 
     rows = local.schema["rows"].dataType.simpleString()
     wide = joined.select("shard", "rows", "ends", "terms", "counts", F.col("coded.code").alias("codes"))
-    shards = wide.mapInArrow(encode, f"shard bigint, rows {rows}, ends array<int>, codes array<bigint>, counts array<int>")
+    shards = wide.mapInArrow(encode, f"shard bigint, rows {rows}, ends binary, codes binary, counts binary")
     return shards, words.where("word IS NOT NULL").select("word", "code")
 
 
@@ -157,8 +163,7 @@ def row_sums(shards: DataFrame) -> DataFrame:
         for batch in batches:
             for at in range(batch.num_rows):
                 one = batch.slice(at, 1)
-                ends = one.column("ends").flatten().to_numpy(zero_copy_only=False)
-                counts = one.column("counts").flatten().to_numpy(zero_copy_only=False)
+                ends, counts = numbers_of(one, "ends"), numbers_of(one, "counts")
                 total = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
                 starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(

@@ -1,6 +1,7 @@
 import itertools
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,9 +69,9 @@ def rebuilt(shards, words):
     names = {r["code"]: bytes(r["word"]) for r in words.collect()}
     found = []
     for s in shards.collect():
-        starts = [0, *s["ends"][:-1]]
-        for row, begin, end in zip(s["rows"], starts, s["ends"], strict=True):
-            found.append((row, {names[c]: n for c, n in zip(s["codes"][begin:end], s["counts"][begin:end], strict=True)}))
+        ends, codes, counts = (np.frombuffer(s[c], kind).tolist() for c, kind in (("ends", "<i4"), ("codes", "<i8"), ("counts", "<i4")))
+        for row, begin, end in zip(s["rows"], [0, *ends[:-1]], ends, strict=True):
+            found.append((row, {names[c]: n for c, n in zip(codes[begin:end], counts[begin:end], strict=True)}))
     return names, found
 
 
