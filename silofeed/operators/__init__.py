@@ -1,6 +1,15 @@
 """Operators over rows: alignment, routing, admission, comparison, changes and tenant tables."""
 
 from .align import align_to_schema, align_with_rejects
+from .buckets import (
+    StaleVersion,
+    apply_to_buckets,
+    compact,
+    create_bucketed,
+    manifest,
+    read_bucketed,
+    versions,
+)
 from .changes import apply_changes, latest_changes
 from .compare import diff_tables, tables_equal
 from .quota import (
@@ -27,19 +36,25 @@ from .sinks import (
 
 __all__ = [
     "QuotaExceeded",
+    "StaleVersion",
     "TenantQuota",
     "align_to_schema",
     "align_with_rejects",
     "apply_changes",
+    "apply_to_buckets",
     "check_quota",
     "cluster_by_tenant",
+    "compact",
     "count_by_tenant",
+    "create_bucketed",
     "create_tenant_database",
     "diff_tables",
     "latest_changes",
+    "manifest",
     "planned_records",
     "publish_snapshot",
     "quota_verdicts",
+    "read_bucketed",
     "read_tenant",
     "read_tenant_table",
     "register_tenant",
@@ -49,6 +64,7 @@ __all__ = [
     "tables_equal",
     "tenant_table",
     "validate_quotas",
+    "versions",
     "write_fan_out",
     "write_tenant_table",
 ]

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import ArrayType, DataType, FractionalType, IntegralType, MapType, StructType
 
 
 def _by_position(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
@@ -45,19 +45,34 @@ def align_to_schema(df: DataFrame, schema: StructType) -> DataFrame:
     return rows.select(*columns)
 
 
+def misfit(value: Column, have: DataType, want: DataType) -> Column:
+    """Whether a value, or one inside it, does not fit a type: it cannot be cast, or a whole number would lose its fraction."""
+    if isinstance(have, ArrayType) and isinstance(want, ArrayType):
+        return F.coalesce(F.exists(value, lambda x: misfit(x, have.elementType, want.elementType)), F.lit(False))
+    if isinstance(have, MapType) and isinstance(want, MapType):
+        keys = misfit(F.map_keys(value), ArrayType(have.keyType), ArrayType(want.keyType))
+        return keys | misfit(F.map_values(value), ArrayType(have.valueType), ArrayType(want.valueType))
+    if isinstance(have, StructType) and isinstance(want, StructType) and len(have) == len(want):
+        inside = [misfit(value.getField(a.name), a.dataType, b.dataType) for a, b in zip(have, want)]
+        return value.isNotNull() & reduce(Column.__or__, inside, F.lit(False))
+    cast = value.try_cast(want)
+    bad = cast.isNull()
+    if isinstance(have, FractionalType) and isinstance(want, IntegralType):
+        bad = bad | (cast.cast(have) != value)
+    return value.isNotNull() & F.coalesce(bad, F.lit(True))
+
+
 def align_with_rejects(df: DataFrame, schema: StructType) -> tuple[DataFrame, DataFrame]:
-    """Like :func:`align_to_schema`, but rows with a value that does not fit are set apart, unchanged.
+    """Like :func:`align_to_schema`, but rows with a :func:`misfit` are set apart, unchanged.
 
     Both results read ``df``; they are disjoint and together hold all of its rows.
     """
     rows, source = _by_position(df)
-
-    def misfit(field) -> Column:
-        value = F.col(source[field.name])
-        return value.isNotNull() & value.try_cast(field.dataType).isNull()
-
-    shared = [field for field in schema if field.name in source]
-    bad = reduce(Column.__or__, map(misfit, shared), F.lit(False))
+    misfits = [
+        misfit(F.col(source[field.name]), rows.schema[source[field.name]].dataType, field.dataType)
+        for field in schema if field.name in source
+    ]
+    bad = reduce(Column.__or__, misfits, F.lit(False))
     fitting = rows.filter(~bad).toDF(*df.columns)
     rejected = rows.filter(bad).toDF(*df.columns)
     return align_to_schema(fitting, schema), rejected

@@ -9,6 +9,7 @@ from urllib.parse import quote_plus
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.names import spark_name
 from ..functions.tenancy import catalog_for, database_for
 from ..workspace import match_files, remove_folder
 from .align import align_to_schema
@@ -34,6 +35,11 @@ def gather(df: DataFrame) -> DataFrame:
     return df.hint("rebalance")
 
 
+def run_folder(run_id: str) -> str:
+    """Folder of a run as Spark names it: of what ``quote_plus`` leaves, Spark escapes the percent signs again."""
+    return f"{RUN_ID}=" + quote_plus(run_id).replace("%", "%25")
+
+
 def write_run(rows: DataFrame, path: str, run_id: str, *partition_by: str, writers: int | None = None) -> None:
     """Write the rows of one run to a table of many runs, partitioned by ``partition_by`` and the run.
 
@@ -43,7 +49,7 @@ def write_run(rows: DataFrame, path: str, run_id: str, *partition_by: str, write
     taken = [c for c in rows.columns if c.lower() == RUN_ID]
     if taken:
         raise ValueError(f"the column {taken[0]} is where the name of a run goes: rename it")
-    spark, name = rows.sparkSession, f"{RUN_ID}={quote_plus(run_id)}"
+    spark, name = rows.sparkSession, run_folder(run_id)
     if TENANT_CATALOG in partition_by:
         rows = cluster_by_tenant(rows)
     if writers:
@@ -98,15 +104,17 @@ def create_tenant_database(spark: SparkSession, tenant: str, location: str | Non
 def register_tenant(spark: SparkSession, path: str, tenant: str, table: str) -> None:
     """Make a tenant's part of a fanned-out table known in the tenant's database, as a view of its folder.
 
-    The rows stay where the fan-out has put them, and those of later runs are seen. The view has the columns of the
-    day; register it again after a run that adds some. A table of that name is not given up for it.
+    The rows stay where the fan-out has put them, and those of later runs are seen. The view has the columns that
+    :func:`read_tenant` finds on that day; register it again after a run that adds some. A table of that name is not
+    given up for it.
     """
     name = tenant_table(tenant, table)
     create_tenant_database(spark, tenant)
     if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
         raise ValueError(f"{name} is a table with rows of its own")
     folder = f"{path}/{TENANT_CATALOG}={catalog_for(tenant)}".replace("`", "``")
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{folder}`")
+    columns = ", ".join(map(spark_name, read_tenant(spark, path, tenant).columns))
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{folder}` WITH ('mergeSchema' = 'true')")
 
 
 def read_tenant_table(spark: SparkSession, tenant: str, table: str) -> DataFrame:

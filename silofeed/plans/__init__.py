@@ -12,18 +12,22 @@ from .jobs import (
     tenant_verdicts,
     validate_jobs,
 )
+from .snapshot import follow_log, read_snapshot, snapshot_with_log
 from .sync import read_increment, sync_changes, sync_full, sync_incremental, sync_tenant_incremental
 
 __all__ = [
     "IngestRequest",
     "admit",
     "copy_table",
+    "follow_log",
     "ingest_lines",
     "ingest_source",
     "ingest_table",
     "ingest_tenants",
     "read_increment",
+    "read_snapshot",
     "require_admitted",
+    "snapshot_with_log",
     "sync_changes",
     "sync_full",
     "sync_incremental",

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
 from ..functions.names import spark_name
+from ..operators.align import align_to_schema
 from ..operators.changes import apply_changes, latest_changes
 from ..operators.sinks import gather, publish_snapshot, read_tenant_table, tenant_table, write_tenant_table
 from ..sources.config import JDBC, SourceConfig, TableRef
@@ -101,6 +102,12 @@ def _note_reached(spark: SparkSession, name: str, cursor: str, until: Any | None
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{CURSOR_PROPERTY}{cursor}' = '{until}')")
 
 
+def _content(df: DataFrame, cursor: Column) -> Column:
+    """Digest of a row without a cursor; null where the cursor tells versions apart."""
+    row = F.to_json(F.struct(*map(spark_name, df.columns)), {"ignoreNullFields": "false"})
+    return F.when(cursor.isNull(), F.sha2(row, 256))
+
+
 def sync_tenant_incremental(
     df: DataFrame,
     tenant: str,
@@ -114,7 +121,8 @@ def sync_tenant_incremental(
     The last cursor is read from the table itself. Rows that arrive late with an old cursor are found again with an
     ``overlap`` to look back over; ``keys`` then tell, together with the cursor, which rows are there already: a row
     whose cursor has moved is a new version and is appended, as it is without an overlap. Rows without a cursor are
-    known by their keys alone; without keys they can only be loaded once, with the table.
+    known by their keys and their content, so a changed one is a new version too; one that changes back is not told from
+    the version before. Without keys they can only be loaded once, with the table.
     """
     spark, name = df.sparkSession, tenant_table(tenant, table)
     if overlap is not None and not keys:
@@ -131,8 +139,12 @@ def sync_tenant_incremental(
         if keys:
             recent = known if start is None else known.filter(
                 column.isNull() | (column > _cursor_value(known, cursor, start)))
-            there = recent.select([F.col(spark_name(c)).alias(f"_there_{i}") for i, c in enumerate((*keys, cursor))])
+            new = align_to_schema(new, known.schema)
+            there = recent.select(
+                [F.col(spark_name(c)).alias(f"_there_{i}") for i, c in enumerate((*keys, cursor))]
+                + [_content(known, column).alias("_there")])
             same = [F.col(spark_name(c)).eqNullSafe(F.col(f"_there_{i}")) for i, c in enumerate((*keys, cursor))]
+            same.append(_content(known, column).eqNullSafe(F.col("_there")))
             new = new.join(there, reduce(Column.__and__, same), "left_anti")
         elif not new.filter(column.isNull()).isEmpty():
             raise ValueError(f"rows without {cursor} need keys to tell which are there already")

@@ -9,13 +9,27 @@ from pyspark.sql import functions as F
 
 from ..operators import (
     apply_changes,
+    apply_to_buckets,
+    compact,
+    create_bucketed,
     create_tenant_database,
+    latest_changes,
+    read_bucketed,
     read_tenant,
     read_tenant_table,
     route_records,
     write_fan_out,
 )
-from ..plans import ingest_tenants, sync_changes, sync_full, sync_incremental, sync_tenant_incremental
+from ..plans import (
+    follow_log,
+    ingest_tenants,
+    read_snapshot,
+    snapshot_with_log,
+    sync_changes,
+    sync_full,
+    sync_incremental,
+    sync_tenant_incremental,
+)
 from ..streaming import ingest_stream, land_changes
 from ..workspace import new_folder
 from .records import STATE_SQL, USER_GONE, USER_KEY, USER_ORDER, state_and_log
@@ -138,6 +152,43 @@ def synced_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tenant_table(spark, tenant, "users")
 
 
+@query("bucketed_changes", STATE_SQL)
+def changed_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State of every user in a table of buckets: the later half of the log first, the earlier one, then both again."""
+    path, events = new_folder(spark, "users"), table(spark, sf_dir, "events")
+    snapshot, later = state_and_log(spark, sf_dir)
+    schema = events.select("user_id", "event_id", "event_type", "value", "ts").schema
+    create_bucketed(spark, path, schema, USER_KEY, USER_ORDER, 8)
+    for log in (later, events.join(later.select("event_id"), "event_id", "left_anti"), events):
+        apply_to_buckets(log, path, USER_GONE)
+    compact(spark, path)
+    return read_bucketed(spark, path).select(*snapshot.columns)
+
+
+@query("incremental_snapshot", """
+    SELECT user_id, event_id, event_type, value FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events)
+    WHERE rn = 1 AND event_type <> 'error'""")
+def snapshot_of_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of all users, read in chunks while it changes: every look at it, or at its log, sees a longer log."""
+    path, events = new_folder(spark, "snapshot"), table(spark, sf_dir, "events")
+    last, chunks, looks = events.agg(F.max("event_id")).first()[0] or 0, 4, iter(range(1, 1000))
+
+    def log() -> DataFrame:
+        # Each look is a fourteenth of the log further; the log ends while the last chunk is read.
+        return events.filter(F.col("event_id") <= last * next(looks) // 14)
+
+    def state() -> DataFrame:
+        newest = latest_changes(log(), USER_KEY, ["event_id"])
+        return newest.filter(f"NOT ({USER_GONE})").select("user_id", "event_id", "event_type", "value")
+
+    # The first call stops half way, the second goes on.
+    for at_most in (chunks // 2, None):
+        done = snapshot_with_log(state, log, path, USER_KEY, "event_id", chunks, 8, USER_GONE, at_most)
+    follow_log(events, path, "event_id", USER_GONE, after=done[0].low)
+    return read_snapshot(spark, path)
+
+
 def event_halves(spark: SparkSession, sf_dir: str) -> list[str]:
     """The events as two folders of files, told apart by a condition."""
     events, root = table(spark, sf_dir, "events"), new_folder(spark, "sources")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -37,6 +38,43 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     files.delete(path, True)
 
 
+def list_names(spark: SparkSession, pattern: str) -> list[str]:
+    """Names, without their folders, of the files and folders that match a pattern."""
+    files, path = _file_system(spark, pattern)
+    return [status.getPath().getName() for status in files.globStatus(path) or []]
+
+
+def publish_text(spark: SparkSession, name: str, text: str) -> bool:
+    """Write a small file that is there as a whole or not at all; false where a file of that name is there already."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    files, path = _file_system(spark, name)
+    draft = jvm.org.apache.hadoop.fs.Path(path.getParent(), f".{uuid.uuid4().hex}")
+    stream = files.create(draft, False)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(path.getParent().toUri(), conf)
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(draft, path, options)
+    except Py4JJavaError as error:
+        files.delete(draft, False)
+        if "FileAlreadyExistsException" in str(error.java_exception.getClass().getName()):
+            return False
+        raise
+    return True
+
+
+def read_text(spark: SparkSession, name: str) -> str:
+    files, path = _file_system(spark, name)
+    stream = files.open(path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def match_files(spark: SparkSession, pattern: str) -> list[str]:
     """Full names of the files that match a pattern; nothing is opened."""
     files, path = _file_system(spark, pattern)

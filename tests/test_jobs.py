@@ -8,6 +8,7 @@ import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
+from silofeed.functions.tenancy import catalog_for
 from silofeed.operators import (
     QuotaExceeded,
     TenantQuota,
@@ -466,3 +467,26 @@ def test_rows_of_a_database_without_a_cursor(spark, database):
     assert until == 9 and rows(new) == [(2, None), (3, 9)]
     again, _ = read_increment(spark, source, TableRef("t", "s"), "c", 9, 2)
     assert rows(again) == [(2, None)]
+
+
+@pytest.mark.parametrize("run", ["2024-01-15 10:00", "a/b=c%d", "~x~3A é"])
+def test_a_run_of_any_name_replaces_its_rows(spark, tmp_path, run):
+    routed = spark.createDataFrame([(1, "df_a"), (2, "df_b")], "x int, tenant_catalog string")
+    write_fan_out(routed, str(tmp_path / "t"), run)
+    write_fan_out(routed.filter("x = 1"), str(tmp_path / "t"), run)
+    assert rows(spark.read.parquet(str(tmp_path / "t")), "x") == [(1,)]
+
+
+def test_a_registered_view_has_the_columns_of_all_runs(spark, tmp_path, tenant):
+    catalog = catalog_for(tenant)
+    for run, row in (("one", "1 AS x"), ("two", "2 AS x, 'new' AS y")):
+        write_fan_out(spark.sql(f"SELECT {row}, '{catalog}' AS tenant_catalog"), str(tmp_path / "t"), run)
+    register_tenant(spark, str(tmp_path / "t"), tenant, "seen")
+    assert rows(read_tenant_table(spark, tenant, "seen"), "x", "y") == [(1, None), (2, "new")]
+
+
+def test_a_changed_row_without_a_cursor_is_a_new_version(spark, tenant):
+    for name in ("old", "new", "new"):
+        df = spark.createDataFrame([(1, None, name), (2, 5, "same")], "id int, at int, name string")
+        sync_tenant_incremental(df, tenant, "rows", "at", keys=["id"])
+    assert rows(read_tenant_table(spark, tenant, "rows")) == [(1, None, "new"), (1, None, "old"), (2, 5, "same")]

@@ -104,3 +104,16 @@ def test_differences_equal_both_ways_of_except_all(spark, sf_dir):
     each = found.selectExpr(*lines.columns, "side", "explode(sequence(1, copies)) AS i")
     for side, expected in (("left", left.exceptAll(right)), ("right", right.exceptAll(left))):
         assert rows(each.filter(F.col("side") == side).drop("side", "i")) == rows(expected)
+
+
+def test_values_inside_others_that_do_not_fit_are_set_apart(spark):
+    from pyspark.sql.types import StructType
+
+    given = spark.sql("""SELECT * FROM VALUES
+        (1, array('1', '2'), named_struct('a', '5'), map('k', '1'), 1.0D), (2, array('1', 'x'), named_struct('a', '5'), map('k', '1'), 1.0D),
+        (3, array('1'), named_struct('a', 'y'), map('k', '1'), 1.0D), (4, array('1'), named_struct('a', '5'), map('k', 'z'), 1.0D),
+        (5, array('1'), named_struct('a', '5'), map('k', '1'), 1.7D), (6, null, null, null, null) AS t(id, list, one, map, n)""")
+    schema = StructType.fromDDL("id int, list array<int>, one struct<a: int>, map map<string, int>, n int")
+    fitting, rejected = align_with_rejects(given, schema)
+    assert sorted(r["id"] for r in rejected.collect()) == [2, 3, 4, 5]
+    assert sorted((r["id"], r["list"], r["n"]) for r in fitting.collect()) == [(1, [1, 2], 1), (6, None, None)]
