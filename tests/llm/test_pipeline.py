@@ -1,5 +1,6 @@
 """The pipeline, stage by stage, and the registered queries."""
 
+import itertools
 import re
 
 import duckdb
@@ -8,11 +9,12 @@ import pytest
 import __spark_entry__ as entry_points
 import corpus_pipeline
 from silofeed.llm import queries
+from silofeed.llm.similar import shingle_hashes
 
 from .test_exact_dedup import expected, normal
 from .test_packing import check, library  # noqa: F401
 from .test_secret_scan import base
-from .test_simhash import brute, groups
+from .test_simhash import brute
 
 
 @pytest.fixture(scope="module")
@@ -44,8 +46,24 @@ def test_exact_copies(stages):
 
 
 def test_near_copies(stages):
-    fps = [(i, brute(t)) for i, t in texts_of(stages[2]).items()]
-    assert set(texts_of(stages[3])) == {i for i, _, c in groups(fps) if i == c}
+    """Copies within three bits, or with 0.8 of their five-word shingles in common, by comparing all pairs."""
+    texts = texts_of(stages[2])
+    sets = {i: set(shingle_hashes(t).tolist()) for i, t in texts.items()}
+    fps = {i: brute(t) for i, t in texts.items()}
+    parent = {i: i for i in texts}
+
+    def top(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in itertools.combinations(sorted(texts), 2):
+        shared = len(sets[a] & sets[b])
+        similar = shared and 5 * shared >= 4 * (len(sets[a]) + len(sets[b]) - shared)
+        if (similar or (fps[a] ^ fps[b]).bit_count() <= 3) and top(a) != top(b):
+            low, high = sorted((top(a), top(b)))
+            parent[high] = low
+    assert set(texts_of(stages[3])) == {i for i in texts if top(i) == i}
 
 
 def test_secrets(stages):
@@ -70,13 +88,13 @@ def test_run_gives_the_same(spark, stages, sf_dir):
 def test_queries_are_registered():
     found = entry_points.queries()
     numbers = sorted(int(m[1]) for name in found if (m := re.match(r"op(\d+)_", name)))
-    assert numbers == list(range(1, 11)) and "pipeline" in found and queries.ORACLES.items() <= entry_points.oracle_sql().items()
+    assert numbers == list(range(1, 14)) and "pipeline" in found and queries.ORACLES.items() <= entry_points.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_queries_with_sql(spark, sf_dir, name):
     connection = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "labels"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     result = connection.execute(queries.ORACLES[name])
     columns = [c[0] for c in result.description]
