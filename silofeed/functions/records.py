@@ -19,6 +19,13 @@ def row_to_record(df: DataFrame, columns: list[str] | None = None) -> Column:
     )
 
 
+def row_text(df: DataFrame) -> Column:
+    """All values of a row as one text, with nulls and to the microsecond; rows are alike when their texts are."""
+    whole = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    options = {"ignoreNullFields": "false", "timestampFormat": whole, "timestampNTZFormat": whole}
+    return F.to_json(F.struct(*map(spark_name, df.columns)), options)
+
+
 def record_to_row(record: Column | str, schema: StructType) -> list[Column]:
     """Typed columns of a record, absent columns as null."""
     return [record_get(record, field.name).cast(field.dataType).alias(field.name) for field in schema]

@@ -12,11 +12,13 @@ from .jobs import (
     tenant_verdicts,
     validate_jobs,
 )
+from .ranges import Ranges, read_ranges, sync_ranges
 from .snapshot import follow_log, read_snapshot, snapshot_with_log
 from .sync import read_increment, sync_changes, sync_full, sync_incremental, sync_tenant_incremental
 
 __all__ = [
     "IngestRequest",
+    "Ranges",
     "admit",
     "copy_table",
     "follow_log",
@@ -25,12 +27,14 @@ __all__ = [
     "ingest_table",
     "ingest_tenants",
     "read_increment",
+    "read_ranges",
     "read_snapshot",
     "require_admitted",
     "snapshot_with_log",
     "sync_changes",
     "sync_full",
     "sync_incremental",
+    "sync_ranges",
     "sync_tenant_incremental",
     "tenant_verdicts",
     "validate_jobs",

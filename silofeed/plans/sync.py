@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
 from ..functions.names import spark_name
+from ..functions.records import row_text
 from ..operators.align import align_to_schema
 from ..operators.changes import apply_changes, latest_changes
 from ..operators.sinks import gather, publish_snapshot, read_tenant_table, tenant_table, write_tenant_table
@@ -104,8 +105,7 @@ def _note_reached(spark: SparkSession, name: str, cursor: str, until: Any | None
 
 def _content(df: DataFrame, cursor: Column) -> Column:
     """Digest of a row without a cursor; null where the cursor tells versions apart."""
-    row = F.to_json(F.struct(*map(spark_name, df.columns)), {"ignoreNullFields": "false"})
-    return F.when(cursor.isNull(), F.sha2(row, 256))
+    return F.when(cursor.isNull(), F.sha2(row_text(df), 256))
 
 
 def sync_tenant_incremental(

@@ -21,13 +21,16 @@ from ..operators import (
     write_fan_out,
 )
 from ..plans import (
+    Ranges,
     follow_log,
     ingest_tenants,
+    read_ranges,
     read_snapshot,
     snapshot_with_log,
     sync_changes,
     sync_full,
     sync_incremental,
+    sync_ranges,
     sync_tenant_incremental,
 )
 from ..streaming import ingest_stream, land_changes
@@ -189,6 +192,22 @@ def snapshot_of_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_snapshot(spark, path)
 
 
+@query("sync_ranges", """
+    SELECT event_id, user_id, CASE WHEN event_id % 5 <> 0 THEN ts END AS ts,
+           CASE WHEN event_id % 10 = 0 OR ts < TIMESTAMP '2024-01-03 00:00:00' THEN value + 1 ELSE value END AS value
+    FROM events WHERE event_id % 15 <> 0""")
+def ranges_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of events, copied twice: in between, rows without a cursor and rows of old days change, and some go."""
+    path = new_folder(spark, "ranges")
+    before = table(spark, sf_dir, "events").select(
+        "event_id", "user_id", F.when(F.col("event_id") % 5 != 0, F.col("ts")).alias("ts"), F.col("ts").alias("day"), "value")
+    changed = (F.col("event_id") % 10 == 0) | (F.col("day") < F.expr("timestamp_ntz'2024-01-03 00:00:00'"))
+    after = before.withColumn("value", F.when(changed, F.col("value") + 1).otherwise(F.col("value"))).filter("event_id % 15 <> 0")
+    for rows in (before, after):
+        sync_ranges(rows.drop("day"), path, Ranges("ts"))
+    return read_ranges(spark, path)
+
+
 def event_halves(spark: SparkSession, sf_dir: str) -> list[str]:
     """The events as two folders of files, told apart by a condition."""
     events, root = table(spark, sf_dir, "events"), new_folder(spark, "sources")
