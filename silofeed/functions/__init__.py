@@ -10,7 +10,11 @@ from .records import (
     record_size,
     record_to_row,
     records_equal,
+    row_text,
     row_to_record,
+    row_to_typed_record,
+    typed_record_get,
+    typed_record_to_row,
 )
 from .tenancy import (
     catalog_for,
@@ -40,11 +44,15 @@ __all__ = [
     "records_equal",
     "redact_sources",
     "redact_url",
+    "row_text",
     "row_to_record",
+    "row_to_typed_record",
     "source_supported",
     "spark_database",
     "spark_name",
     "tenant_catalog",
     "tenant_catalog_or_null",
+    "typed_record_get",
+    "typed_record_to_row",
     "validate_sources",
 ]

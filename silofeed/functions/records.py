@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
 from .names import spark_name
 from .tenancy import as_column
@@ -26,6 +26,25 @@ def row_text(df: DataFrame) -> Column:
     return F.to_json(F.struct(*map(spark_name, df.columns)), options)
 
 
+def row_to_typed_record(df: DataFrame, columns: list[str] | None = None) -> Column:
+    """Record of the given columns that keeps their types: a variant object. Numbers, times, arrays, structs and binaries
+    come back as they were with :func:`typed_record_to_row`; columns are in the order of their names."""
+    return F.to_variant_object(F.struct(*[df[spark_name(name)].alias(name) for name in columns or df.columns]))
+
+
+def typed_record_get(record: Column | str, column: str, kind: DataType | str) -> Column:
+    """Value of a column in a type; null where the record lacks it, an error where it does not fit."""
+    if "'" in column or "\\" in column:
+        raise ValueError(f"no quotes or backslashes in names of a typed record: {column}")
+    name = kind if isinstance(kind, str) else kind.simpleString()
+    return F.variant_get(as_column(record), f"$['{column}']", name)
+
+
+def typed_record_to_row(record: Column | str, schema: StructType) -> list[Column]:
+    """Typed columns of a record, absent columns as null."""
+    return [typed_record_get(record, field.name, field.dataType).alias(field.name) for field in schema]
+
+
 def record_to_row(record: Column | str, schema: StructType) -> list[Column]:
     """Typed columns of a record, absent columns as null."""
     return [record_get(record, field.name).cast(field.dataType).alias(field.name) for field in schema]

@@ -12,6 +12,7 @@ from .buckets import (
 )
 from .changes import apply_changes, latest_changes
 from .compare import diff_tables, tables_equal
+from .isolation import NotYours, foreign_relations, tenant_query
 from .quota import (
     QuotaExceeded,
     TenantQuota,
@@ -35,6 +36,7 @@ from .sinks import (
 )
 
 __all__ = [
+    "NotYours",
     "QuotaExceeded",
     "StaleVersion",
     "TenantQuota",
@@ -49,6 +51,7 @@ __all__ = [
     "create_bucketed",
     "create_tenant_database",
     "diff_tables",
+    "foreign_relations",
     "latest_changes",
     "manifest",
     "planned_records",
@@ -62,6 +65,7 @@ __all__ = [
     "route_line",
     "route_records",
     "tables_equal",
+    "tenant_query",
     "tenant_table",
     "validate_quotas",
     "versions",

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import (
+    NotYours,
     apply_changes,
     apply_to_buckets,
     compact,
@@ -18,6 +19,7 @@ from ..operators import (
     read_tenant,
     read_tenant_table,
     route_records,
+    tenant_query,
     write_fan_out,
 )
 from ..plans import (
@@ -208,6 +210,27 @@ def ranges_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ranges(spark, path)
 
 
+@query("isolated_query", """
+    SELECT c_nationkey, count(*) AS customers, min(c_custkey) AS first FROM customer
+    WHERE c_mktsegment = 'BUILDING' AND c_custkey > (SELECT min(c_custkey) FROM customer WHERE c_mktsegment = 'BUILDING')
+    GROUP BY c_nationkey""")
+def query_of_one_tenant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each segment's customers belong to a tenant; one of them asks for its own, and in vain for another's."""
+    customers = table(spark, sf_dir, "customer")
+    for segment in ("BUILDING", "MACHINERY"):
+        tenant = f"own-{segment.lower()}"
+        tenant_database(spark, tenant)
+        sync_full(customers.filter(F.col("c_mktsegment") == segment), tenant, "customers")
+    try:
+        tenant_query(spark, "own-building", "SELECT * FROM customers UNION ALL SELECT * FROM df_own_machinery.customers")
+        raise AssertionError("the rows of another tenant were given away")
+    except NotYours:
+        pass
+    return tenant_query(spark, "own-building", """
+        SELECT c_nationkey, count(*) AS customers, min(c_custkey) AS first FROM customers
+        WHERE c_custkey > (SELECT min(c_custkey) FROM customers) GROUP BY c_nationkey""")
+
+
 def event_halves(spark: SparkSession, sf_dir: str) -> list[str]:
     """The events as two folders of files, told apart by a condition."""
     events, root = table(spark, sf_dir, "events"), new_folder(spark, "sources")

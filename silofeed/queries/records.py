@@ -15,6 +15,8 @@ from ..functions import (
     record_to_row,
     records_equal,
     row_to_record,
+    row_to_typed_record,
+    typed_record_to_row,
 )
 from ..operators import align_to_schema, align_with_rejects, apply_changes, diff_tables, latest_changes
 from .registry import as_double, derived, query, table
@@ -147,6 +149,26 @@ def table_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diff_tables(left, right)
 
 
+@query("typed_record_vectors", "SELECT * FROM embeddings")
+def typed_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with arrays as typed records, and back."""
+    vectors = table(spark, sf_dir, "embeddings")
+    record = vectors.select(row_to_typed_record(vectors).alias("record"))
+    return record.select(*typed_record_to_row("record", vectors.schema))
+
+
+@query("typed_record_events", """
+    SELECT event_id, ts, value, [user_id, event_id] AS ids, event_type AS kind, CAST(value AS DECIMAL(18, 2)) AS amount FROM events""")
+def typed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers, times, an array and a struct as typed records, and back."""
+    rows = table(spark, sf_dir, "events").selectExpr(
+        "event_id", "ts", "value", "array(user_id, event_id) AS ids",
+        "named_struct('kind', event_type, 'amount', CAST(value AS DECIMAL(18, 2))) AS inside")
+    record = rows.select(row_to_typed_record(rows).alias("record"))
+    return record.select(*typed_record_to_row("record", rows.schema)).select(
+        "event_id", "ts", "value", "ids", "inside.kind", "inside.amount")
+
+
 NEWEST_SQL = """
     SELECT {columns} FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)

@@ -27,6 +27,12 @@ def _file_system(spark: SparkSession, folder: str):
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """Full name of a folder, as plans show it."""
+    files, path = _file_system(spark, folder)
+    return files.makeQualified(path).toString()
+
+
 def folder_exists(spark: SparkSession, folder: str) -> bool:
     files, path = _file_system(spark, folder)
     return files.exists(path)

@@ -65,3 +65,14 @@ def test_equality_ignores_order_and_heeds_nulls(spark):
                CAST(NULL AS MAP<STRING, STRING>) AS nothing""")
     row = df.select(*[records_equal("m", c) for c in ("m", "same", "fewer", "other", "nothing")]).first()
     assert tuple(row) == (True, True, False, False, False)
+
+
+def test_typed_records_keep_types(spark):
+    from silofeed.functions import row_to_typed_record, typed_record_get, typed_record_to_row
+
+    given = spark.sql("""SELECT 1 AS id, array(1.5D, null) AS list, named_struct('a', 'x', 'b', date'2024-01-02') AS one,
+        X'00FF' AS raw, timestamp_ntz'2024-01-02 03:04:05.678901' AS at, 12.34BD AS amount, map('k', 2) AS map, true AS yes,
+        CAST(null AS INT) AS nothing, 'text' AS `a b.c`""")
+    record = given.select(row_to_typed_record(given).alias("r"))
+    assert record.select(*typed_record_to_row("r", given.schema)).collect() == given.collect()
+    assert record.select(typed_record_get("r", "absent", "int").alias("x")).first()["x"] is None
