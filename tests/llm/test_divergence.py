@@ -25,8 +25,9 @@ def brute(docs, least, ranks=50):
         kept = sorted(t for t, n in frequency.items() if n >= least)
         count = defaultdict(Counter)
         for counts, s in mine:
+            mine_of_source = count[s]
             for t in kept:
-                count[s][t] += counts[t]
+                mine_of_source[t] += counts[t]
         whole = sum(count.values(), Counter())
 
         def share(c, kept=kept):
