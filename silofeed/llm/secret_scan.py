@@ -7,11 +7,13 @@ many paths hold it, and joins the findings back to all paths.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import hashlib
+from dataclasses import astuple, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..workspace import folder_exists
 from .tables import free_name, written
 
 
@@ -102,19 +104,27 @@ def all_spans(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     return F.transform(ordered, lambda s: F.struct(s["kind"], s["rank"], s["start"], s["stop"])).cast(f"array<{SPAN}>")
 
 
+def version_of(rules: tuple[Rule, ...]) -> str:
+    """Version of a set of rules: any change of a rule, or of their order, gives another one."""
+    return hashlib.sha256(repr([astuple(rule) for rule in rules]).encode()).hexdigest()[:16]
+
+
 def empty_ledger(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], LEDGER)
 
 
 def scan_blobs(
-    docs: DataFrame, ledger: DataFrame, rule_version: str = "1", rules: tuple[Rule, ...] = RULES,
+    docs: DataFrame, ledger: DataFrame, rule_version: str | None = None, rules: tuple[Rule, ...] = RULES,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """Rows to add to the ledger: ``blob``, ``rule_version``, ``spans`` of each pair that it does not hold yet.
 
+    The version of the rules is :func:`version_of` them, unless the caller names one of its own.
+
     One row that holds a blob is picked from ids and hashes alone; then the text of just these rows is read. Null text
     is the empty blob; ids may repeat and be null. No unseen pairs give no rows.
     """
+    rule_version = rule_version or version_of(rules)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     blobs = texts.select("id", blob_id(F.col("text")).alias("blob"))
     seen = ledger.where(F.col("rule_version") == rule_version).select("blob")
@@ -128,23 +138,45 @@ def scan_blobs(
 
 
 def findings(
-    docs: DataFrame, ledger: DataFrame, rule_version: str = "1", id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, ledger: DataFrame, rule_version: str | None = None, id_col: str = "doc_id", text_col: str = "text",
+    rules: tuple[Rule, ...] = RULES,
 ) -> DataFrame:
     """Findings of the ledger at every row of ``docs``: id, ``blob``, ``spans``; unscanned blobs have null spans."""
+    rule_version = rule_version or version_of(rules)
     paths = docs.select(F.col(id_col), blob_id(F.col(text_col)).alias("blob"))
     known = ledger.where(F.col("rule_version") == rule_version).select("blob", "spans")
     return paths.join(known, "blob", "left")
 
 
-def scan(docs: DataFrame, ledger: DataFrame | None = None, rule_version: str = "1",
+def scan(docs: DataFrame, ledger: DataFrame | None = None, rule_version: str | None = None,
          rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Scan what the ledger has not seen; the findings of every row, and the ledger with the new pairs."""
+    rule_version = rule_version or version_of(rules)
     ledger = ledger if ledger is not None else empty_ledger(docs.sparkSession)
     new = written(scan_blobs(docs, ledger, rule_version, rules, id_col, text_col), "ledger")
     ledger = ledger.unionByName(new)
     return findings(docs, ledger, rule_version, id_col, text_col), ledger
 
 
+def stored_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger kept at ``path``; empty where there is none yet. A pair that a repeated run has added twice comes once."""
+    if not folder_exists(spark, path):
+        return empty_ledger(spark)
+    return spark.read.schema(LEDGER).parquet(path).dropDuplicates(["blob", "rule_version"])
+
+
+def scan_with_store(docs: DataFrame, path: str, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """The findings of every row, by the ledger kept at ``path``, to which what is scanned now is added.
+
+    Only blobs that were never scanned with these rules are read again. A run that fails adds nothing.
+    """
+    spark = docs.sparkSession
+    new = written(scan_blobs(docs, stored_ledger(spark, path), None, rules, id_col, text_col), "ledger")
+    new.write.mode("append").parquet(path)
+    return findings(docs, stored_ledger(spark, path), None, id_col, text_col, rules)
+
+
 def span_text(spans: Column) -> Column:
     """``kind:start:end`` of each span, joined by commas."""
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(
@@ -175,12 +207,13 @@ def redacted(text: Column, spans: Column) -> Column:
     ))
 
 
-def redact(docs: DataFrame, ledger: DataFrame | None = None, rule_version: str = "1", rules: tuple[Rule, ...] = RULES,
+def redact(docs: DataFrame, ledger: DataFrame | None = None, rule_version: str | None = None, rules: tuple[Rule, ...] = RULES,
            id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None) -> DataFrame:
     """All rows of ``docs`` with their secrets :func:`redacted`; ``length_col``, if given, becomes the new text's length.
 
     Null text stays null. The blobs with findings are written first; few of them are broadcast and texts stay in place.
     """
+    rule_version = rule_version or version_of(rules)
     _, known = scan(docs, ledger, rule_version, rules, id_col, text_col)
     blob, spans, new = (free_name(docs, name) for name in ("blob", "spans", "redacted"))
     found = known.where((F.col("rule_version") == rule_version) & (F.size("spans") > 0))

@@ -90,3 +90,26 @@ def test_whole_private_keys_are_redacted(spark):
         4: "[pem]\nThe next one:\n[pem]\nend", 5: "[pem]\r\nx", 6: "[pem]\nThe end.",
         7: "[pem] is how such a file starts.", 8: "[pem]\n    done, all.", 9: "[pem]", 10: "[pem]",
     }
+
+
+def test_changed_rules_scan_again(spark):
+    docs = documents(spark, [(1, SECRET), (2, "clean"), (3, None)])
+    other = (S.Rule("word", "clean", 0, 1),)
+    assert S.version_of(other) != S.version_of(S.RULES) != S.version_of(S.RULES[::-1])
+    _, ledger = S.scan(docs, rules=other)
+    found, ledger = S.scan(docs, ledger)
+    spans = {r["doc_id"]: r["spans"] for r in found.collect()}
+    assert len(spans[1]) == 3 and spans[2] == spans[3] == [] and ledger.count() == 6
+    assert "AKIA" not in S.redact(docs, ledger).where("doc_id = 1").first()["text"]
+
+
+def test_a_ledger_that_lasts(spark, tmp_path, monkeypatch):
+    path, texts = f"{tmp_path}/ledger", [(1, SECRET), (2, "clean"), (3, SECRET), (4, "more token=abcdefgh")]
+    half = S.scan_with_store(documents(spark, texts[:2]), path).collect()
+    assert S.stored_ledger(spark, path).count() == 2
+    whole = S.scan_with_store(documents(spark, texts), path)
+    assert S.stored_ledger(spark, path).count() == 3 and S.scan_blobs(documents(spark, texts), S.stored_ledger(spark, path)).count() == 0
+    alone, _ = S.scan(documents(spark, texts))
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, alone.collect())) and len(half) == 2
+    S.scan_with_store(documents(spark, texts), path, rules=S.RULES[:1])
+    assert S.stored_ledger(spark, path).count() == 6
