@@ -12,6 +12,7 @@ else is done with them.
 from __future__ import annotations
 
 import itertools
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -60,9 +61,8 @@ def local_shards(docs: DataFrame, row: Column, text_col: str = "text") -> DataFr
 class _Shard:
     def __init__(self) -> None:
         self.numbers: dict[bytes, int] = {}
-        self.ends: list[int] = []
-        self.terms: list[int] = []
-        self.counts: list[int] = []
+        # Arrays, as lists of integers would take several times the space.
+        self.ends, self.terms, self.counts = array("i"), array("i"), array("i")
         self.n_words = 0
 
     def add(self, text: bytes) -> None:
@@ -80,7 +80,7 @@ class _Shard:
         def one(values: pa.Array) -> pa.ListArray:
             return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
-        numbers = [pa.array([np.array(values, "<i4").tobytes()], pa.binary()) for values in (self.ends, self.terms, self.counts)]
+        numbers = [pa.array([np.asarray(values).astype("<i4").tobytes()], pa.binary()) for values in (self.ends, self.terms, self.counts)]
         arrays = [one(rows), *numbers, one(pa.array(list(self.numbers), pa.binary()))]
         return pa.RecordBatch.from_arrays(arrays, ["rows", "ends", "terms", "counts", "words"])
 
