@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import free_name, written
+from .tables import free_name, passing, scratch, stored, written
 
 #: White space that does not count when texts are compared.
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
@@ -83,11 +83,16 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     names = {n: free_name(docs, n) for n in ("gone_id", "gone_hash", "same_text")}
     text_hash = F.xxhash64(F.col(text_col))
-    found = exact_duplicates(docs, id_col, text_col, {names["same_text"]: text_hash})
     keys = [F.col(id_col).alias(names["gone_id"]), F.col(names["same_text"]).alias(names["gone_hash"])]
     same = F.col(id_col).eqNullSafe(F.col(names["gone_id"])) & (text_hash == F.col(names["gone_hash"]))
-    kept = docs.join(found.where(~F.col("kept")).select(keys).distinct(), same, "left_anti")
-    repeated = found.where("kept").groupBy(keys).count().where("count > 1").select(names["gone_id"], names["gone_hash"])
+    with scratch():
+        found = exact_duplicates(docs, id_col, text_col, {names["same_text"]: text_hash})
+        gone, folder = stored(found.where(~F.col("kept")).select(keys).distinct(), "gone")
+        repeated = found.where("kept").groupBy(keys).count().where("count > 1").select(names["gone_id"], names["gone_hash"])
+        repeated, other = stored(repeated, "repeated")
+    for made in (folder, other):
+        passing(docs.sparkSession, made)
+    kept = docs.join(gone, same, "left_anti")
     once = kept.join(repeated, same, "left_anti")
     more = kept.join(repeated, same, "left_semi").dropDuplicates([id_col, text_col])
     return once.unionByName(more)

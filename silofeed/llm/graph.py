@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..workspace import new_folder, remove_folder
+from .tables import passing
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -30,6 +31,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if new == state:
             break
         state = new
+    passing(spark, folder)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

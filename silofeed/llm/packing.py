@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import written
+from ..workspace import remove_folder
+from .tables import stored, written
 from .workers import importable, tokenizer_file
 
 VOCABULARY = "word_bpe_49k.json"
@@ -288,7 +289,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sequen
         return pd.DataFrame({"sequence": found, "slot": slot})
 
     ranked = running_sum(running_sum(narrow, "one", ["size"], "rank", ["row"]), "full", [], "full_before", ["row"])
-    placed = written(ranked.select("row", "part", "n", "full", "full_before", "rest", place("size", "rank").alias("at")).select(
+    placed, places_folder = stored(ranked.select("row", "part", "n", "full", "full_before", "rest", place("size", "rank").alias("at")).select(
         "row", "part", "n", "full", "full_before", "rest", "at.sequence", "at.slot"), "places")
 
     # A sequence has no more pieces than classes, so its window is small.
@@ -299,6 +300,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sequen
     cut = seated.unionByName(stood).withColumn("kept", kept).withColumn("over", F.col("rest") - F.col("kept"))
     plan = written(running_sum(cut, "over", [], "over_before", ["row"]).select(
         "row", "full", "full_before", "sequence", "offset", "kept", "over", "over_before"), "plan")
+    remove_folder(spark, places_folder)
 
     totals = plan.agg(F.sum("full"), F.sum("over")).first()
     full_total, over_total = totals[0] or 0, totals[1] or 0

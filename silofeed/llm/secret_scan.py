@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import folder_exists
-from .tables import free_name, written
+from .tables import free_name, passing, scratch, stored, written
 
 
 @dataclass(frozen=True)
@@ -214,10 +214,13 @@ def redact(docs: DataFrame, ledger: DataFrame | None = None, rule_version: str |
     Null text stays null. The blobs with findings are written first; few of them are broadcast and texts stay in place.
     """
     rule_version = rule_version or version_of(rules)
-    _, known = scan(docs, ledger, rule_version, rules, id_col, text_col)
     blob, spans, new = (free_name(docs, name) for name in ("blob", "spans", "redacted"))
-    found = known.where((F.col("rule_version") == rule_version) & (F.size("spans") > 0))
-    found = written(found.select(F.col("blob").alias(blob), F.col("spans").alias(spans)).dropDuplicates([blob]), "findings")
+    with scratch():
+        _, known = scan(docs, ledger, rule_version, rules, id_col, text_col)
+        found = known.where((F.col("rule_version") == rule_version) & (F.size("spans") > 0))
+        found = found.select(F.col("blob").alias(blob), F.col("spans").alias(spans)).dropDuplicates([blob])
+        found, folder = stored(found, "findings")
+    passing(docs.sparkSession, folder)
     joined = docs.join(found, blob_id(F.col(text_col)) == F.col(blob), "left")
     text = F.when(F.col(spans).isNull(), F.col(text_col)).otherwise(redacted(F.col(text_col), F.col(spans)))
     columns = {c: F.col(c) for c in docs.columns} | {text_col: F.col(new)}

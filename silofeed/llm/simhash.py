@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from . import similar
 from .graph import components, hamming
-from .tables import free_name, text_key, without, written
+from .tables import free_name, passing, scratch, stored, text_key, without, written
 from .workers import importable
 
 #: Bits that linked fingerprints may differ in. The grid is exact up to three.
@@ -143,5 +143,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     key = free_name(docs, "document")
     keyed = docs.withColumn(key, text_key(id_col, text_col))
-    found = near_duplicates(keyed, key, text_col, words, distance, similarity, similar_words)
-    return without(docs, found.where(F.col(key) != F.col("component_id")).select(key), id_col, text_col)
+    with scratch():
+        found = near_duplicates(keyed, key, text_col, words, distance, similarity, similar_words)
+        gone, folder = stored(found.where(F.col(key) != F.col("component_id")).select(key).distinct(), "gone")
+    passing(docs.sparkSession, folder)
+    return without(docs, gone, id_col, text_col)

@@ -1,8 +1,12 @@
 """Links between texts that share most of their shingles.
 
 MinHash bands bring texts together; what meets is verified on the shingles themselves. There are so many bands that two
-texts of the least similarity share one with the probability ``SURE``. Only components are wanted, so two texts that are
-already joined are not compared: a band's texts meet one of them first, and what that leaves apart then meets them all.
+texts of the least similarity share one with the probability ``SURE``. Two bits of each least value make a signature;
+texts whose signatures differ in more places than similar ones do, but for ``MISSED`` of them, are not compared. Only
+components are wanted, so a band's texts meet one of them first: the one that shares most bands with others, which is
+the middle of its group, then others. What that leaves apart has its shingles read again, once: texts that have another
+of their band alike by signature get a longer one, and the number of their shingles that no other such text has. Of
+these texts, those of a band meet if both allow for the similarity.
 """
 
 from __future__ import annotations
@@ -18,16 +22,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .tables import written
+from .tables import passing, scratch, stored, written
 from .workers import importable
 
 #: Least probability that two texts of the least similarity share a band, and hashes of a band.
 SURE = 0.99999
 ROWS = 4
 SEED = 42
-#: Shingles that are hashed at once, and rounds in which a band's texts meet one of them only.
+#: Share of the similar texts that meet and whose signatures differ in too many places.
+MISSED = 1e-6
+#: Shingles that are hashed at once, and rounds at most in which a band's texts meet one of them only.
 CHUNK = 1 << 11
 ROUNDS = 2
+#: Places of the longer signatures.
+LONG_PLACES = 512
+#: Places of a signature in a long, and the lower bits of its two-bit places.
+PLACES = 32
+LOWER = 0x5555555555555555
 #: Texts to be compared that are broadcast, a few bytes each; more are joined by shuffles.
 BROADCAST_ROWS = 500_000
 
@@ -52,70 +63,125 @@ def keys_of(count: int) -> np.ndarray:
     return np.random.default_rng(SEED).integers(0, 1 << 63, (count, 2), np.uint64)
 
 
-def band_hashes(hashes: np.ndarray, bands: int, rows: int = ROWS) -> np.ndarray:
-    """One hash for each band, of the least values of its hash functions and its number."""
-    if not len(hashes):
-        return np.zeros(0, np.int64)
-    keys = keys_of(bands * rows)
-    least = np.full(bands * rows, np.iinfo(np.uint64).max, np.uint64)
+def least_values(hashes: np.ndarray, count: int) -> np.ndarray:
+    """The least value of each hash function over the shingles."""
+    keys = keys_of(count)
+    least = np.full(count, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(hashes), CHUNK):
         x = (hashes[at : at + CHUNK] ^ keys[:, :1]) * (keys[:, 1:] | np.uint64(1))
         x ^= x >> np.uint64(32)
         x *= np.uint64(0x9E3779B97F4A7C15)
         least = np.minimum(least, x.min(axis=1))
-    each = least.reshape(bands, rows)
+    return least
+
+
+def band_hashes(least: np.ndarray, bands: int) -> np.ndarray:
+    """One hash for each band, of the least values of its hash functions and its number."""
+    each = least.reshape(bands, -1)
     return np.array([xxhash.xxh64_intdigest(b.tobytes(), i) for i, b in enumerate(each)], np.uint64).view(np.int64)
 
 
+def signature(least: np.ndarray) -> np.ndarray:
+    """Two bits of each least value, packed into longs; places behind the last are zero."""
+    bits = np.zeros(-(-len(least) // PLACES) * PLACES, np.uint64)
+    bits[: len(least)] = least >> np.uint64(20) & np.uint64(3)
+    shifts = np.arange(PLACES, dtype=np.uint64) * np.uint64(2)
+    return np.bitwise_or.reduce(bits.reshape(-1, PLACES) << shifts, axis=1).view(np.int64)
+
+
+def tolerance(similarity: float, places: int, missed: float = MISSED) -> int:
+    """Places in which the signatures of texts of that similarity differ at most, but for the share ``missed``.
+
+    Two bits of different values are equal in one case of four.
+    """
+    apart = (1 - similarity) * 3 / 4
+    left, at = 1.0, -1
+    while left > missed and at < places:
+        at += 1
+        left -= math.comb(places, at) * apart**at * (1 - apart) ** (places - at)
+    return at
+
+
 def sketch(text: Column, similarity: float, words: int, mark: Callable[[str | None], int]) -> Column:
-    """``fp``, what ``mark`` gives, ``n``, the number of distinct shingles, and ``bands``: all in one worker."""
+    """``fp``, what ``mark`` gives, ``n``, the number of distinct shingles, ``bands`` and ``sig``: all in one worker."""
     count = bands_for(similarity)
 
     def each(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        none = np.zeros(0, np.int64)
         for batch in texts:
-            fps, sizes, bands = np.zeros(len(batch), np.uint64), np.zeros(len(batch), np.int32), []
+            fps, sizes, bands, sigs = np.zeros(len(batch), np.uint64), np.zeros(len(batch), np.int32), [], []
             for at, t in enumerate(batch):
                 found = shingle_hashes(t, words)
                 fps[at], sizes[at] = mark(t), len(found)
-                bands.append(band_hashes(found, count))
-            yield pd.DataFrame({"fp": fps.view(np.int64), "n": sizes, "bands": bands})
+                least = least_values(found, count * ROWS)
+                bands.append(band_hashes(least, count) if len(found) else none)
+                sigs.append(signature(least))
+            yield pd.DataFrame({"fp": fps.view(np.int64), "n": sizes, "bands": bands, "sig": sigs})
 
-    return F.pandas_udf(each, "fp long, n int, bands array<long>")(text)
+    return F.pandas_udf(each, "fp long, n int, bands array<long>, sig array<long>")(text)
 
 
 def text_hash(text_col: str) -> Column:
-    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    """128 bits that name a text; null is the empty one."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return F.struct(F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), text).alias("i"))
 
 
 def link_similar(docs: DataFrame, sketches: DataFrame, known: DataFrame, similarity: float, text_col: str = "text",
                  words: int = 5) -> DataFrame:
     """Links ``a``, ``b`` of nodes: ``known`` ones, and so many that nodes with similar texts are connected.
 
-    ``sketches`` has ``node``, ``doc`` (the :func:`text_hash`) and ``sketch`` of the texts of ``docs``. Nodes with texts
-    that share at least ``similarity`` of their distinct shingles (Jaccard) get into one component, and only those.
+    ``sketches`` has ``node``, ``doc`` (the :func:`text_hash`) and ``sketch`` of the texts of ``docs``; equal texts have
+    equal nodes. Nodes with texts that share at least ``similarity`` of their distinct shingles (Jaccard) get into one
+    component, and only those. Null texts and those without words are similar to none. Empty tables give ``known``.
     """
     importable(docs.sparkSession)
-    places = sketches.select("node", "doc", F.col("sketch.n").alias("n"), F.explode("sketch.bands").alias("band")).distinct()
-    several = places.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    places = written(places.join(several.select("band"), "band"), "places")
+    count = bands_for(similarity)
+    longs = -(-count * ROWS // PLACES)
+    most = tolerance(similarity, count * ROWS)
+    # Copies of a text are put together before its bands are told apart.
+    texts = sketches.groupBy("doc").agg(F.first(F.struct("node", "sketch")).alias("t")).select("doc", "t.node", "t.sketch")
+    places = texts.select("doc", "node", F.explode("sketch.bands").alias("band"))
+    several = places.groupBy("band").agg(
+        F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("many")).where("low < high")
+    places = written(places.join(several.select("band", "many"), "band").select("band", "doc", "many"), "places")
+    shared = places.groupBy("doc").agg(F.sum("many").alias("shared"))
+    signs = [F.col("sketch.sig")[i].alias(f"s{i}") for i in range(longs)]
+    met_texts = written(texts.join(shared, "doc").select("doc", "node", "shared", F.col("sketch.n").alias("n"), *signs), "met-texts")
+    narrow = places.select("band", "doc")
+
+    text = F.struct("doc", "node", "part", "n", *[f"s{i}" for i in range(longs)])
     for turn in range(ROUNDS + 1):
-        named = components(known)
-        labelled = places.join(named, places["node"] == named["node"], "left").select(
-            "band", "doc", "n", places["node"], F.coalesce("component", places["node"]).alias("part"))
-        labelled = written(labelled, "labelled")
-        one = F.min_by(F.struct("doc", "n", "node", "part"), F.xxhash64("doc", F.lit(turn))).alias("one")
-        leader = labelled.groupBy("band").agg(one, F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
-        # Of two texts in different parts, one at least is not in the leader's.
-        apart = labelled.join(leader.select("band", "one"), "band").where("part <> one.part")
-        a = apart.select("band", F.struct("doc", "n", "node", "part").alias("x"), F.col("one").alias("y"))
-        if turn == ROUNDS:
-            b = labelled.select(F.col("band").alias("b_band"), F.struct("doc", "n", "node", "part").alias("y"))
-            a = a.drop("y").join(b, (F.col("band") == F.col("b_band")) & (F.col("x.part") != F.col("y.part")) & alike("x", "y", similarity))
-        met = a.where(alike("x", "y", similarity)).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-        met = written(met.distinct().select(
-            F.col("x.doc").alias("a_doc"), F.col("y.doc").alias("b_doc"), F.col("x.node").alias("a"), F.col("y.node").alias("b")), "met")
-        known = known.unionByName(verified(docs, met, similarity, text_col, words))
-        known = written(known, "links")
+        with scratch():
+            named = components(known).withColumnRenamed("node", "named")
+            info = met_texts.join(named, F.col("node") == F.col("named"), "left").withColumn(
+                "part", F.coalesce("component", "node")).drop("named", "component")
+            labelled = written(narrow.join(info, "doc").select("band", "part", "shared", text.alias("x")), "labelled")
+            order = F.col("shared") if turn == 0 else F.xxhash64("x.doc", F.lit(turn)).bitwiseAND(F.lit((1 << 62) - 1))
+            leader = labelled.groupBy("band").agg(
+                F.max_by("x", F.struct(order, F.col("x.doc"))).alias("y"), F.min("part").alias("low"), F.max("part").alias("high"),
+            ).where("low < high")
+            near = (F.col("x.part") != F.col("y.part")) & alike("x", "y", similarity) & (unlike("x", "y", longs) <= most)
+            if turn < ROUNDS:
+                led = leader.select(F.col("band").alias("of"), "y")
+                met = labelled.join(led, (F.col("band") == F.col("of")) & near)
+                # The most alike of the texts that a text has met; the others have their turn.
+                met = met.groupBy("x.doc").agg(F.min_by(F.struct("x", "y"), F.struct(unlike("x", "y", longs), F.col("y.doc"))).alias("p"))
+                met = met.select("p.x", "p.y")
+                met = written(met.select(F.col("x.doc").alias("a_doc"), F.col("y.doc").alias("b_doc"),
+                                         F.col("x.node").alias("a"), F.col("y.node").alias("b")), "met")
+                wanted = met.select(F.col("a_doc").alias("wanted")).union(met.select("b_doc")).distinct()
+                sets = shingle_sets(docs, wanted, text_col, words)
+            else:
+                left = written(labelled.join(leader.select("band"), "band", "left_semi").select("band", "x"), "left")
+                other = left.select(F.col("band").alias("of"), F.col("x").alias("y"))
+                company = left.join(other, (F.col("band") == F.col("of")) & near, "left_semi")
+                wanted = company.select(F.col("x.doc").alias("wanted")).distinct()
+                sets = shingle_sets(docs, wanted, text_col, words, LONG_PLACES)
+                met = written(meetings(left, sets, similarity), "met")
+            found, folder = stored(verified(met, sets, similarity), "links")
+        passing(docs.sparkSession, folder)
+        known = known.unionByName(found)
     return known
 
 
@@ -125,23 +191,63 @@ def alike(x: str, y: str, similarity: float) -> Column:
     return F.least(n, m) >= F.greatest(n, m) * F.lit(similarity) - F.lit(1e-9)
 
 
-def verified(docs: DataFrame, met: DataFrame, similarity: float, text_col: str, words: int) -> DataFrame:
-    """``a``, ``b`` of the pairs whose texts are similar."""
+def unlike(x: str, y: str, longs: int) -> Column:
+    """Places in which two signatures differ."""
+    total = F.lit(0)
+    for i in range(longs):
+        apart = F.col(f"{x}.s{i}").bitwiseXOR(F.col(f"{y}.s{i}"))
+        total = total + F.bit_count(apart.bitwiseOR(F.shiftrightunsigned(apart, 1)).bitwiseAND(F.lit(LOWER)))
+    return total
 
-    def each(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+
+def shingle_sets(docs: DataFrame, wanted: DataFrame, text_col: str, words: int, places: int = 0) -> DataFrame:
+    """``doc``, ``set`` (hashes of its shingles) and ``sig`` (a signature of so many places) of the ``wanted`` texts, as a table."""
+
+    def each(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
-            yield pd.Series([shingle_hashes(t, words).view(np.int64) for t in batch], dtype=object)
+            found = [shingle_hashes(t, words) for t in batch]
+            signs = [signature(least_values(x, places)) if places else np.zeros(0, np.int64) for x in found]
+            yield pd.DataFrame({"set": [x.view(np.int64) for x in found], "sig": signs})
 
-    wanted = written(met.select(F.col("a_doc").alias("wanted")).union(met.select("b_doc")).distinct(), "wanted")
+    wanted = written(wanted, "wanted")
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
     # Any of several equal texts will do.
     texts = docs.select(text_hash(text_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     held = texts.join(wanted, F.col("doc") == F.col("wanted"), "left_semi").select(
-        "doc", F.pandas_udf(each, "array<long>")(F.col("t")).alias("set"))
-    held = written(held.groupBy("doc").agg(F.first("set").alias("set")), "sets")
-    left = held.select(F.col("doc").alias("a_doc"), F.col("set").alias("a_set"))
-    right = held.select(F.col("doc").alias("b_doc"), F.col("set").alias("b_set"))
+        "doc", F.pandas_udf(each, "set array<long>, sig array<long>")(F.col("t")).alias("s"))
+    return written(held.groupBy("doc").agg(F.first("s").alias("s")).select("doc", "s.set", "s.sig"), "sets")
+
+
+def meetings(left: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of the texts ``x`` of a ``band``, in different parts, that ``sets`` allow to be similar."""
+    longs = LONG_PLACES // PLACES
+    shingles = sets.select("doc", F.explode("set").alias("shingle"))
+    own = shingles.groupBy("shingle").agg(
+        F.count("*").alias("times"), F.min("doc.h").alias("h"), F.min("doc.i").alias("i")).where("times = 1")
+    alone = own.groupBy("h", "i").agg(F.count("*").alias("alone")).select(F.struct("h", "i").alias("whose"), "alone")
+    signs = [F.col("sig")[i].alias(f"s{i}") for i in range(longs)]
+    known = sets.join(alone, F.col("doc") == F.col("whose"), "left").select(
+        "doc", F.size("set").alias("n"), (F.size("set") - F.coalesce("alone", F.lit(0))).alias("common"), *signs)
+    # A text whose shingles are too much its own is similar to none of the others.
+    known = known.where(F.col("common") >= F.col("n") * F.lit(similarity) - F.lit(1e-9))
+    texts = left.select("band", F.col("x.doc").alias("doc"), F.col("x.node").alias("node"), F.col("x.part").alias("part")).join(
+        known, "doc").select("band", F.struct("doc", "node", "part", "n", "common", *[f"s{i}" for i in range(longs)]).alias("x"))
+    texts = written(texts, "band-texts")
+    other = texts.select(F.col("band").alias("of"), F.col("x").alias("y"))
+    common = F.least("x.common", "y.common")
+    near = (F.col("x.part") != F.col("y.part")) & alike("x", "y", similarity) & (
+        common >= (F.col("x.n") + F.col("y.n") - common) * F.lit(similarity) - F.lit(1e-9)
+    ) & (unlike("x", "y", longs) <= tolerance(similarity, LONG_PLACES))
+    met = texts.join(other, (F.col("band") == F.col("of")) & (F.col("x.doc") < F.col("y.doc")) & near)
+    return met.select(F.col("x.doc").alias("a_doc"), F.col("y.doc").alias("b_doc"),
+                      F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
+def verified(met: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """``a``, ``b`` of the pairs ``met`` whose ``sets`` are similar."""
+    left = sets.select(F.col("doc").alias("a_doc"), F.col("set").alias("a_set"))
+    right = sets.select(F.col("doc").alias("b_doc"), F.col("set").alias("b_set"))
     both = met.join(left, "a_doc").join(right, "b_doc")
     shared = F.size(F.array_intersect("a_set", "b_set"))
     return both.where(shared >= (F.size("a_set") + F.size("b_set") - shared) * F.lit(similarity) - F.lit(1e-9)).select("a", "b")

@@ -2,17 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..workspace import new_folder
+from ..workspace import new_folder, remove_folder
+
+#: Folders of the innermost scope, to be removed at its end; none outside of all scopes.
+_folders: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("folders", default=None)
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """A scope whose tables (:func:`written`) are removed at its end, also after a failure.
+
+    What is wanted later has to be :func:`stored` inside. Without a scope tables stay.
+    """
+    made: list[tuple[SparkSession, str]] = []
+    outer = _folders.set(made)
+    try:
+        yield
+    finally:
+        _folders.reset(outer)
+        for spark, folder in made:
+            remove_folder(spark, folder)
+
+
+def passing(spark: SparkSession, folder: str) -> None:
+    """Let the innermost scope, if there is one, remove the folder."""
+    made = _folders.get()
+    if made is not None:
+        made.append((spark, folder))
 
 
 def written(df: DataFrame, purpose: str, compression: str | None = None) -> DataFrame:
-    """The rows as a table in the shared folder, read back."""
+    """The rows as a table in the shared folder, read back; it lasts as long as the scope."""
+    table, folder = stored(df, purpose, compression)
+    passing(df.sparkSession, folder)
+    return table
+
+
+def stored(df: DataFrame, purpose: str, compression: str | None = None) -> tuple[DataFrame, str]:
+    """The rows as a table in the shared folder that outlives the scope, read back; and the folder."""
     folder = new_folder(df.sparkSession, purpose)
     df.write.parquet(folder, compression=compression)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder), folder
 
 
 def free_name(df: DataFrame, wanted: str) -> str:
@@ -31,8 +68,8 @@ def text_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
 def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose :func:`text_key` is not in the one column of ``gone``.
 
-    ``gone`` is written first, so Spark knows its size: a small one is broadcast and the texts stay where they are.
+    ``gone`` is a table, so Spark knows its size: a small one is broadcast and the texts stay where they are.
     """
     name = free_name(docs, "gone")
-    keys = written(gone.toDF(name).distinct(), "gone")
+    keys = gone.toDF(name)
     return docs.join(keys, text_key(id_col, text_col) == F.col(name), "left_anti")
