@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silofeed.llm import exact_dedup, language_id, packing, secret_scan, simhash
-from silofeed.llm.tables import written
+from silofeed.llm.tables import passing, scratch, stored
+from silofeed.workspace import remove_folder
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,6 +55,13 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage over the documents of a folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+        with scratch():
+            if before:  # goes, with the stage's own tables, once the next one is there
+                passing(spark, before)
+            docs, before = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    try:
+        return STAGES[-1][1](spark, docs, sf_dir)
+    finally:  # by now the texts are tables of ids
+        remove_folder(spark, before)
