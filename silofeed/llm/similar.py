@@ -31,8 +31,9 @@ ROWS = 4
 SEED = 42
 #: Share of the similar texts that meet and whose signatures differ in too many places.
 MISSED = 1e-6
-#: Shingles that are hashed at once, and rounds at most in which a band's texts meet one of them only.
-CHUNK = 1 << 11
+#: Values that are hashed at once, texts whose sets are held at once, and rounds in which a band's texts meet one of them only.
+CHUNK = 1 << 17
+TEXTS = 500
 ROUNDS = 2
 #: Places of the longer signatures.
 LONG_PLACES = 512
@@ -67,8 +68,9 @@ def least_values(hashes: np.ndarray, count: int) -> np.ndarray:
     """The least value of each hash function over the shingles."""
     keys = keys_of(count)
     least = np.full(count, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), CHUNK):
-        x = (hashes[at : at + CHUNK] ^ keys[:, :1]) * (keys[:, 1:] | np.uint64(1))
+    some = CHUNK // count
+    for at in range(0, len(hashes), some):
+        x = (hashes[at : at + some] ^ keys[:, :1]) * (keys[:, 1:] | np.uint64(1))
         x ^= x >> np.uint64(32)
         x *= np.uint64(0x9E3779B97F4A7C15)
         least = np.minimum(least, x.min(axis=1))
@@ -205,9 +207,10 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, text_col: str, words: int,
 
     def each(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
-            found = [shingle_hashes(t, words) for t in batch]
-            signs = [signature(least_values(x, places)) if places else np.zeros(0, np.int64) for x in found]
-            yield pd.DataFrame({"set": [x.view(np.int64) for x in found], "sig": signs})
+            for at in range(0, len(batch), TEXTS):
+                found = [shingle_hashes(t, words) for t in batch.iloc[at : at + TEXTS]]
+                signs = [signature(least_values(x, places)) if places else np.zeros(0, np.int64) for x in found]
+                yield pd.DataFrame({"set": [x.view(np.int64) for x in found], "sig": signs})
 
     wanted = written(wanted, "wanted")
     if wanted.count() <= BROADCAST_ROWS:
