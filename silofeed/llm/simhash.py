@@ -145,6 +145,6 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     keyed = docs.withColumn(key, text_key(id_col, text_col))
     with scratch():
         found = near_duplicates(keyed, key, text_col, words, distance, similarity, similar_words)
-        gone, folder = stored(found.where(F.col(key) != F.col("component_id")).select(key).distinct(), "gone")
+        gone, folder = stored(found.where(F.col(key) != F.col("component_id")).select(key), "copies")
     passing(docs.sparkSession, folder)
     return without(docs, gone, id_col, text_col)
