@@ -37,51 +37,74 @@ CLASSES = 256
 #: Simplex steps; fewer than the program needs cost patterns, not correctness.
 STEPS = 4000
 #: Words that a worker remembers with their ids before it starts over, twice, and characters that are encoded together.
-REMEMBERED = 3 << 16
+REMEMBERED = 3 << 17
+TOGETHER = 1 << 20
 #: Rows of a batch that are worked on at once.
 ROWS = 500
 TOGETHER = 1 << 20
 
 
 class WordCoder:
-    """Ids of texts by a vocabulary of the tokenizers library that drops white space; words are encoded once."""
+    """Ids of texts by a vocabulary of the tokenizers library that drops white space.
+
+    The library encodes the words that are new in one call, with a mark between them that has an id of its own. Spellings
+    in capitals share an entry where lowering is plain, and a word with marks behind it that of the word.
+    """
 
-    #: Separators that only Python takes as white space, and what may be a special token: such texts go as a whole.
-    IRREGULAR = re.compile(r"[\x1c-\x1f]|<\|")
-    #: Letters whose case and composition are plain, and the marks behind them, which the library encodes apart.
-    WORD = re.compile(r"([a-zßà-öø-ÿ]+)([^\w\s]*)")
+    #: Stands between words; texts that hold it go to the library as a whole.
+    MARK = "\x01"
+    #: The mark, and separators that only Python takes as white space.
+    IRREGULAR = re.compile(r"[\x01\x1c-\x1f]")
+    #: Letters whose case and composition may depend on what stands around them.
+    WIDE = re.compile(r"[^\x00-\xff]")
+    #: Letters that are one word for the library, in the form that it gives them.
+    LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
+    #: Marks that are words of their own behind letters.
+    BEHIND = ".,;:!?"
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        #: Ids of what stands between white space, and of the words and marks that it consists of.
+        #: The same for words of letters, which need neither changes nor cutting.
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        for each in (self.library, self.plain):
+            each.no_truncation()
+            each.no_padding()
+        self.between = self.library.encode(self.MARK, add_special_tokens=False).ids
+        #: Ids of words; what was known before the last start-over and is met again is taken from there.
         self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
-        #: What was known before the last start-over; what is met again is taken from there.
-        self.older_known: dict[str, bytes] = {}
-        self.older_parts: dict[str, bytes] = {}
-
-    def library_ids(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", x.ids).tobytes() for x in found]
-
-    def learn(self, chunks: set[str]) -> None:
-        cut: dict[str, tuple[str, ...]] = {}
-        for chunk in chunks:
-            if chunk in self.older_known:
-                self.known[chunk] = self.older_known[chunk]
-                continue
-            plain = self.WORD.fullmatch(chunk.lower())
-            cut[chunk] = plain.groups() if plain else (chunk,)
-        parts = {part for parts in cut.values() for part in parts if part not in self.parts}
-        self.parts.update((part, self.older_parts[part]) for part in parts if part in self.older_parts)
-        unseen = [part for part in parts if part not in self.older_parts]
-        self.parts.update(zip(unseen, self.library_ids(unseen), strict=True))
-        self.known.update((chunk, b"".join([self.parts[p] for p in parts])) for chunk, parts in cut.items())
+        self.older: dict[str, bytes] = {}
+
+    def whole(self, text: str) -> bytes:
+        return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def words(self, library, words: list[str]) -> list[bytes]:
+        """Ids of each of many words, by one call."""
+        if not words:
+            return []
+        if len(self.between) == 1:
+            joined = f" {self.MARK} ".join(words)
+            ids = np.array(library.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+            stops = np.flatnonzero(ids == self.between[0])
+            if len(stops) == len(words) - 1:
+                packed, stops = ids.tobytes(), (4 * stops).tolist()
+                return [packed[i:j] for i, j in zip([0, *(s + 4 for s in stops)], [*stops, len(packed)], strict=True)]
+        return [self.whole(word) for word in words]
+
+    def learn(self, unseen: set[str]) -> None:
+        """Adds words to what is known."""
+        old = [word for word in unseen if word in self.older]
+        self.known.update((word, self.older[word]) for word in old)
+        unseen.difference_update(old)
+        letters = [word for word in unseen if self.LETTERS.fullmatch(word)]
+        others = list(unseen.difference(letters))
+        self.known.update(zip(letters, self.words(self.plain, letters), strict=True))
+        self.known.update(zip(others, self.words(self.library, others), strict=True))
 
     def encode_all(self, texts: list[str]) -> Iterator[bytes]:
         some: list[str] = []
@@ -95,13 +118,25 @@ class WordCoder:
         yield from self._encode(some)
 
     def _encode(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.known) + len(self.parts) > REMEMBERED:
-            self.older_known, self.older_parts = self.known, self.parts
-            self.known, self.parts = {}, {"": b""}
-        cut = [None if self.IRREGULAR.search(t) else t.split() for t in texts]
-        self.learn({w for words in cut if words for w in words if w not in self.known})
+        if len(self.known) > REMEMBERED:
+            self.older, self.known = self.known, {}
+        known = self.known
+        cut = [None if "<|" in t or self.IRREGULAR.search(t) else (t if self.WIDE.search(t) else t.lower()).split()
+               for t in texts]
+        unseen, marked = set(), []
+        for chunk in set().union(*filter(None, cut)).difference(known):
+            word = chunk.rstrip(self.BEHIND)
+            if word != chunk and self.LETTERS.match(word[-1:]):
+                marked.append((chunk, word, chunk[len(word):]))
+            else:
+                unseen.add(chunk)
+        unseen.update(part for _, *parts in marked for part in parts if part not in known)
+        self.learn(unseen)
+        known.update([(chunk, known[word] + known[marks]) for chunk, word, marks in marked])
         for text, words in zip(texts, cut, strict=True):
-            yield self.library_ids([text])[0] if words is None else b"".join([self.known[w] for w in words])
+            yield self.whole(text) if words is None else b"".join([known[w] for w in words])
+        for chunk, *_ in marked:
+            del known[chunk]
 
 
 @lru_cache(maxsize=2)
