@@ -71,10 +71,14 @@ def test_a_hot_first_key_column_is_split_by_the_second(spark, database):
         ("DATE", [datetime.date(2024, 1, 1) + datetime.timedelta(i) for i in range(60)]),
         ("TIMESTAMP", [datetime.datetime(2024, 1, 1, 0, 0, 0, i) for i in range(60)]),
         ("NUMERIC(12,2)", [Decimal(i) / 4 for i in range(60)]),
+        ("DOUBLE", [i / 10 - 3 for i in range(58)] + [1e300, -1e-300]),
+        ("REAL", [i / 8 for i in range(60)]),
+        ("VARCHAR(8) FOR BIT DATA", [bytes([i, 255 - i]) for i in range(60)]),
     ],
 )
 def test_keys_of_other_types(spark, database, ddl, values):
-    kind = {"VARCHAR(20)": "string", "DATE": "date", "TIMESTAMP": "timestamp_ntz", "NUMERIC(12,2)": "decimal(12,2)"}
+    kind = {"VARCHAR(20)": "string", "DATE": "date", "TIMESTAMP": "timestamp_ntz", "NUMERIC(12,2)": "decimal(12,2)",
+            "DOUBLE": "double", "REAL": "float", "VARCHAR(8) FOR BIT DATA": "binary"}
     df = spark.createDataFrame([(v,) for v in values], f"id {kind[ddl]}")
     source = filled(spark, database, f'"id" {ddl} NOT NULL PRIMARY KEY', df)
     scan = read_table(spark, source, T, partitions=5)
@@ -201,3 +205,68 @@ def test_copy_between_sources(spark, sf_dir, database, tmp_path):
     customer.limit(0).write.parquet(f"{tmp_path}/copy")
     copy_table(spark, source, T, lake, TableRef("copy"), partitions=3)
     assert rows(spark.read.parquet(f"{tmp_path}/copy")) == rows(customer)
+
+
+def test_a_table_without_a_key_is_cut_by_its_columns(spark, database):
+    # Two thirds of the rows share a value of the first column; the second is mostly null; the third is repeated.
+    df = spark.range(600).selectExpr("CASE WHEN id % 3 > 0 THEN 'hot' ELSE 'cold' END AS a", "CASE WHEN id < 9 THEN id END AS b",
+                                     "CAST(id % 200 AS DOUBLE) AS c", "id AS d")
+    source = filled(spark, database, '"a" VARCHAR(9), "b" BIGINT, "c" DOUBLE, "d" BIGINT', df)
+    scan = read_table(spark, source, T, partitions=6)
+    assert rows(scan) == rows(df) and partition_sizes(scan) == [100] * 6
+    source = filled(spark, database, '"a" CLOB', spark.sql("SELECT CAST(id AS STRING) AS a FROM range(20)"))
+    assert read_table(spark, source, T, partitions=6).rdd.getNumPartitions() == 1
+    equal = filled(spark, database, '"a" BIGINT', spark.range(40).selectExpr("1L AS a"))
+    assert rows(read_table(spark, equal, T, partitions=4)) == [(1,)] * 40
+
+
+def test_numbers_that_are_not_finite_are_no_cuts(spark, database, monkeypatch):
+    from pyspark.sql import Row
+
+    from silofeed.sources import jdbc
+
+    source = filled(spark, database, '"id" DOUBLE', spark.range(9).selectExpr("CAST(id AS DOUBLE) AS id"))
+    cuts = [Row(rn=2, id=1.0), Row(rn=3, id=float("nan")), Row(rn=4, id=float("inf"))]
+    monkeypatch.setattr(jdbc, "query", lambda *_: spark.createDataFrame(cuts))
+    parts = split_by_key(spark, source, T, ["id"], 3)
+    assert len(parts) == 2 and all("1.0E0" in part for part in parts)
+
+
+def test_binary_and_floating_literals():
+    from silofeed.sources.jdbc import _literal
+
+    derby, postgres = SourceConfig("jdbc", "jdbc:derby:x"), SourceConfig("jdbc", "jdbc:postgresql://h/x")
+    assert _literal(derby, b"\x01\xff") == "X'01FF'" and _literal(postgres, b"\x01\xff") == "'\\x01FF'::bytea"
+    assert [_literal(derby, v) for v in (0.1, 1e300, -2.0)] == ["0.1E0", "1e+300", "-2.0E0"]
+
+
+def test_tables_without_a_schema_are_those_of_the_current_one(spark, database):
+    source = database('CREATE SCHEMA "s"', 'CREATE TABLE "s"."t" ("theirs" INT)', 'CREATE TABLE "t" ("mine" INT)')
+    assert rows(describe_tables(spark, source, tables=["t"]), "column") == [("mine",)]
+    assert read_table(spark, source, TableRef("t")).columns == ["mine"]
+
+
+def test_names_with_wildcards_and_lengths_of_types(spark, database):
+    source = database(
+        'CREATE SCHEMA "a_b"', 'CREATE SCHEMA "axb"', 'CREATE TABLE "axb"."t%" ("other" INT)', 'CREATE TABLE "a_b"."txx" ("no" INT)',
+        'CREATE TABLE "a_b"."t%" ("c_1" CHAR(3) FOR BIT DATA, "v" VARCHAR(5) FOR BIT DATA, "d" DECIMAL(7,3), "x" DOUBLE NOT NULL, '
+        '"k" INT NOT NULL PRIMARY KEY)',
+    )
+    found = describe_tables(spark, source, "a_b", ["t%"])
+    assert rows(found, "ordinal", "column", "type_name", "nullable", "primary_key") == [
+        (1, "c_1", "CHAR(3) FOR BIT DATA", True, False), (2, "v", "VARCHAR(5) FOR BIT DATA", True, False),
+        (3, "d", "DECIMAL(7,3)", True, False), (4, "x", "DOUBLE", False, False), (5, "k", "INTEGER", False, True)]
+    assert rows(list_tables(spark, source, "a_b"), "table") == [("t%",), ("txx",)]
+    assert describe_tables(spark, source, "a_b", ["none"]).isEmpty()
+
+
+def test_metadata_needs_no_queries_of_a_catalog(spark, database, monkeypatch):
+    from silofeed.sources import metadata
+
+    source = database('CREATE SCHEMA "s"', 'CREATE TABLE "s"."t" ("id" BIGINT NOT NULL PRIMARY KEY)')
+    monkeypatch.setattr(metadata, "query", lambda *_: pytest.fail("a catalog was queried"))
+    assert rows(describe_tables(spark, source, "s"), "column", "primary_key") == [("id", True)]
+    assert rows(list_tables(spark, source, "s"), "table") == [("t",)]
+    assert ("s",) in rows(list_schemas(spark, source), "schema")
+    asked = SourceConfig(source.type, source.url, options={"metadata": "information_schema"})
+    assert asked.catalog_queries and "metadata" not in asked.connection_options()
