@@ -17,6 +17,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 import pandas as pd
@@ -38,10 +39,10 @@ CLASSES = 256
 STEPS = 4000
 #: Words that a worker remembers with their ids before it starts over, twice, and characters that are encoded together.
 REMEMBERED = 3 << 17
-TOGETHER = 1 << 20
+TOGETHER = 1 << 21
 #: Rows of a batch that are worked on at once.
 ROWS = 500
-TOGETHER = 1 << 20
+TOGETHER = 1 << 21
 
 
 class WordCoder:
@@ -59,6 +60,7 @@ class WordCoder:
     WIDE = re.compile(r"[^\x00-\xff]")
     #: Letters that are one word for the library, in the form that it gives them.
     LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
+    LAST = frozenset(filter(LETTERS.fullmatch, map(chr, range(256))))
     #: Marks that are words of their own behind letters.
     BEHIND = ".,;:!?"
 
@@ -123,19 +125,19 @@ class WordCoder:
         known = self.known
         cut = [None if "<|" in t or self.IRREGULAR.search(t) else (t if self.WIDE.search(t) else t.lower()).split()
                for t in texts]
-        unseen, marked = set(), []
-        for chunk in set().union(*filter(None, cut)).difference(known):
-            word = chunk.rstrip(self.BEHIND)
-            if word != chunk and self.LETTERS.match(word[-1:]):
-                marked.append((chunk, word, chunk[len(word):]))
-            else:
-                unseen.add(chunk)
-        unseen.update(part for _, *parts in marked for part in parts if part not in known)
-        self.learn(unseen)
-        known.update([(chunk, known[word] + known[marks]) for chunk, word, marks in marked])
+        new: set[str] = set()
+        for words in filter(None, cut):
+            new.update(filterfalse(known.__contains__, words))
+        # Words with marks behind them, cut after the last letter that is surely one for the library.
+        marked = {chunk: word for chunk in new if (word := chunk.rstrip(self.BEHIND)) != chunk and word[-1:] in self.LAST}
+        new.difference_update(marked)
+        new.update(filterfalse(known.__contains__, marked.values()))
+        new.update({chunk[len(word):] for chunk, word in marked.items()}.difference(known))
+        self.learn(new)
+        known.update({chunk: known[word] + known[chunk[len(word):]] for chunk, word in marked.items()})
         for text, words in zip(texts, cut, strict=True):
-            yield self.whole(text) if words is None else b"".join([known[w] for w in words])
-        for chunk, *_ in marked:
+            yield self.whole(text) if words is None else b"".join(map(known.__getitem__, words))
+        for chunk in marked:
             del known[chunk]
 
 
