@@ -11,6 +11,7 @@ split by powers of two, which need no padding.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 import zlib
@@ -22,6 +23,7 @@ from itertools import filterfalse
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,66 +39,72 @@ SEQUENCE = 4096
 CLASSES = 256
 #: Simplex steps; fewer than the program needs cost patterns, not correctness.
 STEPS = 4000
-#: Words that a worker remembers with their ids before it starts over, twice, and characters that are encoded together.
+#: Words that a worker remembers with their ids before it starts over, twice.
 REMEMBERED = 3 << 17
-TOGETHER = 1 << 21
+#: Bytes of texts that are encoded together, and new words that one call of the library encodes.
+TOGETHER = 1 << 23
+AT_ONCE = 1 << 15
 #: Rows of a batch that are worked on at once.
 ROWS = 500
-TOGETHER = 1 << 21
 
 
 class WordCoder:
     """Ids of texts by a vocabulary of the tokenizers library that drops white space.
 
-    The library encodes the words that are new in one call, with a mark between them that has an id of its own. Spellings
-    in capitals share an entry where lowering is plain, and a word with marks behind it that of the word.
+    Many texts are cut into words together, so that a word is looked up once for all of them. The library encodes the
+    words that are new in a few calls, with a mark between them that has an id of its own. Spellings in capitals share an
+    entry where lowering is plain, and a word with marks behind it that of the word.
     """
 
-    #: Stands between words; texts that hold it go to the library as a whole.
-    MARK = "\x01"
-    #: The mark, and separators that only Python takes as white space.
-    IRREGULAR = re.compile(r"[\x01\x1c-\x1f]")
-    #: Letters whose case and composition may depend on what stands around them.
-    WIDE = re.compile(r"[^\x00-\xff]")
+    #: Texts that go to the library as a whole: with its own tokens, the mark, or what only Python takes as white space.
+    IRREGULAR = r"<\||[\x01\x1c-\x1f]"
+    #: Letters whose case and composition may depend on what stands around them, and white space that is not ASCII's.
+    WIDE = r"[^\x00-\x{84}\x{86}-\x{9f}\x{a1}-\x{ff}]"
     #: Letters that are one word for the library, in the form that it gives them.
     LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
     LAST = frozenset(filter(LETTERS.fullmatch, map(chr, range(256))))
-    #: Marks that are words of their own behind letters.
-    BEHIND = ".,;:!?"
+    #: Marks that are words of their own behind letters, however many there are.
+    BEHIND = ".,;:!?#$%&*"
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
-        #: The same for words of letters, which need neither changes nor cutting.
+        #: The same for words of letters, which need no changes but that of their bytes into the vocabulary's letters.
         self.plain = Tokenizer.from_file(path)
         self.plain.normalizer = normalizers.Sequence([])
-        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
-            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         for each in (self.library, self.plain):
             each.no_truncation()
             each.no_padding()
-        self.between = self.library.encode(self.MARK, add_special_tokens=False).ids
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        #: What is written for the bytes of a letter; none of it is such a letter again.
+        self.letters = {c: level.pre_tokenize_str(c)[0][0] for c in self.LAST if not c.isascii()}
+        self.marks = np.isin(np.arange(256), np.frombuffer(self.BEHIND.encode(), np.uint8))
         #: Ids of words; what was known before the last start-over and is met again is taken from there.
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def words(self, library, words: list[str]) -> list[bytes]:
-        """Ids of each of many words, by one call."""
-        if not words:
-            return []
-        if len(self.between) == 1:
-            joined = f" {self.MARK} ".join(words)
+    def words(self, library, words: list[str], mark: str) -> Iterator[bytes]:
+        """Ids of each of many words; none holds the mark."""
+        between = library.encode(mark, add_special_tokens=False).ids
+        for at in range(0, len(words), AT_ONCE):
+            some = words[at : at + AT_ONCE]
+            joined = f" {mark} ".join(some)
+            if library is self.plain and not joined.isascii():
+                for letter, written_as in self.letters.items():
+                    joined = joined.replace(letter, written_as)
             ids = np.array(library.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
-            stops = np.flatnonzero(ids == self.between[0])
-            if len(stops) == len(words) - 1:
-                packed, stops = ids.tobytes(), (4 * stops).tolist()
-                return [packed[i:j] for i, j in zip([0, *(s + 4 for s in stops)], [*stops, len(packed)], strict=True)]
-        return [self.whole(word) for word in words]
+            stops = np.flatnonzero(ids == between[0]) if len(between) == 1 else ()
+            if len(stops) == len(some) - 1:
+                packed, stops = ids.tobytes(), [4 * stop for stop in stops]
+                yield from (packed[i:j] for i, j in zip([0, *(s + 4 for s in stops)], [*stops, len(packed)], strict=True))
+            else:
+                yield from map(self.whole, some)
 
     def learn(self, unseen: set[str]) -> None:
         """Adds words to what is known."""
@@ -105,40 +113,79 @@ class WordCoder:
         unseen.difference_update(old)
         letters = [word for word in unseen if self.LETTERS.fullmatch(word)]
         others = list(unseen.difference(letters))
-        self.known.update(zip(letters, self.words(self.plain, letters), strict=True))
-        self.known.update(zip(others, self.words(self.library, others), strict=True))
+        self.known.update(zip(letters, self.words(self.plain, letters, "!"), strict=True))
+        self.known.update(zip(others, self.words(self.library, others, "\x01"), strict=True))
 
-    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
-        some: list[str] = []
-        size = 0
-        for text in texts:
-            some.append(text)
-            size += len(text)
-            if size >= TOGETHER:
-                yield from self._encode(some)
-                some, size = [], 0
-        yield from self._encode(some)
-
-    def _encode(self, texts: list[str]) -> Iterator[bytes]:
+    def ids_of(self, words: list[str]) -> list[bytes]:
+        """Ids of each of many different words of regular texts."""
         if len(self.known) > REMEMBERED:
-            self.older, self.known = self.known, {}
+            self.older, self.known = self.known, {"": b""}
         known = self.known
-        cut = [None if "<|" in t or self.IRREGULAR.search(t) else (t if self.WIDE.search(t) else t.lower()).split()
-               for t in texts]
-        new: set[str] = set()
-        for words in filter(None, cut):
-            new.update(filterfalse(known.__contains__, words))
+        found = list(map(known.get, words))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        new = {words[i] for i in missing}
         # Words with marks behind them, cut after the last letter that is surely one for the library.
         marked = {chunk: word for chunk in new if (word := chunk.rstrip(self.BEHIND)) != chunk and word[-1:] in self.LAST}
         new.difference_update(marked)
         new.update(filterfalse(known.__contains__, marked.values()))
         new.update({chunk[len(word):] for chunk, word in marked.items()}.difference(known))
         self.learn(new)
-        known.update({chunk: known[word] + known[chunk[len(word):]] for chunk, word in marked.items()})
-        for text, words in zip(texts, cut, strict=True):
-            yield self.whole(text) if words is None else b"".join(map(known.__getitem__, words))
-        for chunk in marked:
-            del known[chunk]
+        for i in missing:
+            chunk = words[i]
+            word = marked.get(chunk, chunk)
+            found[i] = known[word] if word is chunk else known[word] + known[chunk[len(word):]]
+        return found
+
+    def encode(self, texts: pa.Array, end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, end to end, and how many each has; each text's are followed by ``end``."""
+        texts = pc.fill_null(texts, "")
+        irregular = pc.match_substring_regex(texts, self.IRREGULAR)
+        regular = pc.if_else(irregular, "", texts)
+        wide = pc.match_substring_regex(regular, self.WIDE)
+        spaced = [" ".join(text.split()) for text in regular.filter(wide).to_pylist()]
+        lowered = pc.replace_with_mask(pc.utf8_lower(regular), wide, pa.array(spaced, texts.type))
+        cut = pc.ascii_split_whitespace(self._apart(lowered))
+        coded = cut.flatten().dictionary_encode()
+        wholes = [self.whole(text) for text in texts.filter(irregular).to_pylist()]
+        entries = [*self.ids_of(coded.dictionary.to_pandas(deduplicate_objects=False).tolist()), end, *(ids + end for ids in wholes)]
+        # Behind each text's words stands the entry of the end, or that of an irregular text as a whole.
+        last = np.full(len(texts), len(coded.dictionary))
+        last[irregular.to_numpy(zero_copy_only=False)] += np.arange(1, len(wholes) + 1)
+        codes = np.insert(coded.indices.to_numpy(), np.cumsum(pc.list_value_length(cut).to_numpy()), last)
+        sizes = np.fromiter(map(len, entries), np.int64, len(entries)) // 4
+        starts = np.cumsum(sizes) - sizes
+        lengths = sizes[codes]
+        before = np.concatenate([[0], np.cumsum(lengths)])
+        ids = np.frombuffer(b"".join(entries), "<u4")[np.repeat(starts[codes] - before[:-1], lengths) + np.arange(before[-1])]
+        stops = before[np.cumsum(pc.list_value_length(cut).to_numpy().astype(np.int64) + 1)]
+        return ids, np.diff(stops, prepend=0)
+
+    def _apart(self, texts: pa.Array) -> pa.Array:
+        """Texts with a space between each letter from a to z and marks behind it, where the library cuts anyway."""
+        _, offsets, held = texts.buffers()
+        if held is None or not held.size:
+            return texts
+        ends = np.frombuffer(offsets, "<i4")[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(held, np.uint8)[ends[0] : ends[-1]]
+        ends = ends - ends[0]
+        at = np.flatnonzero(self.marks[data[1:]] & (data[:-1] >= ord("a")) & (data[:-1] <= ord("z"))) + 1
+        data = np.insert(data, at, ord(" "))
+        ends = (ends + np.searchsorted(at, ends)).astype(np.int32)
+        return pa.StringArray.from_buffers(len(texts), pa.py_buffer(ends), pa.py_buffer(data))
+
+    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
+        for some in _portions(pa.array(texts, pa.string())):
+            ids, sizes = self.encode(some)
+            for stop, size in zip(np.cumsum(sizes).tolist(), sizes.tolist(), strict=True):
+                yield ids[stop - size : stop].tobytes()
+
+
+def _portions(texts: pa.Array) -> Iterator[pa.Array]:
+    """Texts by about so many bytes at a time that are encoded together; a longer one is alone, or the last of a portion."""
+    stops = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    cuts = np.flatnonzero(np.diff(stops // TOGETHER)) + 1
+    for at, stop in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)], strict=True):
+        yield texts.slice(at, stop - at)
 
 
 @lru_cache(maxsize=2)
@@ -159,10 +206,17 @@ def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = coder(path)
         for batch in batches:
-            for some in _slices(batch):
-                texts = [t or "" for t in some.column(1).to_pylist()]
-                ids = [packed + end for packed in words.encode_all(texts)]
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(ids, pa.binary())], ["id", "ids"])
+            at = 0
+            for some in _portions(batch.column(1)):
+                ids, sizes = words.encode(some, end)
+                ends = np.concatenate([[0], 4 * np.cumsum(sizes)])
+                if ends[-1] < 1 << 31:
+                    packed = pa.Array.from_buffers(
+                        pa.binary(), len(some), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(ids)])
+                else:
+                    packed = pa.array([ids[i // 4 : j // 4].tobytes() for i, j in itertools.pairwise(ends.tolist())], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(some)), packed], ["id", "ids"])
+                at += len(some)
 
     kind = docs.schema[id_col].dataType.simpleString()
     encoded = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(each, f"id {kind}, ids binary")

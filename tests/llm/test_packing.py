@@ -5,6 +5,7 @@ from array import array
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -74,6 +75,24 @@ def test_ids_are_those_of_the_library(library):
         assert list(array("I", ids)) == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_words_of_many_texts_are_looked_up_once(library, monkeypatch):
+    monkeypatch.setattr(P, "TOGETHER", 2000)
+    rng = random.Random(4)
+    bits = ["cat", "Öl", "été", "straße", "don't", "a1b2", "x.y", " ", " ", "\n", ".", "...", "$$$", ",***", ".'s", "ÿ!", "\xa0", "中", "ΣΑΣ", "aΣ", "a.Σ", "İ.", "e\u0301", "\x85", "\u3000", "<|endoftext|>"]
+    texts = [None, "", " ", "***", *("".join(rng.choice(bits) for _ in range(rng.randint(0, 60))) for _ in range(500)), ".end", None]
+    coder, end = P.WordCoder(tokenizer_file(P.VOCABULARY)), np.array([P.SEPARATOR], "<u4").tobytes()
+    found = []
+    for some in P._portions(pa.array(texts)):
+        ids, sizes = coder.encode(some, end)
+        found += [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+    assert found == [[*library.encode(t or "", add_special_tokens=False).ids, P.SEPARATOR] for t in texts]
+
+    asked = []
+    monkeypatch.setattr(coder, "ids_of", lambda words: asked.append(sorted(words)) or [b""] * len(words))
+    coder.encode(pa.array(["cat. cat, Cat *** cat..."] * 50))
+    assert asked == [["***", ",", ".", "...", "cat"]]
+
+
 def test_cheapest_fill_against_brute_force():
     rng = np.random.default_rng(1)
     for _ in range(200):
