@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import free_name, text_key, without, written
+from .tables import free_name, short_batches, text_key, without, written
 from .workers import importable
 
 #: Labelled rows of each language that the text model is fitted on, as expected by hash; all, where there are fewer.
@@ -87,7 +87,8 @@ def fit(docs: DataFrame, text_col: str = "text", label_col: str = "lang", sample
                 yield pd.DataFrame({"at": at, "code": code, "n": totals.pop(at)[code]})
 
     counted = picked.mapInPandas(count, "at int, code int, n long").groupBy("at", "code").agg(F.sum("n").alias("n"))
-    rows = counted.toPandas()  # at most CODES rows for each language
+    with short_batches(spark):
+        rows = counted.toPandas()  # at most CODES rows for each language
     logs = np.zeros((CODES, len(languages) + 1), np.float32)
     of = dict(iter(rows.groupby("at")))
     for at in range(len(languages) + 1):  # one column at a time: only the model itself grows with the languages
@@ -173,7 +174,8 @@ def identify(rows: DataFrame, model: TextModel, id_col: str = "doc_id", text_col
         given(parent).alias("parent"),
     )
     best = (F.array_position("text", F.array_max("text")) - 1).cast("int")
-    scored = written(evidence.withColumn("best", F.when(F.col("letters"), best)), "text-scores")
+    with short_batches(spark):
+        scored = written(evidence.withColumn("best", F.when(F.col("letters"), best)), "text-scores")
 
     voters = scored.where("best IS NOT NULL")
     prior = F.array(*[F.lit((1 - UNKNOWN_PRIOR) / max(n, 1)) for _ in range(n)], F.lit(UNKNOWN_PRIOR))

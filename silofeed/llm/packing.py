@@ -86,6 +86,10 @@ class WordCoder:
         self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Gives back the space of all words; a worker that waits for other work would hold it."""
+        self.known, self.older = {"": b""}, {}
+
     def whole(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
@@ -203,20 +207,23 @@ def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
     path = vocabulary or tokenizer_file(VOCABULARY)
     end = np.array([SEPARATOR], "<u4").tobytes()
 
+    def packed(words: WordCoder, some: pa.Array) -> pa.Array:
+        ids, sizes = words.encode(some, end)
+        ends = np.concatenate([[0], 4 * np.cumsum(sizes)])
+        if ends[-1] < 1 << 31:
+            return pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(ids)])
+        return pa.array([ids[i // 4 : j // 4].tobytes() for i, j in itertools.pairwise(ends.tolist())], pa.binary())
+
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = coder(path)
-        for batch in batches:
-            at = 0
-            for some in _portions(batch.column(1)):
-                ids, sizes = words.encode(some, end)
-                ends = np.concatenate([[0], 4 * np.cumsum(sizes)])
-                if ends[-1] < 1 << 31:
-                    packed = pa.Array.from_buffers(
-                        pa.binary(), len(some), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(ids)])
-                else:
-                    packed = pa.array([ids[i // 4 : j // 4].tobytes() for i, j in itertools.pairwise(ends.tolist())], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(some)), packed], ["id", "ids"])
-                at += len(some)
+        try:
+            for batch in batches:
+                at = 0
+                for some in _portions(batch.column(1)):
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(some)), packed(words, some)], ["id", "ids"])
+                    at += len(some)
+        finally:
+            words.forget()
 
     kind = docs.schema[id_col].dataType.simpleString()
     encoded = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(each, f"id {kind}, ids binary")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from . import similar
 from .graph import components, hamming
-from .tables import free_name, passing, scratch, stored, text_key, without, written
+from .tables import free_name, passing, scratch, short_batches, stored, text_key, without, written
 from .workers import importable
 
 #: Bits that linked fingerprints may differ in. The grid is exact up to three.
@@ -110,12 +110,14 @@ def near_duplicates(
     as well, however far apart their fingerprints are; see :mod:`.similar`.
     """
     if similarity is None:
-        marked = written(fingerprints(docs, id_col, text_col, words).withColumnRenamed(id_col, "id"), "fingerprints")
+        with short_batches(docs.sparkSession):
+            marked = written(fingerprints(docs, id_col, text_col, words).withColumnRenamed(id_col, "id"), "fingerprints")
     else:
         importable(docs.sparkSession)
         sketch = similar.sketch(F.col(text_col), similarity, similar_words, lambda t: fingerprint(t, words))
-        sketched = written(docs.select(
-            F.col(id_col).alias("id"), similar.text_hash(text_col).alias("doc"), sketch.alias("sketch")), "sketches")
+        with short_batches(docs.sparkSession):
+            sketched = written(docs.select(
+                F.col(id_col).alias("id"), similar.text_hash(text_col).alias("doc"), sketch.alias("sketch")), "sketches")
         marked = sketched.select("id", "sketch.fp")
     nodes = marked.groupBy("fp").agg(F.min("id").alias("least"))
     pairs = written(close_pairs(nodes, distance).distinct(), "pairs")

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .tables import passing, scratch, stored, written
+from .tables import passing, scratch, short_batches, stored, written
 from .workers import importable
 
 #: Least probability that two texts of the least similarity share a band, and hashes of a band.
@@ -219,7 +219,8 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, text_col: str, words: int,
     texts = docs.select(text_hash(text_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     held = texts.join(wanted, F.col("doc") == F.col("wanted"), "left_semi").select(
         "doc", F.pandas_udf(each, "set array<long>, sig array<long>")(F.col("t")).alias("s"))
-    return written(held.groupBy("doc").agg(F.first("s").alias("s")).select("doc", "s.set", "s.sig"), "sets")
+    with short_batches(docs.sparkSession):
+        return written(held.groupBy("doc").agg(F.first("s").alias("s")).select("doc", "s.set", "s.sig"), "sets")
 
 
 def meetings(left: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:

@@ -87,6 +87,10 @@ def test_words_of_many_texts_are_looked_up_once(library, monkeypatch):
         found += [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
     assert found == [[*library.encode(t or "", add_special_tokens=False).ids, P.SEPARATOR] for t in texts]
 
+    coder.forget()  # what a task does at its end
+    assert coder.known == {"": b""} and not coder.older
+    assert [list(array("I", ids)) for ids in coder.encode_all(["été, cat"])] == [library.encode("été, cat", add_special_tokens=False).ids]
+
     asked = []
     monkeypatch.setattr(coder, "ids_of", lambda words: asked.append(sorted(words)) or [b""] * len(words))
     coder.encode(pa.array(["cat. cat, Cat *** cat..."] * 50))

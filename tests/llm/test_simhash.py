@@ -6,6 +6,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from silofeed.llm import simhash as S
+from silofeed.llm import tables
 from silofeed.llm.graph import components
 
 from .conftest import TEXTS
@@ -90,3 +91,19 @@ def test_components(spark):
     found = {r["node"]: r["component"] for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert found == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 140)} | {200: 200, 201: 200}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_workers_get_few_texts_at_once(spark, docs, monkeypatch):
+    def sizes(batches):
+        yield from (batch[["id"]].agg({"id": "count"}).to_frame("n") for batch in batches)
+
+    def asked():
+        return spark.conf.get(tables.BATCH_SETTING, None)
+
+    before, seen, stored = asked(), {}, tables.stored
+    monkeypatch.setattr(tables, "stored", lambda df, purpose, *rest: seen.setdefault(purpose, asked()) and None or stored(df, purpose, *rest))
+    assert S.near_duplicates(docs, similarity=0.8).count() == docs.count()
+    assert seen["sketches"] == seen["sets"] == str(tables.BATCH_ROWS) and seen["pairs"] == before == asked()
+    with tables.short_batches(spark, 10):
+        found = spark.range(95).coalesce(1).mapInPandas(sizes, "n long").collect()
+    assert sorted(r["n"] for r in found) == [5] + [10] * 9 and asked() == before
