@@ -12,22 +12,22 @@ else is done with them.
 from __future__ import annotations
 
 import itertools
-from array import array
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import written
+from .tables import short_batches, written
 from .workers import importable
 
-#: Words and rows after which a shard ends. A longer text is a shard of its own.
+#: Words and rows after which a shard ends, and bytes of texts that are cut into words together.
 WORDS, ROWS = 1 << 20, 1 << 14
+PORTION = 1 << 21
 FILTERS = "ABCDE"
 
 
@@ -48,40 +48,64 @@ def local_shards(docs: DataFrame, row: Column, text_col: str = "text") -> DataFr
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, begin, held = batch.column(0), 0, _Shard()
-            for at, text in enumerate(batch.column(1)):
-                held.add(text.as_py())
-                if held.full() or at + 1 == batch.num_rows:
-                    yield held.batch(rows.slice(begin, at + 1 - begin))
-                    begin, held = at + 1, _Shard()
+            texts = pc.fill_null(batch.column(1), b"").cast(pa.string(), safe=False)
+            rows, begin = batch.column(0), 0
+            held = _Shard()
+            for at, stop in _portions(texts):
+                held.add(texts.slice(at, stop - at))
+                if held.full() or stop == len(texts):
+                    yield held.batch(rows.slice(begin, stop - begin))
+                    begin, held = stop, _Shard()
 
     return bare.mapInArrow(shards, schema).withColumn("shard", F.monotonically_increasing_id())
 
 
+def _portions(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Begin and end of the texts that are cut into words together; a longer one is alone, or the last of a portion."""
+    stops = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64))
+    rows = np.arange(len(texts)) // ROWS
+    cuts = np.flatnonzero((np.diff(stops // PORTION) > 0) | (np.diff(rows) > 0)) + 1
+    return zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)], strict=True)
+
+
 class _Shard:
+    """Texts as rows of numbers. Words stay in Arrow's arrays, as objects of Python would take several times the space."""
+
     def __init__(self) -> None:
-        self.numbers: dict[bytes, int] = {}
-        # Arrays, as lists of integers would take several times the space.
-        self.ends, self.terms, self.counts = array("i"), array("i"), array("i")
-        self.n_words = 0
-
-    def add(self, text: bytes) -> None:
-        numbers = self.numbers
-        found = Counter(text.split())
-        self.terms.extend([numbers.setdefault(word, len(numbers)) for word in found])
-        self.counts.extend(found.values())
-        self.ends.append(len(self.terms))
-        self.n_words += found.total()
+        self.parts: list[pa.DictionaryArray] = []
+        self.texts: list[np.ndarray] = []
+        self.n_words = self.n_texts = 0
+
+    def add(self, texts: pa.Array) -> None:
+        cut = pc.ascii_split_whitespace(texts)
+        of = np.repeat(np.arange(self.n_texts, self.n_texts + len(texts), dtype=np.int32), pc.list_value_length(cut).to_numpy())
+        words = cut.flatten()
+        there = pc.greater(pc.binary_length(words), 0)  # white space around a text cuts empty words off
+        words = words.filter(there)
+        self.parts.append(words.dictionary_encode())
+        self.texts.append(of[there.to_numpy(zero_copy_only=False)])
+        self.n_texts += len(texts)
+        self.n_words += len(words)
 
     def full(self) -> bool:
-        return self.n_words >= WORDS or len(self.ends) >= ROWS
+        return self.n_words >= WORDS or self.n_texts >= ROWS
 
     def batch(self, rows: pa.Array) -> pa.RecordBatch:
         def one(values: pa.Array) -> pa.ListArray:
             return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
-        numbers = [pa.array([np.asarray(values).astype("<i4").tobytes()], pa.binary()) for values in (self.ends, self.terms, self.counts)]
-        arrays = [one(rows), *numbers, one(pa.array(list(self.numbers), pa.binary()))]
+        unified = pa.chunked_array(self.parts, pa.dictionary(pa.int32(), pa.string())).unify_dictionaries()
+        words = max((part.dictionary for part in unified.chunks), key=len)  # the last ones hold all
+        ends, terms, counts = [], [], []
+        for part, of in zip(unified.chunks, self.texts, strict=True):
+            keys = np.sort(of.astype(np.int64) << 32 | part.indices.to_numpy())
+            first = np.flatnonzero(np.diff(keys, prepend=-1))
+            terms.append((keys[first] & 0xFFFFFFFF).astype("<i4"))
+            counts.append(np.diff(first, append=len(keys)).astype("<i4"))
+            ends.append(np.bincount(keys[first] >> 32, minlength=self.n_texts))
+        held = [np.cumsum(np.sum(ends, axis=0)).astype("<i4"), np.concatenate(terms), np.concatenate(counts)]
+        numbers = [pa.array([values.tobytes()], pa.binary()) for values in held]
+        arrays = [one(rows), *numbers, one(words.cast(pa.binary()))]
         return pa.RecordBatch.from_arrays(arrays, ["rows", "ends", "terms", "counts", "words"])
 
 
@@ -103,7 +127,7 @@ def coded(used: DataFrame) -> DataFrame:
         names = ["shard", "term", "word", "part", "place"]
         part = TaskContext.get().partitionId()
         for batch in batches:
-            places = pa.array([numbers.setdefault(word, len(numbers)) for word in batch.column(2).to_pylist()], pa.int64())
+            places = pa.array([numbers.setdefault(word, len(numbers)) for word in batch.column(2).to_pandas(deduplicate_objects=False)], pa.int64())
             size = len(places)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.nulls(size, pa.binary()), pa.array(np.full(size, part, np.int32)), places], names)
@@ -197,7 +221,9 @@ def flagged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", par
     )
     shards, _ = term_matrix(docs, row, text_col)
     counted = bit("A", F.col("n_words") < 50).bitwiseOR(bit("B", F.col("n_distinct") * 100 < F.col("n_words") * 65))
-    return row_sums(shards).select("row.id", "row.part", "row.content", F.col("row.flags").bitwiseOR(counted).alias("flags"))
+    with short_batches(docs.sparkSession, 1):  # a shard at once: workers and their executor hold few copies of it
+        sums = written(row_sums(shards), "sums", "zstd")
+    return sums.select("row.id", "row.part", "row.content", F.col("row.flags").bitwiseOR(counted).alias("flags"))
 
 
 def cells(rows: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -2,6 +2,7 @@ import itertools
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,6 +95,18 @@ def test_sums_of_rows(spark, messy):
     assert found == want
 
 
+def test_words_are_no_objects_of_python(monkeypatch):
+    monkeypatch.setattr(m, "PORTION", 20)
+    shard, texts = m._Shard(), pa.array(["b a\x0bb ", "", "\x1c\xa0 c", " \t", "c b b b", "a"])
+    for at, stop in m._portions(texts):
+        shard.add(texts.slice(at, stop - at))
+    assert shard.n_words == 10 and len(shard.parts) > 1 and all(pa.types.is_dictionary(part.type) for part in shard.parts)
+    one = shard.batch(pa.array(range(6)))
+    names, ends, terms, counts = one.column("words").flatten().to_pylist(), *(m.numbers_of(one, x).tolist() for x in ("ends", "terms", "counts"))
+    found = [{names[t]: n for t, n in zip(terms[i:j], counts[i:j], strict=True)} for i, j in zip([0, *ends[:-1]], ends, strict=True)]
+    assert found == [dict(Counter(t.encode().split())) for t in texts.to_pylist()]
+
+
 def test_hot_text(spark):
     docs = spark.range(3000).selectExpr("id AS doc_id", "if(id % 3 = 0, 'hot text', 'text ' || id) AS text", "'s' AS source")
     counted = m.cells(m.flagged(docs), spark.createDataFrame([], LABELS)).collect()
