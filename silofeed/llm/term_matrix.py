@@ -2,7 +2,8 @@
 
 Words are cut in tasks that number their own words and write compressed sparse rows of those numbers, in shards of a
 bounded number of entries. The words of all shards then get one dictionary: dense codes that are the same everywhere.
-A shard's numbers are replaced by these codes. Sums of a row give a document's words, its entries the distinct words;
+For that a shard's words move in blocks, one for each task that gives codes, and come back as blocks of codes. A shard's
+numbers are replaced by these codes. Sums of a row give a document's words, its entries the distinct words;
 together with flags that need no words they say which filters a document fails.
 
 How filters interact depends on these flags alone, so documents are counted by part, flags and labels before anything
@@ -15,6 +16,7 @@ import itertools
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -28,38 +30,78 @@ from .workers import importable
 #: Words and rows after which a shard ends, and bytes of texts that are cut into words together.
 WORDS, ROWS = 1 << 20, 1 << 14
 PORTION = 1 << 21
+#: Shards, or blocks of their words, that a worker gets at once.
+BLOCKS = 1 << 4
 FILTERS = "ABCDE"
 
 
 def local_shards(docs: DataFrame, row: Column, text_col: str = "text") -> DataFrame:
-    """Shards with numbers of their own: ``rows``, ``ends``, ``terms``, ``counts``, ``words``, and ``shard``, their name.
+    """Shards with numbers of their own: ``rows``, ``ends``, ``terms``, ``counts``, words in buckets, and ``shard``, their name.
 
-    Names last once the shards are written. Row i of a shard is ``rows[i]``, what ``row`` gives; its entries are those of ``terms`` and ``counts`` from the end
-    of the row before up to ``ends[i]``. Terms are places in ``words``. These three are little-endian 32-bit integers, end
-    to end, as Spark would otherwise handle each of them on its own. Null text has no words.
+    Names last once the shards are written. Row i of a shard is ``rows[i]``, what ``row`` gives; its entries are those of
+    ``terms`` and ``counts`` from the end of the row before up to ``ends[i]``. Terms are places among the shard's words:
+    ``words`` has their bytes, ``sizes`` how many each has, ``stops`` the place behind the last of each bucket. A word has
+    the same bucket in all shards. Numbers are little-endian 32-bit integers, end to end, as Spark would otherwise handle
+    each of them, and each word, on its own. Null text has no words.
     """
     importable(docs.sparkSession)
     bare = docs.select(row.alias("row"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     schema = T.StructType([
         T.StructField("rows", T.ArrayType(bare.schema["row"].dataType)),
-        *[T.StructField(name, T.BinaryType()) for name in ("ends", "terms", "counts")],
-        T.StructField("words", T.ArrayType(T.BinaryType())),
+        *[T.StructField(name, T.BinaryType()) for name in ("ends", "terms", "counts", "words", "sizes", "stops")],
     ])
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], _Shard()
         for batch in batches:
             texts = pc.fill_null(batch.column(1), b"").cast(pa.string(), safe=False)
-            rows, begin = batch.column(0), 0
-            held = _Shard()
             for at, stop in _portions(texts):
                 held.add(texts.slice(at, stop - at))
-                if held.full() or stop == len(texts):
-                    yield held.batch(rows.slice(begin, stop - begin))
-                    begin, held = stop, _Shard()
+                rows.append(batch.column(0).slice(at, stop - at))
+                if held.full():
+                    yield in_buckets(held.batch(pa.concat_arrays(rows)), buckets)
+                    rows, held = [], _Shard()
+        if rows:
+            yield in_buckets(held.batch(pa.concat_arrays(rows)), buckets)
 
     return bare.mapInArrow(shards, schema).withColumn("shard", F.monotonically_increasing_id())
 
 
+def in_buckets(one: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
+    """A shard with its words in the order of their buckets: see :func:`local_shards`."""
+    words = one.column("words").flatten()
+    bucket = np.empty(len(words), np.int32)
+    for at in range(0, len(words), ROWS):
+        some = words.slice(at, ROWS).to_numpy(zero_copy_only=False)
+        bucket[at : at + ROWS] = pd.util.hash_array(some, categorize=False) % np.uint64(buckets)
+    order = np.argsort(bucket, kind="stable")
+    place = np.empty(len(words), "<i4")
+    place[order] = np.arange(len(words), dtype="<i4")
+    terms = numbers_of(one, "terms")
+    stops = np.cumsum(np.bincount(bucket, minlength=buckets)).astype("<i4")
+    data, sizes = packed(words.take(pa.array(order)))
+    binaries = [place[terms].tobytes(), one.column("counts")[0].as_py(), data, sizes, stops.tobytes()]
+    return pa.RecordBatch.from_arrays(
+        [one.column("rows"), one.column("ends"), *[pa.array([values], pa.binary()) for values in binaries]],
+        ["rows", "ends", "terms", "counts", "words", "sizes", "stops"])
+
+
+def packed(words: pa.Array) -> tuple[bytes, bytes]:
+    """The bytes of all words, end to end, and how many each has."""
+    words = pa.concat_arrays([words])
+    if not len(words):
+        return b"", b""
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+    return words.buffers()[2][int(ends[0]) : int(ends[-1])].to_pybytes(), np.diff(ends).astype("<i4").tobytes()
+
+
+def unpacked(data: bytes, sizes: np.ndarray) -> pa.Array:
+    """The words that :func:`packed` has put end to end."""
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+
+
 def _portions(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Begin and end of the texts that are cut into words together; a longer one is alone, or the last of a portion."""
     stops = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64))
@@ -114,39 +156,67 @@ def numbers_of(one: pa.RecordBatch, name: str) -> np.ndarray:
     return np.frombuffer(one.column(name)[0].as_py(), "<i4")
 
 
-def coded(used: DataFrame) -> DataFrame:
-    """``shard``, ``term``, ``code`` of the rows of ``used``, which has ``word`` for a code: dense from 0, one for each word.
+def coded(local: DataFrame) -> DataFrame:
+    """Codes of the words of shards, dense from 0, one for each word: ``shard``, ``begin``, ``code``, ``places``.
 
-    Each ``word`` comes once more with its code, in a row of no shard. Words are dealt to tasks, which number the different ones; their numbers
-    start behind those of the tasks before. They last because they are written. A task holds its own words only, a share
-    of the vocabulary.
+    Words of a shard from place ``begin`` on have the codes ``code`` plus ``places``, 32-bit integers. Rows of no shard have
+    ``words`` and their ``sizes`` instead, each word once; their codes go up from ``code``. Each bucket of words is dealt to a
+    task, which numbers the different ones; their numbers start behind those of the tasks before. They last because they
+    are written. A task holds its own words only, a share of the vocabulary.
     """
+    buckets = int(local.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                one = batch.slice(at, 1)
+                stops = numbers_of(one, "stops")
+                begins = np.concatenate([[0], stops[:-1]]).astype(np.int32)
+                some = np.flatnonzero(stops > begins)
+                data, sizes = one.column("words")[0].as_buffer(), one.column("sizes")[0].as_buffer()
+                if not len(some):
+                    continue
+                # Buckets without words have no rows; those that have some lie end to end.
+                ends = np.concatenate([[0], np.cumsum(numbers_of(one, "sizes"), dtype=np.int64)])
+                cuts = np.append(begins[some], stops[-1]).astype(np.int64)
+                arrays = [
+                    pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(offsets.astype(np.int32)), values])
+                    for offsets, values in ((ends[cuts], data), (cuts * 4, sizes))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some, pa.int32()), pa.array([one.column("shard")[0].as_py()] * len(some), pa.int64()),
+                     pa.array(begins[some]), *arrays], ["bucket", "shard", "begin", "words", "sizes"])
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers: dict[bytes, int] = {}
-        names = ["shard", "term", "word", "part", "place"]
+        names = ["shard", "begin", "part", "place", "places", "words", "sizes"]
         part = TaskContext.get().partitionId()
         for batch in batches:
-            places = pa.array([numbers.setdefault(word, len(numbers)) for word in batch.column(2).to_pandas(deduplicate_objects=False)], pa.int64())
-            size = len(places)
+            places = []
+            for data, sizes in zip(batch.column("words"), batch.column("sizes"), strict=True):
+                words = unpacked(data.as_py(), np.frombuffer(sizes.as_py(), "<i4")).to_pylist()
+                places.append(np.fromiter((numbers.setdefault(word, len(numbers)) for word in words), "<i4", len(words)).tobytes())
+            size = batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.nulls(size, pa.binary()), pa.array(np.full(size, part, np.int32)), places], names)
-        words = list(numbers)
-        for at in range(0, len(words), ROWS):
-            some = pa.array(words[at : at + ROWS], pa.binary())
-            size = len(some)
+                [batch.column("shard"), batch.column("begin"), pa.array(np.full(size, part, np.int32)), pa.nulls(size, pa.int64()),
+                 pa.array(places, pa.binary()), pa.nulls(size, pa.binary()), pa.nulls(size, pa.binary())], names)
+        every = iter(numbers)
+        for at in range(0, len(numbers), ROWS):
+            data, sizes = packed(pa.array(itertools.islice(every, ROWS), pa.binary()))
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(size, pa.int64()), pa.nulls(size, pa.int32()), some, pa.array(np.full(size, part, np.int32)),
-                 pa.array(np.arange(at, at + size))], names)
-
-    dealt = used.select("shard", "term", "word").repartition("word")
-    numbered = written(dealt.mapInArrow(number, "shard long, term int, word binary, part int, place long"), "words", "zstd")
-    sizes = numbered.groupBy("part").agg(F.max("place").alias("last")).orderBy("part").collect()  # one row for each task
-    before = itertools.accumulate([0, *[r["last"] + 1 for r in sizes]])
-    starts = used.sparkSession.createDataFrame(
+                [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.array([part], pa.int32()), pa.array([at], pa.int64()),
+                 pa.nulls(1, pa.binary()), pa.array([data], pa.binary()), pa.array([sizes], pa.binary())], names)
+
+    blocks = local.select("shard", "words", "sizes", "stops").mapInArrow(
+        deal, "bucket int, shard long, begin int, words binary, sizes binary")
+    numbered = written(blocks.repartitionById(buckets, "bucket").mapInArrow(
+        number, "shard long, begin int, part int, place long, places binary, words binary, sizes binary"), "words", "zstd")
+    last = F.col("place") + F.length("sizes") / 4
+    sizes = numbered.groupBy("part").agg(F.max(last).cast("long").alias("size")).orderBy("part").collect()  # one row for each task
+    before = itertools.accumulate([0, *[r["size"] for r in sizes]])
+    starts = local.sparkSession.createDataFrame(
         [(r["part"], start) for r, start in zip(sizes, before, strict=False)], "part int, start long")
-    code = F.col("start") + F.col("place")
-    return numbered.join(F.broadcast(starts), "part").select("shard", "term", "word", code.alias("code"))
+    code = F.col("start") + F.coalesce("place", F.lit(0))
+    return numbered.join(F.broadcast(starts), "part").select("shard", "begin", code.alias("code"), "places", "words", "sizes")
 
 
 def term_matrix(docs: DataFrame, row: Column, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -157,27 +227,40 @@ def term_matrix(docs: DataFrame, row: Column, text_col: str = "text") -> tuple[D
     matrix, repeated ones too; texts that are null or have no words are rows without entries. An empty table gives no
     shards and no words.
     """
-    local = written(local_shards(docs, row, text_col), "shards", "zstd")
+    with short_batches(docs.sparkSession):
+        local = written(local_shards(docs, row, text_col), "shards", "zstd")
     # A shard has each of its words once, so that frequent words weigh as much as there are shards, not documents.
-    words = coded(local.select("shard", F.posexplode("words").alias("term", "word")))
-    tables = words.where("shard IS NOT NULL").groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("term", "code"))).alias("coded"))
-    joined = local.drop("words").join(tables, "shard", "left")
+    with short_batches(docs.sparkSession, BLOCKS):
+        words = coded(local)
+    tables = words.where("shard IS NOT NULL").groupBy("shard").agg(F.collect_list(F.struct("begin", "code", "places")).alias("coded"))
+    joined = local.drop("words", "sizes", "stops").join(tables, "shard", "left")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
                 one = batch.slice(at, 1)
-                table = one.column("codes").flatten().to_numpy(zero_copy_only=False)
-                terms = numbers_of(one, "terms")
-                codes = (table[terms] if len(terms) else terms).astype("<i8")
+                blocks = one.column("coded")[0].as_py() or []
+                table = np.empty(sum(len(block["places"]) for block in blocks) // 4, "<i8")
+                for block in blocks:
+                    places = np.frombuffer(block["places"], "<i4")
+                    table[block["begin"] : block["begin"] + len(places)] = places + np.int64(block["code"])
+                codes = table[numbers_of(one, "terms")]
                 yield pa.RecordBatch.from_arrays(
                     [one.column("shard"), one.column("rows"), one.column("ends"), pa.array([codes.tobytes()], pa.binary()),
                      one.column("counts")], ["shard", "rows", "ends", "codes", "counts"])
 
+    def dictionary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                one = batch.slice(at, 1)
+                found = unpacked(one.column("words")[0].as_py(), numbers_of(one, "sizes"))
+                first = one.column("code")[0].as_py()
+                yield pa.RecordBatch.from_arrays([found, pa.array(np.arange(first, first + len(found)))], ["word", "code"])
+
     rows = local.schema["rows"].dataType.simpleString()
-    wide = joined.select("shard", "rows", "ends", "terms", "counts", F.col("coded.code").alias("codes"))
-    shards = wide.mapInArrow(encode, f"shard bigint, rows {rows}, ends binary, codes binary, counts binary")
-    return shards, words.where("word IS NOT NULL").select("word", "code")
+    shards = joined.select("shard", "rows", "ends", "terms", "counts", "coded").mapInArrow(
+        encode, f"shard bigint, rows {rows}, ends binary, codes binary, counts binary")
+    return shards, words.where("shard IS NULL").select("words", "sizes", "code").mapInArrow(dictionary, "word binary, code bigint")
 
 
 def row_sums(shards: DataFrame) -> DataFrame:

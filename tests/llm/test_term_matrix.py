@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from silofeed.llm import tables
 from silofeed.llm import term_matrix as m
 
 from .conftest import TEXTS
@@ -107,6 +108,22 @@ def test_words_are_no_objects_of_python(monkeypatch):
     assert found == [dict(Counter(t.encode().split())) for t in texts.to_pylist()]
 
 
+def test_words_move_in_blocks(spark, monkeypatch):
+    """A shard has a row for each task that gives codes, however many words it has, and goes on over the next texts."""
+    monkeypatch.setattr(m, "short_batches", lambda spark, rows=7: tables.short_batches(spark, min(rows, 7)))
+    docs = spark.range(0, 200, 1, 1).selectExpr("id AS doc_id", "concat_ws(' ', 'a', id, 'größe', 'b' || id % 9) AS text")
+    with m.short_batches(spark):
+        local = m.local_shards(docs, F.col("doc_id")).cache()
+        assert local.count() == 1 and len(m.numbers_of(local.toArrow().to_batches()[0], "sizes")) == 211
+        found = m.coded(local).collect()
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sum(r["shard"] is not None for r in found) <= buckets and sum(len(r["places"] or "") for r in found) == 4 * 211
+    shards, words = m.term_matrix(docs, F.col("doc_id"))
+    names, rows = rebuilt(shards, words)
+    assert sorted(names) == list(range(211))
+    assert sorted(rows, key=repr) == sorted(((i, dict.fromkeys([b"a", str(i).encode(), "größe".encode(), b"b%d" % (i % 9)], 1)) for i in range(200)), key=repr)
+
+
 def test_hot_text(spark):
     docs = spark.range(3000).selectExpr("id AS doc_id", "if(id % 3 = 0, 'hot text', 'text ' || id) AS text", "'s' AS source")
     counted = m.cells(m.flagged(docs), spark.createDataFrame([], LABELS)).collect()
