@@ -5,8 +5,8 @@ texts of the least similarity share one with the probability ``SURE``. Two bits
 texts whose signatures differ in more places than similar ones do, but for ``MISSED`` of them, are not compared. Only
 components are wanted, so a band's texts meet one of them first: the one that shares most bands with others, which is
 the middle of its group, then others. What that leaves apart has its shingles read again, once: texts that have another
-of their band alike by signature get a longer one, and the number of their shingles that no other such text has. Of
-these texts, those of a band meet if both allow for the similarity.
+of their band alike by signature get a longer one. Of these texts, those meet that share a rare one of their first
+shingles; those of a band meet as well if both have enough shingles that many texts have, again its middle first.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import components
@@ -37,6 +37,8 @@ TEXTS = 500
 ROUNDS = 2
 #: Places of the longer signatures.
 LONG_PLACES = 512
+#: Texts that a shingle is in, at most, to bring them together by itself.
+FEW = 64
 #: Places of a signature in a long, and the lower bits of its two-bit places.
 PLACES = 32
 LOWER = 0x5555555555555555
@@ -173,15 +175,14 @@ def link_similar(docs: DataFrame, sketches: DataFrame, known: DataFrame, similar
                 met = written(met.select(F.col("x.doc").alias("a_doc"), F.col("y.doc").alias("b_doc"),
                                          F.col("x.node").alias("a"), F.col("y.node").alias("b")), "met")
                 wanted = met.select(F.col("a_doc").alias("wanted")).union(met.select("b_doc")).distinct()
-                sets = shingle_sets(docs, wanted, text_col, words)
+                links = verified(met, shingle_sets(docs, wanted, text_col, words), similarity)
             else:
                 left = written(labelled.join(leader.select("band"), "band", "left_semi").select("band", "x"), "left")
                 other = left.select(F.col("band").alias("of"), F.col("x").alias("y"))
                 company = left.join(other, (F.col("band") == F.col("of")) & near, "left_semi")
                 wanted = company.select(F.col("x.doc").alias("wanted")).distinct()
-                sets = shingle_sets(docs, wanted, text_col, words, LONG_PLACES)
-                met = written(meetings(left, sets, similarity), "met")
-            found, folder = stored(verified(met, sets, similarity), "links")
+                links = last_links(left, shingle_sets(docs, wanted, text_col, words, LONG_PLACES), known, similarity)
+            found, folder = stored(links, "links")
         passing(docs.sparkSession, folder)
         known = known.unionByName(found)
     return known
@@ -223,27 +224,64 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, text_col: str, words: int,
         return written(held.groupBy("doc").agg(F.first("s").alias("s")).select("doc", "s.set", "s.sig"), "sets")
 
 
-def meetings(left: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of the texts ``x`` of a ``band``, in different parts, that ``sets`` allow to be similar."""
+def last_links(left: DataFrame, sets: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+    """Links ``a``, ``b`` between the texts ``x`` of ``left``, each of a ``band`` and a part: all that their parts need.
+
+    Shingles have an order, the rarest among the texts first. Two similar texts share one of their first shingles, as many
+    as they may lack and one more; where the first that they share is in few texts, they meet by it, in numbers that grow
+    with the texts. Else all that they share is in many texts: they meet by band if so many of their shingles are. Of a
+    band, these meet the one first that has most such shingles, and the others of what is still apart then.
+    """
     longs = LONG_PLACES // PLACES
     shingles = sets.select("doc", F.explode("set").alias("shingle"))
-    own = shingles.groupBy("shingle").agg(
-        F.count("*").alias("times"), F.min("doc.h").alias("h"), F.min("doc.i").alias("i")).where("times = 1")
-    alone = own.groupBy("h", "i").agg(F.count("*").alias("alone")).select(F.struct("h", "i").alias("whose"), "alone")
+    few = written(shingles.groupBy("shingle").agg(
+        F.count("*").alias("times"), F.min("doc.h").alias("h"), F.min("doc.i").alias("i")).where(F.col("times") <= FEW), "few")
+    alone = few.where("times = 1").groupBy("h", "i").agg(F.count("*").alias("alone")).select(F.struct("h", "i").alias("whose"), "alone")
+    rare = written(shingles.join(few.where("times > 1").select("shingle", "times"), "shingle"), "rare")
+    some = rare.groupBy(F.col("doc").alias("which")).agg(F.count("*").alias("some"))
     signs = [F.col("sig")[i].alias(f"s{i}") for i in range(longs)]
-    known = sets.join(alone, F.col("doc") == F.col("whose"), "left").select(
-        "doc", F.size("set").alias("n"), (F.size("set") - F.coalesce("alone", F.lit(0))).alias("common"), *signs)
+    able = sets.join(alone, F.col("doc") == F.col("whose"), "left").join(some, F.col("doc") == F.col("which"), "left").select(
+        "doc", F.size("set").alias("n"), F.coalesce("alone", F.lit(0)).alias("alone"), F.coalesce("some", F.lit(0)).alias("some"), *signs)
     # A text whose shingles are too much its own is similar to none of the others.
-    known = known.where(F.col("common") >= F.col("n") * F.lit(similarity) - F.lit(1e-9))
-    texts = left.select("band", F.col("x.doc").alias("doc"), F.col("x.node").alias("node"), F.col("x.part").alias("part")).join(
-        known, "doc").select("band", F.struct("doc", "node", "part", "n", "common", *[f"s{i}" for i in range(longs)]).alias("x"))
-    texts = written(texts, "band-texts")
-    other = texts.select(F.col("band").alias("of"), F.col("x").alias("y"))
-    common = F.least("x.common", "y.common")
+    able = able.where(F.col("n") - F.col("alone") >= F.col("n") * F.lit(similarity) - F.lit(1e-9))
+    owners = left.select("x.doc", "x.node", "x.part").distinct()
+    able = written(able.join(owners, "doc").withColumn("many", F.col("n") - F.col("alone") - F.col("some")), "able")
+    common = written(left.select("band", "x.doc").distinct().join(
+        able.where(F.col("many") >= F.col("n") * F.lit(similarity) - F.lit(1e-9)).select("doc"), "doc"), "common")
+
+    x = F.struct("doc", "node", "part", "n", "many", *[f"s{i}" for i in range(longs)]).alias("x")
     near = (F.col("x.part") != F.col("y.part")) & alike("x", "y", similarity) & (
-        common >= (F.col("x.n") + F.col("y.n") - common) * F.lit(similarity) - F.lit(1e-9)
-    ) & (unlike("x", "y", longs) <= tolerance(similarity, LONG_PLACES))
-    met = texts.join(other, (F.col("band") == F.col("of")) & (F.col("x.doc") < F.col("y.doc")) & near)
+        unlike("x", "y", longs) <= tolerance(similarity, LONG_PLACES))
+    many = F.least("x.many", "y.many")
+    allowed = near & (many >= (F.col("x.n") + F.col("y.n") - many) * F.lit(similarity) - F.lit(1e-9))
+    once = F.col("x.doc") < F.col("y.doc")
+
+    texts = written(common.join(able, "doc").select("band", x), "band-texts")
+    middle = texts.groupBy(F.col("band").alias("of")).agg(F.max_by("x", F.struct("x.many", "x.doc")).alias("y"))
+    met = written(pairs_of(texts.join(middle, (F.col("band") == F.col("of")) & allowed)), "met")
+    linked = written(verified(met, sets, similarity), "linked")
+
+    named = components(known.unionByName(linked)).withColumnRenamed("node", "named")
+    able = written(able.join(named, F.col("node") == F.col("named"), "left").withColumn(
+        "part", F.coalesce("component", "node")).drop("named", "component"), "able")
+    first = Window.partitionBy("doc").orderBy("times", "shingle")
+    most = F.col("n") - F.ceil(F.col("n") * F.lit(similarity) - F.lit(1e-9)) + 1 - F.col("alone")
+    begins = rare.join(able.select("doc", "n", "alone"), "doc").withColumn("place", F.row_number().over(first)).where(
+        F.col("place") <= most).select("doc", "shingle")
+    begins = written(begins.join(able, "doc").select("shingle", x), "begins")
+    other = begins.select(F.col("shingle").alias("of"), F.col("x").alias("y"))
+    by_few = pairs_of(begins.join(other, (F.col("shingle") == F.col("of")) & once & near))
+    texts = common.join(able, "doc").select("band", x)
+    apart = texts.groupBy("band").agg(F.min("x.part").alias("low"), F.max("x.part").alias("high")).where("low < high")
+    texts = written(texts.join(apart.select("band"), "band"), "band-texts")
+    other = texts.select(F.col("band").alias("of"), F.col("x").alias("y"))
+    by_many = pairs_of(texts.join(other, (F.col("band") == F.col("of")) & once & allowed))
+    met = written(by_few.unionByName(by_many).distinct(), "met")
+    return linked.unionByName(verified(met, sets, similarity))
+
+
+def pairs_of(met: DataFrame) -> DataFrame:
+    """The texts and nodes of each two ``x``, ``y`` that have met, once."""
     return met.select(F.col("x.doc").alias("a_doc"), F.col("y.doc").alias("b_doc"),
                       F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 

@@ -73,3 +73,30 @@ def test_settings(nothing, spark):
     with pytest.raises(ValueError):
         similar.bands_for(0)
     assert S.drop_near_duplicates(nothing, similarity=0.8).count() == 0
+
+
+def test_a_large_group_is_not_compared_by_pairs(spark, monkeypatch):
+    """Texts that are nearly similar to many linked ones meet the middle of the group, not each of them."""
+    rng = random.Random(3)
+    base = [f"b{i}" for i in range(150)]
+    texts = [base]
+    for i in range(60):
+        near, far = list(base), list(base)
+        near[rng.randrange(5, 145)] = f"near{i}"
+        for at in range(10 + i // 2, 140, 36):
+            far[at] = f"far{i}"
+        far[5] = f"shared{i // 2}"
+        texts += [near, far]
+    rows, met, stored = [(i, " ".join(t)) for i, t in enumerate(texts)], [], similar.written
+
+    def counted(df, purpose, *rest):
+        table = stored(df, purpose, *rest)
+        if purpose == "met":
+            met.append(table.count())
+        return table
+
+    monkeypatch.setattr(similar, "written", counted)
+    monkeypatch.setattr(similar, "FEW", 4, raising=False)
+    kept = {r["doc_id"] for r in corpus_pipeline.near_copies(spark, documents(spark, rows), "").collect()}
+    assert kept == kept_by_brute_force(rows)[0]
+    assert max(met) <= 2 * len(rows)
