@@ -1,7 +1,7 @@
 """How sources of one language differ in their words.
 
-Identical texts of a language are collapsed first, with the number of copies in each source. Each text is then cut into
-terms once; its terms count as often as it has copies. Counts add up in the tasks before they are shuffled. Terms that
+Identical texts of a language are collapsed first, with the number of copies in each source; texts without copies stay
+where they are. Each text is then cut into terms once; its terms count as often as it has copies. Counts add up in the tasks before they are shuffled. Terms that
 enough documents of a language hold are kept, and sources are compared in integers.
 
 A source lacks most terms, and all terms that it lacks have the same share. So the distance of two sources is summed
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import written
+from .tables import short_batches, written
 from .workers import importable
 
 #: Documents of a language that a kept term is in, parts of a whole, what is added to each count, and ranks of terms.
@@ -48,16 +48,41 @@ def collapsed(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", s
     return copies, texts
 
 
-def weighted_sums(copies: DataFrame, texts: DataFrame) -> DataFrame:
-    """Parts of sums ``n`` by ``lang``, ``source`` and ``term``: occurrences, and documents where ``source`` is null.
+def plain(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """``lang``, ``source``, ``text`` and ``name``, a 64-bit hash of language and text; nulls are empty."""
+    rows = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(name) for c, name in (
+        (lang_col, "lang"), (source_col, "source"), (text_col, "text"))])
+    return rows.withColumn("name", F.xxhash64("lang", "text"))
+
 
-    A text with more sources than ``LISTED`` comes once for each list of so many.
+def once_each(rows: DataFrame) -> DataFrame:
+    """Texts by ``lang`` as bytes, with the lists ``source`` and ``n`` of their copies by source. ``rows`` come from :func:`plain`.
+
+    A text that has its name for itself stays where it is; only those that may have copies are shuffled and collapsed. The names
+    of these are written first, so that Spark knows their size. A text with more sources than ``LISTED`` comes once for
+    each list of so many.
     """
-    importable(copies.sparkSession)
+    names = rows.groupBy("name").agg(F.count("*").alias("times")).where("times > 1").select(F.col("name").alias("several"))
+    names = written(names, "names")
+    met = F.col("name") == F.col("several")
+    alone = rows.join(names, met, "left_anti").select(
+        "lang", F.col("text").cast("binary").alias("text"), F.array("source").alias("source"),
+        F.array(F.lit(1).cast("long")).alias("n"))
+    alone = alone.sortWithinPartitions("lang", "source")  # sums of one source come together, and are passed on once
+    copies, texts = collapsed(rows.join(names, met, "left_semi").select("lang", "source", "text"))
     within = Window.partitionBy("lang", "content").orderBy("source")
     lists = copies.withColumn("list", F.floor((F.row_number().over(within) - 1) / LISTED)).groupBy("lang", "content", "list").agg(
         F.collect_list(F.struct("source", "n")).alias("sources"))
-    rows = texts.join(lists, ["lang", "content"]).select("lang", "text", "sources.source", "sources.n")
+    several = texts.join(lists, ["lang", "content"]).select("lang", "text", "sources.source", "sources.n")
+    return alone.unionByName(several)
+
+
+def weighted_sums(rows: DataFrame) -> DataFrame:
+    """Parts of sums ``n`` by ``lang``, ``source`` and ``term``: occurrences, and documents where ``source`` is null.
+
+    ``rows`` are those of :func:`once_each`.
+    """
+    importable(rows.sparkSession)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[str, str | None], Counter] = {}
@@ -110,19 +135,21 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     Nulls are empty texts, languages and sources. Repeated rows are documents of their own; ids and other columns are
     ignored. A source whose documents hold no terms has pairs, and no terms. An empty table gives no rows.
     """
-    copies, texts = collapsed(docs, text_col, lang_col, source_col)
-    parts = written(weighted_sums(copies, texts), "sums")
+    rows = plain(docs, text_col, lang_col, source_col)
+    with short_batches(docs.sparkSession):
+        parts = written(weighted_sums(once_each(rows)), "sums", "zstd")
     kept = parts.where("source IS NULL").groupBy("lang", "term").agg(F.sum("n").alias("documents")).where(
         F.col("documents") >= least).select("lang", "term")
     kept = written(kept, "terms")
-    counts = parts.where("source IS NOT NULL").join(kept, ["lang", "term"], "left_semi").groupBy("lang", "source", "term").agg(
+    # Most terms are not kept: the few that are make a hash table in each task, and the many need not be sorted.
+    counts = parts.where("source IS NOT NULL").join(kept.hint("shuffle_hash"), ["lang", "term"], "left_semi").groupBy("lang", "source", "term").agg(
         F.sum("n").alias("n"))
     counts = written(counts, "counts")
 
     size = kept.groupBy("lang").agg(F.count("*").alias("kept"))
     per_source = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("held"))
     zero = F.lit(0).cast("long")
-    groups = copies.select("lang", "source").distinct().join(per_source, ["lang", "source"], "left").join(size, "lang", "left")
+    groups = rows.select("lang", "source").distinct().join(per_source, ["lang", "source"], "left").join(size, "lang", "left")
     groups = groups.select("lang", "source", *[F.coalesce(c, zero).alias(c) for c in ("total", "held", "kept")])
     # Without kept terms there is nothing to divide by, and no difference.
     none = F.when(F.col("kept") == 0, zero).otherwise(share(zero, F.col("total"), F.greatest("kept", F.lit(1))))

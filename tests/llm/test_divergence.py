@@ -89,5 +89,13 @@ def test_copies_are_cut_once(spark):
     assert texts.count() == 2 and sorted(r["n"] for r in copies.collect()) == [1, 80, 80, 80, 80, 80]
 
 
+def test_texts_without_copies_are_not_collapsed(spark, monkeypatch):
+    rows = [(f"text {i % 90}", "en", f"s{i % 3}") for i in range(100)] + [("text 5", "fr", "s"), (None, "fr", "s"), ("", "fr", None)]
+    seen, collapsed = [], d.collapsed
+    monkeypatch.setattr(d, "collapsed", lambda docs, *names: seen.append(docs.count()) or collapsed(docs, *names))
+    assert sorted(map(tuple, d.audit(table(spark, rows), least=1).collect())) == brute(rows, 1)
+    assert seen == [22]
+
+
 def test_empty_table(spark):
     assert d.audit(table(spark, [])).count() == 0
