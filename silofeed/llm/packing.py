@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..workspace import remove_folder
-from .tables import stored, written
+from .tables import passing, scratch, short_batches, stored, written
 from .workers import importable, tokenizer_file
 
 VOCABULARY = "word_bpe_49k.json"
@@ -42,7 +42,7 @@ STEPS = 4000
 #: Words that a worker remembers with their ids before it starts over, twice.
 REMEMBERED = 3 << 17
 #: Bytes of texts that are encoded together, and new words that one call of the library encodes.
-TOGETHER = 1 << 23
+TOGETHER = 1 << 22
 AT_ONCE = 1 << 15
 #: Rows of a batch that are worked on at once.
 ROWS = 500
@@ -87,8 +87,9 @@ class WordCoder:
         self.older: dict[str, bytes] = {}
 
     def forget(self) -> None:
-        """Gives back the space of all words; a worker that waits for other work would hold it."""
+        """Gives back the space of all words and of Arrow's arrays; a worker that waits for other work would hold it."""
         self.known, self.older = {"": b""}, {}
+        pa.default_memory_pool().release_unused()
 
     def whole(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
@@ -227,9 +228,10 @@ def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
 
     kind = docs.schema[id_col].dataType.simpleString()
     encoded = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(each, f"id {kind}, ids binary")
-    return written(encoded.select(
-        F.monotonically_increasing_id().alias("row"), "id", (F.octet_length("ids") / 4).cast("long").alias("n"), "ids",
-    ), "tokens")
+    with short_batches(spark):
+        return written(encoded.select(
+            F.monotonically_increasing_id().alias("row"), "id", (F.octet_length("ids") / 4).cast("long").alias("n"), "ids",
+        ), "tokens")
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -367,6 +369,14 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sequen
     ``row`` tells rows apart that repeat an id. Null text is the empty one, whose only id is the separator. Null ids
     are packed like others. An empty table gives no rows.
     """
+    with scratch(), short_batches(docs.sparkSession):
+        pieces, folder = stored(_packed(docs, id_col, text_col, sequence, classes, vocabulary), "pieces")
+    passing(docs.sparkSession, folder)
+    return pieces.withColumnRenamed("doc_id", id_col) if id_col != "doc_id" else pieces
+
+
+def _packed(docs: DataFrame, id_col: str, text_col: str, sequence: int, classes: int, vocabulary: str | None) -> DataFrame:
+    """Pieces, not run yet; their tables last as long as the scope."""
     table = tokens(docs, id_col, text_col, vocabulary)
     spark = docs.sparkSession
     width = sequence // classes
@@ -413,8 +423,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sequen
                     columns = [pa.array(c, pa.int64()) for c in zip(*out, strict=True)]
                     yield pa.RecordBatch.from_arrays(columns, schema=PIECE)
 
-    result = table.join(plan, "row").mapInArrow(emit, ", ".join(f"{f.name} long" for f in PIECE))
-    return result.withColumnRenamed("doc_id", id_col) if id_col != "doc_id" else result
+    return table.join(plan, "row").mapInArrow(emit, ", ".join(f"{f.name} long" for f in PIECE))
 
 
 def _ends(total: int, sequence: int) -> list[int]:

@@ -10,7 +10,9 @@ import pytest
 from tokenizers import Tokenizer
 
 from silofeed.llm import packing as P
+from silofeed.llm import tables
 from silofeed.llm.workers import tokenizer_file
+from silofeed.workspace import folder_exists
 
 from .conftest import TEXTS
 
@@ -131,3 +133,29 @@ def test_places_are_taken_once():
                 taken[int(q)].append((int(s), size))
     assert len(taken) == places.sequences
     assert all(sum(n for _, n in t) == 16 and [s for s, _ in sorted(t)] == list(range(len(t))) for t in taken.values())
+
+
+def test_workers_get_few_rows_at_once_and_tables_go(spark, docs, texts, library, monkeypatch):
+    def asked():
+        return spark.conf.get(tables.BATCH_SETTING, None)
+
+    def spy(df, purpose, *rest):
+        table, folder = stored(df, purpose, *rest)
+        seen[purpose] = asked(), folder
+        return table, folder
+
+    before, seen, stored = asked(), {}, tables.stored
+    monkeypatch.setattr(tables, "stored", spy)
+    monkeypatch.setattr(P, "stored", spy)
+    pieces = P.pack(docs)
+    assert seen["tokens"][0] == seen["pieces"][0] == str(tables.BATCH_ROWS) and asked() == before
+    assert {purpose for purpose, (_, folder) in seen.items() if folder_exists(spark, folder)} == {"pieces"}
+    assert check(pieces.collect(), list(texts.items()), library) == 0
+
+
+def test_a_coder_that_forgets_gives_the_same(library):
+    words = P.WordCoder(tokenizer_file(P.VOCABULARY))
+    first = list(words.encode_all([t or "" for _, t in TEXTS]))
+    words.forget()
+    assert not words.known.keys() - {""} and not words.older
+    assert first == list(words.encode_all([t or "" for _, t in TEXTS]))
