@@ -270,3 +270,18 @@ def test_metadata_needs_no_queries_of_a_catalog(spark, database, monkeypatch):
     assert ("s",) in rows(list_schemas(spark, source), "schema")
     asked = SourceConfig(source.type, source.url, options={"metadata": "information_schema"})
     assert asked.catalog_queries and "metadata" not in asked.connection_options()
+
+
+def test_the_embedded_database_is_refused_where_executors_are_other_processes(monkeypatch):
+    from types import SimpleNamespace
+
+    from silofeed.queries import sources
+
+    made = []
+    monkeypatch.setattr(sources, "run_statements", lambda *statements: made.append(statements))
+    for master in ("local-cluster[3,2,1000]", "spark://host:7077", "yarn", ""):
+        with pytest.raises(RuntimeError, match="local session"):
+            sources.embedded_database(SimpleNamespace(conf={"spark.master": master}), "")
+    for master in ("local", "local[4]", "local[*]"):
+        sources.embedded_database(SimpleNamespace(conf={"spark.master": master}), "")
+    assert len(made) == 3
