@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,8 +72,10 @@ def fit(docs: DataFrame, text_col: str = "text", label_col: str = "lang", sample
     languages = tuple(r["label"] for r in sizes)
     if not languages:
         return TextModel((), np.zeros((CODES, 1), np.float32))
-    shares = spark.createDataFrame(
-        [(r["label"], i, min(1.0, sample / r["count"])) for i, r in enumerate(sizes)], "label string, at int, share double")
+    # An Arrow table, since rows of Python's would start workers of another kind, which then wait beside those of the functions.
+    shares = spark.createDataFrame(pa.table({
+        "label": pa.array(languages, pa.string()), "at": pa.array(range(len(languages)), pa.int32()),
+        "share": [min(1.0, sample / r["count"]) for r in sizes]}))
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
     picked = labelled.join(F.broadcast(shares), "label").where(draw < F.col("share")).select("at", "text")
 

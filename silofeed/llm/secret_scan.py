@@ -12,6 +12,7 @@ from dataclasses import astuple, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..workspace import folder_exists
 from .tables import free_name, passing, scratch, stored, written
@@ -110,7 +111,8 @@ def version_of(rules: tuple[Rule, ...]) -> str:
 
 
 def empty_ledger(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], LEDGER)
+    empty = [F.lit(None).cast(field.dataType).alias(field.name) for field in StructType.fromDDL(LEDGER)]
+    return spark.range(0).select(*empty)
 
 
 def scan_blobs(

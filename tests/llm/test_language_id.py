@@ -88,3 +88,10 @@ def test_every_label_is_a_language(spark):
     found = L.identify(df, model, declared=F.col("lang")).collect()
     assert {(r["doc_id"], r["lang"], r["accepted"]) for r in found} == {(i, x.strip().lower(), True) for i, _, x in rows}
     assert L.drop_unknown(df, model, declared=F.col("lang")).count() == len(rows)
+
+
+def test_a_fit_needs_no_rows_of_python(spark, docs, model, monkeypatch):
+    """These would start a daemon and workers of another kind beside those of the functions."""
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", None)
+    again = L.fit(docs.where("doc_id % 2 = 0"))
+    assert again.languages == model.languages and (again.table == model.table).all()

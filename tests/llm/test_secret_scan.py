@@ -1,6 +1,7 @@
 import re
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from silofeed.llm import secret_scan as S
 
@@ -113,3 +114,10 @@ def test_a_ledger_that_lasts(spark, tmp_path, monkeypatch):
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, alone.collect())) and len(half) == 2
     S.scan_with_store(documents(spark, texts), path, rules=S.RULES[:1])
     assert S.stored_ledger(spark, path).count() == 6
+
+
+def test_an_empty_ledger_needs_no_rows_of_python(spark, docs, monkeypatch):
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", None)
+    ledger = S.empty_ledger(spark)
+    assert ledger.count() == 0 and ledger.schema == StructType.fromDDL(S.LEDGER)
+    assert S.redact(docs).count() == docs.count()
